@@ -137,3 +137,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 def extended(df: DataFrame, **columns: str) -> T.StructType:
     """The schema of ``df`` and further columns."""
     return T.StructType([*df.schema.fields, *T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in columns.items())).fields])
+
+
+def first_of_id(df: DataFrame, twice: DataFrame, id_col: str) -> DataFrame:
+    """One row of each id in ``twice`` (one column), the first by its values; all other rows."""
+    name = twice.columns[0]
+    if twice.isEmpty():
+        return df
+    alone = df.join(twice, df[id_col] == twice[name], "left_anti")
+    several = df.join(twice, df[id_col] == twice[name], "left_semi")
+    first = several.groupBy(id_col).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("_row")).select("_row.*")
+    return alone.unionByName(first)

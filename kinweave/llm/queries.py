@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, quality, sharding, toxicity, warc
+from . import langid, quality, sharding, simhash, toxicity, warc
 from ._util import table
 
 
@@ -10,6 +10,10 @@ def op4_quality(spark, d):
     return quality.select_by_quality(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op5_simhash(spark, d):
+    return simhash.clusters(table(spark, d, "documents"))
+
+
 def op6_toxicity(spark, d):
     return toxicity.predict(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -27,7 +31,7 @@ def op10_warc(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (op4_quality, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
+    return {f.__name__: f for f in (op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
 
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
