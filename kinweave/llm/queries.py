@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import langid, quality, sharding, simhash, toxicity, warc
+from . import bpe, langid, quality, sharding, simhash, toxicity, warc
 from ._util import table
 
 
+def op1_bpe(spark, d):
+    return bpe.digest(table(spark, d, "documents"))
+
+
 def op4_quality(spark, d):
     return quality.select_by_quality(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -31,7 +35,7 @@ def op10_warc(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
+    return {f.__name__: f for f in (op1_bpe, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
 
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
