@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, quality, sharding, simhash, toxicity, warc
+from . import bpe, decontaminate, langid, quality, sharding, simhash, toxicity, warc
 from ._util import table
 
 
@@ -10,6 +10,10 @@ def op1_bpe(spark, d):
     return bpe.digest(table(spark, d, "documents"))
 
 
+def op3_decontamination(spark, d):
+    return decontaminate.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op4_quality(spark, d):
     return quality.select_by_quality(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -35,7 +39,7 @@ def op10_warc(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
+    return {f.__name__: f for f in (op1_bpe, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
 
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -44,6 +48,7 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 def oracle_sql():
     symbol = f"""substr('{_BASE32}', CAST((CAST('0x' || substr(h, 5 * k + 1, 5) AS INTEGER) >> (5 * (3 - j))) & 31 AS INTEGER) + 1, 1)"""
     return {
+        "op3_decontamination": decontaminate.oracle_sql(),
         "op10_warc": f"""
             WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
                  m AS (SELECT html, min(page_id) AS first_id FROM p GROUP BY html)
