@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, langid, quality, sharding, simhash, toxicity, warc
+from . import bpe, decontaminate, langid, quality, sharding, simhash, suffix_dedup, toxicity, warc
 from ._util import table
 
 
@@ -10,6 +10,10 @@ def op1_bpe(spark, d):
     return bpe.digest(table(spark, d, "documents"))
 
 
+def op2_suffix_dedup(spark, d):
+    return suffix_dedup.digest(table(spark, d, "documents"))
+
+
 def op3_decontamination(spark, d):
     return decontaminate.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -39,7 +43,7 @@ def op10_warc(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
+    return {f.__name__: f for f in (op1_bpe, op2_suffix_dedup, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
 
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
