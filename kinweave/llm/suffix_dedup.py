@@ -76,7 +76,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     ok = np.arange(n) <= np.repeat(offsets[1:] - length, lens)
     at = np.arange(n - gram + 1)
     h = _util.RangeHash(data)(at, at + gram)
-    low = np.uint64(2 * LONG - 1)
+    low = np.uint64((1 << 24) - 1)
     blocks = -(-len(h) // width) + 1
     full = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
     full[: len(h)] = (h & ~low) | at.astype(np.uint64)  # the place breaks ties
