@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, langid, quality, sharding, simhash, suffix_dedup, toxicity, warc
+from . import bpe, decontaminate, embedding_dedup, langid, quality, sharding, simhash, suffix_dedup, toxicity, warc
 from ._util import table
 
 
@@ -38,12 +38,16 @@ def op8_langid(spark, d):
     return langid.identify(table(spark, d, "documents"))
 
 
+def op9_embedding_dedup(spark, d):
+    return embedding_dedup.link(table(spark, d, "embeddings"))
+
+
 def op10_warc(spark, d):
     return warc.digest(table(spark, d, "pages"))
 
 
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_suffix_dedup, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op10_warc)}
+    return {f.__name__: f for f in (op1_bpe, op2_suffix_dedup, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op9_embedding_dedup, op10_warc)}
 
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
