@@ -275,3 +275,19 @@ def digest(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
     own = encode(docs, path, id_col, text_col)
     return own.mapInArrow(run, _util.extended(own.select(id_col), n_tokens="long", ids_sha256="string", decoded_sha256="string"))
+
+
+def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, token_ids, n_tokens, text): what every row encodes to, and what that decodes to."""
+    path = path or vocabulary_path()
+
+    def run(batches):
+        pieces = pieces_of(path)
+        for batch in batches:
+            for part in _some(batch, 1):
+                text = [b.decode("utf-8", "replace") for b in decode_lists(part.column(1), pieces)]
+                count = pc.list_value_length(part.column(1)).fill_null(0).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, count, pa.array(text, pa.string())], names=[id_col, "token_ids", "n_tokens", "text"])
+
+    own = encode(docs, path, id_col, text_col)
+    return own.mapInArrow(run, _util.extended(own, n_tokens="long", text="string"))
