@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from . import _util, graph
 
-SEED, TRIPLES, BANDS, BAND_BITS, WIDE_WORDS = 42, 9, 36, 16, 4
+SEED, TRIPLES, BANDS, BAND_BITS, WIDE_WORDS = 42, 9, 60, 16, 4
 DIRECT = 192
 
 
@@ -250,16 +250,16 @@ def links(classes: DataFrame, bits: int = 2, triples: int = TRIPLES) -> DataFram
 
 
 def similar_bits(similarity: float, width: int = WIDE_WORDS) -> int:
-    """Differing bits expected of two shingle sets of this Jaccard similarity, and half a standard error."""
+    """Differing bits expected of two shingle sets of this Jaccard similarity, and one and a quarter standard errors."""
     p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
     n = 64 * width
-    return round(n * p + 0.5 * math.sqrt(n * p * (1 - p)))
+    return round(n * p + 1.25 * math.sqrt(n * p * (1 - p)))
 
 
 def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width: int = WIDE_WORDS) -> DataFrame:
     """Edges (u, v) of ``node`` between wide fingerprints that are similar enough."""
     size = max(BAND_BITS, math.ceil(math.log2(max(2, n_classes))) - 2)
-    bands = max(BANDS, math.ceil(2.6 * (1 - 0.1515) ** -size))
+    bands = max(BANDS, math.ceil(4.3 * (1 - 0.1515) ** -size))
     rng = np.random.default_rng(SEED)
     chosen = [np.sort(rng.choice(64 * width, size, replace=False)) for _ in range(bands)]
     names = [f"f{j}" for j in range(width)]
