@@ -36,6 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import _util
 
@@ -108,10 +109,12 @@ def _small(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32))
 
 
-def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """(id, ids): the token ids of every row's whole text.
+def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None, finish=None, columns: str = "token_ids array<int>") -> DataFrame:
+    """(id, token_ids): the token ids of every row's whole text.
 
-    ``buckets`` of the distinct-word table: 4 times the shuffle partitions unless given."""
+    ``buckets`` of the distinct-word table: 4 times the shuffle partitions unless given.
+    ``finish`` turns an array of id lists into the arrays of ``columns`` in the task
+    that made it; without it the lists themselves are returned."""
     path = path or vocabulary_path()
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -124,16 +127,19 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
             ids, lists = batch.column(0), batch.column(1)
             words = lists.flatten().dictionary_encode()
             counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-            data, offsets = _util.bytes_of(words.dictionary)
-            h = _util.RangeHash(data)(offsets[:-1], offsets[1:])
-            bucket = (h % np.uint64(buckets)).astype(np.int64)
+            seal = hashlib.blake2b(digest_size=8)
+            hashed = []
+            for _, _, data, offsets in _util.pieces(words.dictionary, 1 << 18):
+                seal.update(data.tobytes() + offsets.tobytes())
+                hashed.append((_util.RangeHash(data)(offsets[:-1], offsets[1:]) % np.uint64(buckets)).astype(np.int32))
+            bucket = np.concatenate([np.zeros(0, np.int32), *hashed])
             order = np.argsort(bucket, kind="stable")
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            code = rank[np.asarray(words.indices)] if len(words) else np.zeros(0, np.int64)
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
             sorted_words = words.dictionary.take(pa.array(order))
-            digest = hashlib.blake2b(data.tobytes() + offsets.tobytes(), digest_size=8).digest()
-            block = f"b{digest.hex()}{len(order):x}"
+            block = f"b{seal.hexdigest()}{len(order):x}"
+            code_of = np.asarray(words.indices)
+            del words, lists
             at = np.searchsorted(bucket[order], np.arange(buckets + 1))
             keys, owner, number, id_lists, payload = [], [], [], [], []
             for b in np.flatnonzero(at[1:] > at[:-1]):
@@ -151,7 +157,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 number.append(-1)
                 id_lists.append(ids[lo:hi].to_pylist())
                 # lengths and positions are of different lengths: two messages in one row
-                a, c = _pack({"n": pa.array(counts[lo:hi])}), _pack({"c": _small(code[first[lo] : first[hi]])})
+                a, c = _pack({"n": pa.array(counts[lo:hi])}), _pack({"c": _small(rank[code_of[first[lo] : first[hi]]])})
                 payload.append(len(a).to_bytes(8, "little") + a + c)
                 lo = hi
             yield pa.RecordBatch.from_arrays(
@@ -210,12 +216,15 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 taken = table.take(pa.array(code))
                 ends = np.concatenate([[0], np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False))])
                 bounds = ends[np.concatenate([[0], np.cumsum(counts)])]
-                out.append(pa.record_batch([ids.values, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), taken.flatten())], names=["id", "token_ids"]))
-        schema = pa.schema([("id", block.schema.field("ids").type.value_type), ("token_ids", pa.list_(pa.int32()))])
-        return pa.Table.from_batches([b.cast(schema) for b in out], schema)
+                out.append((ids.values, *made(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), taken.flatten()))))
+        if not out:
+            out = [(pa.array([], block.schema.field("ids").type.value_type), *made(pa.array([], pa.list_(pa.int32()))))]
+        return pa.table([pa.chunked_array(list(c)) for c in zip(*out, strict=True)], names=["id", *added])
 
-    placed = dealt.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(place, f"id {kind}, token_ids array<int>")
-    return placed.select(F.col("id").alias(id_col), "token_ids")
+    made = finish or (lambda lists: [lists])
+    added = [f.name for f in T._parse_datatype_string(columns).fields]
+    placed = dealt.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(place, f"id {kind}, {columns}")
+    return placed.select(F.col("id").alias(id_col), *added)
 
 
 def decode_lists(lists: pa.Array, pieces: pa.Array) -> list[bytes]:
@@ -231,16 +240,6 @@ def decode_lists(lists: pa.Array, pieces: pa.Array) -> list[bytes]:
     return [whole[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _some(batch: pa.RecordBatch, column: int, limit: int = 1 << 20):
-    """Slices of a batch of about ``limit`` list values."""
-    counts = pc.list_value_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    first, lo = np.concatenate([[0], np.cumsum(counts)]), 0
-    while lo < len(counts):
-        hi = max(lo + 1, int(np.searchsorted(first, first[lo] + limit, "right")) - 1)
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id") -> DataFrame:
     """(id, text) of rows (id, token_ids)."""
     path = path or vocabulary_path()
@@ -248,46 +247,44 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id")
     def run(batches):
         pieces = pieces_of(path)
         for batch in batches:
-            for part in _some(batch, 1):
-                text = [b.decode("utf-8", "replace") for b in decode_lists(part.column(1), pieces)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(text, pa.string())], names=[id_col, "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_decoded(batch.column(1), pieces), pa.string())], names=[id_col, "text"])
 
     own = encoded.select(id_col, "token_ids")
     return own.mapInArrow(run, _util.extended(own.select(id_col), text="string"))
 
 
+def _decoded(lists: pa.Array, pieces: pa.Array):
+    """Texts of each row's pieces, a bounded number of pieces at a time."""
+    first = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    lo = 0
+    while lo < len(lists):
+        hi = max(lo + 1, int(np.searchsorted(first, first[lo] + CHUNK, "right")) - 1)
+        for b in decode_lists(lists[lo:hi], pieces):
+            yield b.decode("utf-8", "replace")
+        lo = hi
+
+
 def digest(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode, decode, and report both: id, n_tokens, ids_sha256, decoded_sha256."""
     path = path or vocabulary_path()
 
-    def run(batches):
-        pieces = pieces_of(path)
-        for batch in batches:
-            for part in _some(batch, 1):
-                rows = part.column(1)
-                ids = [np.asarray(r.values, np.uint32).astype("<u4").tobytes() for r in rows]
-                text = [b.decode("utf-8", "replace").encode() for b in decode_lists(rows, pieces)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64())]
-                    + [pa.array([hashlib.sha256(b).hexdigest() for b in x], pa.string()) for x in (ids, text)],
-                    names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+    def finish(lists):
+        ids = [np.asarray(r.values, np.uint32).astype("<u4").tobytes() for r in lists]
+        text = _decoded(lists, pieces_of(path))
+        return [
+            pa.array([len(i) // 4 for i in ids], pa.int64()),
+            pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in text], pa.string()),
+        ]
 
-    own = encode(docs, path, id_col, text_col)
-    return own.mapInArrow(run, _util.extended(own.select(id_col), n_tokens="long", ids_sha256="string", decoded_sha256="string"))
+    return encode(docs, path, id_col, text_col, None, finish, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, token_ids, n_tokens, text): what every row encodes to, and what that decodes to."""
     path = path or vocabulary_path()
 
-    def run(batches):
-        pieces = pieces_of(path)
-        for batch in batches:
-            for part in _some(batch, 1):
-                text = [b.decode("utf-8", "replace") for b in decode_lists(part.column(1), pieces)]
-                count = pc.list_value_length(part.column(1)).fill_null(0).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays([*part.columns, count, pa.array(text, pa.string())], names=[id_col, "token_ids", "n_tokens", "text"])
+    def finish(lists):
+        return [lists, pc.list_value_length(lists).cast(pa.int64()), pa.array(_decoded(lists, pieces_of(path)), pa.string())]
 
-    own = encode(docs, path, id_col, text_col)
-    return own.mapInArrow(run, _util.extended(own, n_tokens="long", text="string"))
+    return encode(docs, path, id_col, text_col, None, finish, "token_ids array<int>, n_tokens long, text string")
