@@ -117,7 +117,7 @@ def induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray) -> np.ndarray:
 def by_doubling(names: np.ndarray) -> np.ndarray:
     """Suffix array of a string over a large alphabet."""
     n = len(names)
-    sa = np.argsort(names, kind="stable")
+    sa = np.argsort(names)
     sorted_names = names[sa]
     first = np.concatenate([[True], sorted_names[1:] != sorted_names[:-1]])
     group = np.maximum.accumulate(np.where(first, np.arange(n), 0))
@@ -130,7 +130,7 @@ def by_doubling(names: np.ndarray) -> np.ndarray:
     while len(places):
         own = sa[places]
         key = rank[own] * (n + 1) + rank[np.minimum(own + k, n)] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         own, key = own[order], key[order]
         sa[places] = own
         first = np.concatenate([[True], key[1:] != key[:-1]])

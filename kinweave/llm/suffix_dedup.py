@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import _util, suffix
 
-LENGTH, GRAM, MOST_WINDOWS, SHARD, HOT = 200, 48, 2048, 4 << 20, 16 << 20
+LENGTH, GRAM, MOST_WINDOWS, SHARD, HOT = 200, 32, 2048, 4 << 20, 16 << 20
 LONG = 1 << 23  # bytes whose places fit beside a hash
 STOP = 0xFF  # in no UTF-8 text
 
@@ -150,9 +150,9 @@ def _contents(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
 def mark(contents: list[bytes], copies: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
     """For each region the windows (offsets) that start elsewhere too, by the
     suffix array of all. A region that occurs twice or more stands twice in it."""
-    twice = np.flatnonzero(copies > 1)
-    every = [*contents, *(contents[i] for i in twice)]
-    owner = np.concatenate([np.arange(len(contents)), twice]).astype(np.int64)
+    # the second copy comes right after the first, so that prefixes in common end with the region
+    owner = np.repeat(np.arange(len(contents)), 1 + (copies > 1))
+    every = [contents[i] for i in owner]
     sizes = np.array([len(c) for c in every], np.int64)
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])
     t = np.frombuffer(bytes([STOP]).join(every) + bytes([STOP]), np.uint8)
@@ -232,7 +232,8 @@ def removals(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> D
     and stop bytes, unmerged; null where nothing repeats."""
     texts = _texts(docs, text_col)
     keys = _regions(texts, length, True).groupBy("key").agg(F.sum("copies").alias("total")).filter("total > 1").select("key")
-    regions = _regions(texts, length, False).join(keys, "key", "left_semi")
+    # kept, as two steps need them and making them means reading every text
+    regions = _util.saved(_regions(texts, length, False).join(keys, "key", "left_semi"), compression="zstd")
     distinct = regions.groupBy("key", "h").agg(
         F.sum("copies").alias("copies"), F.min(F.struct("t1", "t2", "first")).alias("place"), F.max("n").alias("n")
     )
