@@ -19,8 +19,8 @@ def report_lines(df: DataFrame, ident: str, section: str, description: str, plot
     top = spark.createDataFrame([(i - len(head), h) for i, h in enumerate(head)], "n long, value string")
     from ..operators import edges
 
-    text = df.select(F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]).alias("value"), *(order or df.columns))
-    rows = edges.numbered(text, order or df.columns, "n").select("n", "value")
+    text = df.select(F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]).alias("value"), *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order or df.columns)])
+    rows = edges.numbered(text, [c for c in text.columns if c != "value"], "n").select("n", "value")
     return top.unionByName(rows)
 
 

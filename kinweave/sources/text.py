@@ -13,6 +13,10 @@ from .. import schemas
 from ..functions import scalar
 
 
+def _strip(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def samples(spark: SparkSession, path: str, mode: str) -> DataFrame:
     """Sample sheet of a mode; rows with an empty required field fail."""
     schema = schemas.SAMPLES[mode]
@@ -34,7 +38,7 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     header = F.split_part("value", F.lit("\n"), F.lit(1))
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", "")
     ident = F.regexp_extract(header, r"^(\S*)", 1)
-    return raw.select(ident.alias("id"), F.trim(F.regexp_replace(header, r"^\S*", "")).alias("description"), body.alias("seq"))
+    return raw.select(ident.alias("id"), F.regexp_replace(header, r"^\S*\s*|\s+$", "").alias("description"), body.alias("seq"))
 
 
 def clusters(spark: SparkSession, path: str) -> DataFrame:
@@ -122,7 +126,7 @@ def atoms(spark: SparkSession, path: str) -> DataFrame:
 def secondary_structure(spark: SparkSession, path: str) -> DataFrame:
     """(id, conf, pred, aa) of `horiz` files: three kinds of lines, each concatenated."""
     whole = spark.read.text(path, wholetext=True).select(scalar.file_stem(F.col("_metadata.file_path")).alias("id"), "value")
-    get = lambda k: F.array_join(F.transform(F.regexp_extract_all("value", F.lit(rf"(?m)^{k}:([^\n:]*)"), F.lit(1)), F.trim), "")
+    get = lambda k: F.array_join(F.transform(F.regexp_extract_all("value", F.lit(rf"(?m)^{k}:([^\n:]*)"), F.lit(1)), lambda x: _strip(x)), "")
     return whole.select("id", get("Conf").alias("conf"), get("Pred").alias("pred"), get("  AA").alias("aa"))
 
 
@@ -130,7 +134,7 @@ def three_line(spark: SparkSession, path: str) -> DataFrame:
     """(id, seq, labels): records of three lines; other line counts fail. A record
     whose labels are not as long as its sequence is skipped."""
     whole = spark.read.text(path, wholetext=True)
-    lines = F.filter(F.transform(F.split("value", "\n"), F.trim), lambda x: F.length(x) > 0)
+    lines = F.filter(F.transform(F.split("value", "\n"), lambda x: _strip(x)), lambda x: F.length(x) > 0)
     checked = whole.select(lines.alias("l")).select(
         F.when(F.size("l") % 3 == 0, F.col("l")).otherwise(F.raise_error(F.lit("not three lines per record")).cast("array<string>")).alias("l")
     )
