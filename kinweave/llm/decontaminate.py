@@ -48,27 +48,27 @@ NUMBERS = (
 SIGNS = "%$€£°"
 
 MARK = "\u0001"
-NAME_AFTER = r"([\p{L}\p{N},;:] )(\p{Lu}\p{L}*)"
-TOKEN = rf"{MARK}\p{{Lu}}\p{{L}}*(?: \p{{Lu}}\p{{L}}*)*|\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}+)*|[{SIGNS}]"
+NAME_AFTER = r"([\p{L}\p{N},;:] )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
+TOKEN = rf"{MARK}[^{MARK}]+{MARK}|\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}+)*|[{SIGNS}]"
 
 
 def tokens(text: Column) -> Column:
-    """Raw tokens; names carry a mark in front."""
-    text = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), MARK, " ")
-    return F.regexp_extract_all(F.regexp_replace(text, NAME_AFTER, f"$1{MARK}$2"), F.lit(TOKEN), F.lit(0))
+    """Lower-cased tokens; names stand between marks."""
+    text = F.translate(F.coalesce(text.cast("string"), F.lit("")), MARK, " ")
+    return F.regexp_extract_all(F.lower(F.regexp_replace(text, NAME_AFTER, f"$1{MARK}$2{MARK}")), F.lit(TOKEN), F.lit(0))
 
 
 def canonical(raw: Column) -> Column:
-    """Template tokens of raw tokens."""
+    """Template tokens of tokens."""
 
     def one(t: Column) -> Column:
-        first, low = F.ascii(t), F.lower(t)
+        first = F.ascii(t)
         return (
             F.when(first == 1, "<name>")
             .when((first >= 48) & (first <= 57), "<num>")
-            .when(low.isin(UNITS) | first.isin([ord(c) for c in SIGNS]), "<unit>")
-            .when(low.isin(NUMBERS), "<num>")
-            .otherwise(low)
+            .when(t.isin([*UNITS, *SIGNS]), "<unit>")
+            .when(t.isin(NUMBERS), "<num>")
+            .otherwise(t)
         )
 
     return F.transform(raw, one)
@@ -97,15 +97,16 @@ def with_window_hashes(texts: DataFrame, size: int) -> DataFrame:
 def _windows(texts: DataFrame, size: int, whole: bool = False) -> DataFrame:
     """(id, size, pos, h, slots): the windows of rows (id, raw, template), the raw
     slot values of those with placeholders. ``whole``: only texts of that size."""
-    own = texts.filter(F.size("template") == size) if whole else texts.filter(F.size("template") >= size)
-    own = with_window_hashes(own, size)
-    has = F.exists("template", _is_slot)
+    # shorter texts have no windows; a filter on their size would be pushed below the
+    # projections and make the tokens twice
+    own = with_window_hashes(texts.filter(F.size("template") == size) if whole else texts, size)
+    has = (F.size("template") >= size) & F.exists("template", _is_slot)
     places = F.sequence(F.lit(0), F.size("template") - size)
 
     def slots(i: Column) -> Column:
         part = F.slice("template", i + 1, F.lit(size))
         pairs = F.filter(F.arrays_zip(part.alias("t"), F.slice("raw", i + 1, F.lit(size)).alias("r")), lambda p: _is_slot(p["t"]))
-        return F.transform(pairs, lambda p: F.concat(p["t"], F.lower(p["r"])))
+        return F.transform(pairs, lambda p: F.concat(p["t"], p["r"]))
 
     hashes = F.col(f"h{size}")
     plain = F.transform(hashes, lambda h: F.struct(h.alias("h"), F.lit(None).cast("array<string>").alias("slots")))
@@ -163,17 +164,17 @@ def oracle_sql() -> str:
     def windows(name: str, source: str, ident: str) -> str:
         return f"""
         {name}_raw AS (
-            SELECT {ident} AS id, regexp_extract_all(regexp_replace(replace(coalesce(text, ''), chr(1), ' '), '{NAME_AFTER}', '\\1' || chr(1) || '\\2', 'g'),
-                   chr(1) || '{TOKEN[1:]}') AS raw FROM {source}),
+            SELECT {ident} AS id, regexp_extract_all(lower(regexp_replace(replace(coalesce(text, ''), chr(1), ' '), '{NAME_AFTER}', '\\1' || chr(1) || '\\2' || chr(1), 'g')),
+                   '{TOKEN.replace(MARK, "\\x01")}') AS raw FROM {source}),
         {name}_tok AS (
             SELECT id, raw, list_transform(raw, lambda t: CASE
                 WHEN t[1] = chr(1) THEN '<name>' WHEN t[1] BETWEEN '0' AND '9' THEN '<num>'
-                WHEN lower(t) IN ({quoted(UNITS)}) OR t IN ({quoted(SIGNS)}) THEN '<unit>'
-                WHEN lower(t) IN ({quoted(NUMBERS)}) THEN '<num>' ELSE lower(t) END) AS tpl FROM {name}_raw),
+                WHEN t IN ({quoted([*UNITS, *SIGNS])}) THEN '<unit>'
+                WHEN t IN ({quoted(NUMBERS)}) THEN '<num>' ELSE t END) AS tpl FROM {name}_raw),
         {name}_pos AS (SELECT id, raw, tpl, unnest(range(len(tpl) - {WINDOW - 1})) AS pos FROM {name}_tok WHERE len(tpl) >= {WINDOW}),
         {name}_win AS (
             SELECT id, pos, array_to_string(tpl[pos + 1 : pos + {WINDOW}], ' ') AS w,
-                   list_transform(list_filter(range(pos + 1, pos + {WINDOW + 1}), lambda i: tpl[i][1] = '<'), lambda i: tpl[i] || lower(raw[i])) AS slots
+                   list_transform(list_filter(range(pos + 1, pos + {WINDOW + 1}), lambda i: tpl[i][1] = '<'), lambda i: tpl[i] || raw[i]) AS slots
             FROM {name}_pos)"""
 
     return f"""
