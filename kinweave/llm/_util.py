@@ -45,6 +45,12 @@ def drop_saved(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def batch_rows(spark: SparkSession, rows: int) -> None:
+    """Rows of an Arrow batch from now on in this session: fewer where texts are
+    long, so that the batches of two tasks and their Python workers stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column (null: empty) and its n + 1 offsets,
     without a copy of the text."""

@@ -12,10 +12,10 @@ into shards such that equal strings always meet in one shard:
    share. Each run of windows with one key is a region. A string that starts
    twice has one key in both places, so a key that occurs once needs no look.
 3. Regions of the other keys go to shards by key, each distinct content once,
-   with its count (twice in the shard if it occurs twice or more: more copies tell
-   nothing more). The suffix array of a shard is made by induced sorting, the
-   permuted common prefixes are computed from it, and windows whose common prefix
-   with a neighbour reaches ``LENGTH`` are marked.
+   with its count. The suffix array of a shard is made by induced sorting (run-length
+   coded: a region's count stands for equal neighbours), the permuted common
+   prefixes are computed from it, and windows whose common prefix with a neighbour
+   reaches ``LENGTH`` are marked.
 4. Marks go back to all places of their region and are merged for each text.
 
 A key whose distinct regions would outgrow a shard (one passage amid many
@@ -149,24 +149,26 @@ def _contents(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
 
 def mark(contents: list[bytes], copies: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
     """For each region the windows (offsets) that start elsewhere too, by the
-    suffix array of all. A region that occurs twice or more stands twice in it."""
-    # the second copy comes right after the first, so that prefixes in common end with the region
-    owner = np.repeat(np.arange(len(contents)), 1 + (copies > 1))
-    every = [contents[i] for i in owner]
-    sizes = np.array([len(c) for c in every], np.int64)
+    suffix array of all.
+
+    The array is run-length coded: a region that occurs several times stands in it
+    once, and each of its suffixes for as many neighbours with the whole rest of
+    the region in common, so its windows repeat without a look at other regions."""
+    sizes = np.array([len(c) for c in contents], np.int64)
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])
-    t = np.frombuffer(bytes([STOP]).join(every) + bytes([STOP]), np.uint8)
+    t = np.frombuffer(bytes([STOP]).join(contents) + bytes([STOP]), np.uint8)
     sa = suffix.suffix_array(t)
     before, plcp = suffix.common_prefixes(t, sa)
-    region = np.repeat(np.arange(len(every)), sizes + 1)
+    region = np.repeat(np.arange(len(contents)), sizes + 1)
     left = begin[region] + sizes[region] - np.arange(len(t))
-    hit = np.flatnonzero((plcp >= length) & (left >= length))
-    found = np.unique(np.concatenate([hit, before[hit]]))
-    of = owner[region[found]]
+    whole = left >= length
+    hit = np.flatnonzero((plcp >= length) & whole)
+    repeated = whole & (copies[region] > 1)
+    repeated[hit] = True
+    repeated[before[hit]] = True
+    found = np.flatnonzero(repeated)
     offset = found - begin[region[found]]
-    pair = np.unique(of * (1 << 32) + offset)
-    of, offset = pair >> 32, pair & 0xFFFFFFFF
-    bounds = np.searchsorted(of, np.arange(len(contents) + 1))
+    bounds = np.searchsorted(region[found], np.arange(len(contents) + 1))
     return [offset[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
@@ -196,7 +198,7 @@ def _sharded(contents: DataFrame, length: int) -> DataFrame:
                     yield shard(rows)
                     rows, size = [], 0
                 rows.append(r)
-                size += len(r[3]) * (1 + (r[2] > 1))
+                size += len(r[3])
         if rows:
             yield shard(rows)
 
@@ -230,6 +232,7 @@ def _by_window(contents: DataFrame, length: int) -> DataFrame:
 def removals(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> DataFrame:
     """One row per distinct text: (t1, t2, text, copies, spans), spans as first
     and stop bytes, unmerged; null where nothing repeats."""
+    _util.batch_rows(docs.sparkSession, 2000)
     texts = _texts(docs, text_col)
     keys = _regions(texts, length, True).groupBy("key").agg(F.sum("copies").alias("total")).filter("total > 1").select("key")
     # kept, as two steps need them and making them means reading every text
@@ -294,12 +297,11 @@ def clean(docs: DataFrame, length: int = LENGTH, text_col: str = "text", count_c
     """``docs`` with the repeated bytes of ``text_col`` gone (a null text stays
     null) and ``count_col``, where there is one, counted anew; same columns."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    t1, t2 = _identity(text)
-    kept = _applied(docs, length, text_col, True).select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("kept").alias("_kept"))
-    others = [c for c in docs.columns if c != text_col]
-    own = docs.select(*[F.col(f"`{c}`") for c in others], F.col(text_col).isNull().alias("_null"), t1.alias("_t1"), t2.alias("_t2"))
-    joined = own.join(kept, ["_t1", "_t2"])
-    new = {text_col: F.when(~F.col("_null"), F.col("_kept"))}
-    if count_col in others:
-        new[count_col] = F.when(~F.col("_null"), F.length("_kept")).cast(dict(docs.dtypes)[count_col])
-    return joined.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    # the row travels as one column, so that no name of its own clashes
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = docs.select(row, F.col(text_col).isNull().alias("missing"), *_identity(text))
+    joined = own.join(_applied(docs, length, text_col, True).select("t1", "t2", "kept"), ["t1", "t2"])
+    new = {text_col: F.when(~F.col("missing"), F.col("kept"))}
+    if count_col in docs.columns:
+        new[count_col] = F.when(~F.col("missing"), F.length("kept")).cast(dict(docs.dtypes)[count_col])
+    return joined.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
