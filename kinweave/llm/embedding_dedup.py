@@ -21,7 +21,7 @@ spanning forest of the links.
 
 Vectors that are null, empty, zero or hold null or non-finite components, or have
 another number of components than most, link with nothing. Rows with a null id
-are returned with no component and link with nothing. Rows that repeat an id are
+link with nothing, have a null component and are kept. Rows that repeat an id are
 vectors of their own.
 """
 
@@ -102,14 +102,14 @@ def link(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_c
     spark = rows.sparkSession
     sizes = rows.groupBy(F.size(vec_col).alias("n")).count().filter("n > 0").orderBy(F.desc("count"), "n").limit(1).collect()
     if not sizes:
-        return rows.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.col(id_col).isNotNull().alias("kept"))
+        return rows.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.lit(True).alias("kept"))
     dim = sizes[0].n
     found = _util.saved(classes(rows, id_col, vec_col, dim))
     n = found.count()
     few = found.orderBy(F.xxhash64("v"), "node").limit(sample).select("v").toPandas()["v"]
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     if not len(few):
-        return rows.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.col(id_col).isNotNull().alias("kept"))
+        return rows.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.lit(True).alias("kept"))
     x = unit(np.stack(few.to_numpy()))
     lists = int(min(65_536, max(1, np.sqrt(n)), len(x)))
     model = train(x, lists)

@@ -11,8 +11,8 @@ Training takes a bounded sample: at most ``SAMPLE`` distinct labelled texts of
 each class. Scoring reads every whole text.
 
 Nulls and empty texts score as texts without features. With no labelled rows,
-or one class only, the score is the share of toxic rows in the sample (0.5 if
-there is none). Repeated rows are scored each.
+or one class only, the score is the share of toxic rows in the sample (next to
+0 if there is no sample, so that nothing is rejected unseen). Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def train(pairs: list[tuple[str, int]], steps: int = 150, l2: float = 1e-3) -> d
     """The model of (text, 0 or 1) pairs: buckets, their weights, bias."""
     y = np.array([int(bool(label)) for _, label in pairs], np.float64)
     if len(y) == 0 or y.min() == y.max():
-        rate = np.clip(y.mean() if len(y) else 0.5, 1e-6, 1 - 1e-6)
+        rate = np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6)
         return {"bucket": np.zeros(0, np.int64), "weight": np.zeros(0, np.float32), "bias": float(np.log(rate / (1 - rate)))}
     rows = [_features(t).astype(np.int32) for t, _ in pairs]
     count = [np.zeros(DIM), np.zeros(DIM)]
@@ -101,6 +101,7 @@ def score_texts(texts: pa.Array, model: dict, dense: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``toxicity`` (0 to 1), which replaces one of that name."""
     kept = _util.without(docs, "toxicity")
+    _util.batch_rows(docs.sparkSession, 2000)
     names = kept.columns
 
     def run(batches):
