@@ -62,6 +62,21 @@ def test_csv_to_fasta_text(spark, tmp_path):
     assert hashlib.md5(">4706047775_4_8\nDEFGH\n".encode()).hexdigest() == hashlib.md5("".join(f">{r.id}\n{r.seq}\n" for r in df.collect()).encode()).hexdigest()
 
 
+def test_published_output(spark):
+    """13 proteins give 14 slices whose text has the published checksum."""
+    m = lambda p=None, q=None: json.dumps({k: [hit(*x) for x in v] for k, v in (("p", p), ("m", q)) if v is not None})
+    rows = [
+        ("1", ALPHABET, m([(1, 5)])), ("2", ALPHABET, m([(1, 22)])), ("3", ALPHABET, m([(1, 5), (20, 26)])), ("4", ALPHABET, m(None, [(1, 5)])),
+        ("5", ALPHABET, m(None, [(6, 26)])), ("6", ALPHABET, m([(12, 16), (9, 13)])), ("7", ALPHABET, m([(1, 20)])), ("8", ALPHABET, m([(3, 24)], [(1, 26)])),
+        ("9", ALPHABET, m([(6, 10)], [(11, 21)])), ("10", ALPHABET, m([(1, 3), (10, 14)], [(23, 26)])), ("11", ALPHABET, m([(10, 12)], [(11, 16)])),
+        ("12", "ABCD", json.dumps({"b": []})), ("13", "ABCDE", json.dumps({})),
+    ]
+    got = slices(spark, rows, 5)
+    order = lambda r: [int(x) for x in r[0].split("_")]
+    text = "".join(f">{i}\n{s}\n" for i, s in sorted(got, key=order))
+    assert len(got) == 14 and hashlib.md5(text.encode()).hexdigest() == "32aaa7e3ff941b773fd9703bb01b1bb7"
+
+
 REGION = st.tuples(st.integers(1, 40), st.integers(0, 15)).map(lambda t: (t[0], t[0] + t[1]))
 
 
