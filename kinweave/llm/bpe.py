@@ -117,6 +117,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     that made it; without it the lists themselves are returned."""
     path = path or vocabulary_path()
     spark = docs.sparkSession
+    _util.batch_rows(spark, 10_000)  # a batch is a block; larger blocks repeat fewer words
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(text, F.lit(word_pattern(path)), F.lit(0)).alias("words"))
