@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from ..storage import written
 
 
 def representatives(clusters: DataFrame, minimum_members: int = 25) -> DataFrame:
@@ -26,24 +27,25 @@ def total(clusters: DataFrame) -> DataFrame:
 def chunked(df: DataFrame, order: list[str], size: int) -> DataFrame:
     """``df`` with ``chunk`` = 1, 2, ... of ``size`` rows each in a given order.
 
-    Rows are numbered without a single-task window: a range sort, the counts of
-    its partitions, and numbers within each partition."""
+    See :func:`numbered`."""
     return numbered(df, order, "_n").withColumn("chunk", F.expr(f"CAST((_n - 1) DIV {int(size)} + 1 AS int)")).drop("_n")
 
 
-def numbered(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """``df`` with 1-based dense row numbers in a total order.
 
-    Equal rows may be numbered either way. The sort is a range exchange, so each
-    partition holds a stretch of the order; only one count per partition is
-    gathered."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    ranged = ranged.withColumn("_within", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_c"))
+    The sort is a range exchange; each row gets its partition and its place in it,
+    and a partition's first number is the sum of the counts before it, so no task
+    holds all rows. The numbered rows are written once before they are counted: a
+    range exchange that runs twice may cut elsewhere. Equal rows may be numbered
+    either way."""
+    placed = written(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_c"))
     before = F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("_part", before.alias("_before"))
-    joined = ranged.join(F.broadcast(offsets), "_part")  # one row per partition
-    return joined.select(*[f"`{c}`" for c in df.columns], (F.col("_before") + F.col("_within")).cast("long").alias(name))
+    joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")  # one row per partition
+    return joined.select(*[f"`{c}`" for c in df.columns], (F.col("_before") + within + 1).cast("long").alias(name))
 
 
 def members_of(clusters: DataFrame, reps: DataFrame) -> DataFrame:
