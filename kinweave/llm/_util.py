@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -37,6 +39,13 @@ def saved(df: DataFrame, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now: it does so when the
+    driver's references to them are collected, which may otherwise be late."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_saved(df: DataFrame) -> None:
     """Delete the files of a :func:`saved` table that nothing reads any more."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
@@ -51,6 +60,23 @@ def batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def lean(run):
+    """``run`` (a function of Arrow batches) in a worker that hands memory back: buffers
+    come from the system's allocator and free pages are returned when the task ends.
+    Workers are reused by later tasks, and two of them share an executor's memory."""
+
+    def wrapped(batches):
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column (null: empty) and its n + 1 offsets,
     without a copy of the text."""
@@ -62,7 +88,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(column: pa.Array, limit: int = 4 << 20):
+def pieces(column: pa.Array, limit: int = 1 << 19):
     """Slices of a string column of about ``limit`` bytes each (one long text
     may be more): yields first row, next row, bytes, offsets."""
     data, offsets = bytes_of(column)

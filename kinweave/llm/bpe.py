@@ -117,7 +117,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     that made it; without it the lists themselves are returned."""
     path = path or vocabulary_path()
     spark = docs.sparkSession
-    _util.batch_rows(spark, 10_000)  # a batch is a block; larger blocks repeat fewer words
+    _util.batch_rows(spark, 5_000)  # a batch is a block; larger blocks repeat fewer words
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(text, F.lit(word_pattern(path)), F.lit(0)).alias("words"))
@@ -166,7 +166,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 names=["key", "block", "bucket", "ids", "payload"],
             )
 
-    dealt = split.mapInArrow(blocks, f"key string, block string, bucket int, ids array<{kind}>, payload binary").repartition("key")
+    dealt = split.mapInArrow(_util.lean(blocks), f"key string, block string, bucket int, ids array<{kind}>, payload binary").repartition("key")
 
     def answer(group: pa.Table) -> pa.Table:
         """The bucket's part of the distinct-word table, and its words' ids for every block."""
@@ -251,7 +251,7 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_decoded(batch.column(1), pieces), pa.string())], names=[id_col, "text"])
 
     own = encoded.select(id_col, "token_ids")
-    return own.mapInArrow(run, _util.extended(own.select(id_col), text="string"))
+    return own.mapInArrow(_util.lean(run), _util.extended(own.select(id_col), text="string"))
 
 
 def _decoded(lists: pa.Array, pieces: pa.Array):

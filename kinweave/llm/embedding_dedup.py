@@ -132,7 +132,7 @@ def link(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_c
                     names=["list", "is_query", "node", "copies", "v", "code"],
                 )
 
-    placed = found.select("v", "node", "copies").mapInArrow(assign, f"list int, is_query boolean, node {kind}, copies long, v array<double>, code binary")
+    placed = found.select("v", "node", "copies").mapInArrow(_util.lean(assign), f"list int, is_query boolean, node {kind}, copies long, v array<double>, code binary")
     # how many chunks each list has: at most 65,536 rows
     load = found.select("v", "node", "copies").mapInArrow(lambda bs: (_homes(b, model, dim) for b in bs), "list int").groupBy("list").count()
     chunks = {r["list"]: -(-r["count"] // CHUNK) for r in load.filter(F.col("count") > CHUNK).collect()}

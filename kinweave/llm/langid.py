@@ -130,7 +130,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
             new = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*names, *added])
 
-    return kept.mapInArrow(run, _util.extended(kept, lang_pred="string", score="double"))
+    return kept.mapInArrow(_util.lean(run), _util.extended(kept, lang_pred="string", score="double"))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:

@@ -121,7 +121,7 @@ def score(docs: DataFrame, model: dict, above: float = 0.0, text_col: str = "tex
             out = [np.concatenate([g[i] for g in got] or [np.zeros(0)]) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out[0], from_pandas=True), pa.array(out[1])], names=[*names, *added])
 
-    return kept.mapInArrow(run, _util.extended(kept, expected_grade="double", tail_probability="double"))
+    return kept.mapInArrow(_util.lean(run), _util.extended(kept, expected_grade="double", tail_probability="double"))
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grade_col: str = "quality", sample: int = SAMPLE, held_out: int = 5) -> dict:

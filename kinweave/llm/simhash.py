@@ -105,7 +105,8 @@ def fingerprints(docs: DataFrame, k: int = 3, width: int = 1, id_col: str = "doc
                 yield pa.RecordBatch.from_arrays([ids[lo:hi], pa.array(np.diff(offsets)), *[pa.array(f[:, j].view(np.int64)) for j in range(width)]], names=[id_col, "n_shingles", *names])
 
     own = docs.select(F.col(id_col), F.col(text_col))
-    return own.mapInArrow(run, _util.extended(own.select(id_col), n_shingles="long", **dict.fromkeys(names, "long")))
+    _util.batch_rows(docs.sparkSession, 2000)
+    return own.mapInArrow(_util.lean(run), _util.extended(own.select(id_col), n_shingles="long", **dict.fromkeys(names, "long")))
 
 
 def anchors(f: np.ndarray, reach: int, triples: int = TRIPLES) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +230,7 @@ def _meet(keyed: DataFrame, names: list[str], bits: int) -> DataFrame:
                 return
 
     dealt = keyed.select("anchor", "node", *names).repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(_util.lean(run), "u long, v long")
 
 
 def links(classes: DataFrame, bits: int = 2, triples: int = TRIPLES) -> DataFrame:
@@ -245,7 +246,7 @@ def links(classes: DataFrame, bits: int = 2, triples: int = TRIPLES) -> DataFram
                 own = f[lo : lo + 2048][who].view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(own), pa.array(own)], names=["anchor", "node", "f0"])
 
-    keyed = classes.select("f0").mapInArrow(spread, "anchor long, node long, f0 long")
+    keyed = classes.select("f0").mapInArrow(_util.lean(spread), "anchor long, node long, f0 long")
     return _meet(keyed, ["f0"], bits)
 
 
@@ -276,7 +277,7 @@ def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width:
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), *batch.columns], names=["anchor", "node", *names])
 
     own = classes.select("node", *names)
-    keyed = own.mapInArrow(spread, _util.extended(own.sparkSession.createDataFrame([], "anchor long"), node="long", **dict.fromkeys(names, "long")))
+    keyed = own.mapInArrow(_util.lean(spread), _util.extended(own.sparkSession.createDataFrame([], "anchor long"), node="long", **dict.fromkeys(names, "long")))
     return _meet(keyed, names, similar_bits(similarity, width))
 
 

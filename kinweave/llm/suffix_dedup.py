@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import _util, suffix
 
-LENGTH, GRAM, MOST_WINDOWS, SHARD, HOT = 200, 32, 2048, 4 << 20, 16 << 20
+LENGTH, GRAM, MOST_WINDOWS, SHARD, HOT = 200, 32, 2048, 2 << 20, 8 << 20
 LONG = 1 << 23  # bytes whose places fit beside a hash
 STOP = 0xFF  # in no UTF-8 text
 
@@ -106,7 +106,7 @@ def _regions(texts: DataFrame, length: int, keys_only: bool) -> DataFrame:
     def run(batches):
         for batch in batches:
             t1, t2, text, copies = (batch.column(i) for i in range(4))
-            for lo, hi, data, offsets in _util.pieces(text, 1 << 20):
+            for lo, hi, data, offsets in _util.pieces(text, 1 << 18):
                 first, n, key, within = windows(data, offsets, length)
                 row = np.searchsorted(offsets, first, "right") - 1
                 weight = np.asarray(copies)[lo:hi][row]
@@ -121,7 +121,7 @@ def _regions(texts: DataFrame, length: int, keys_only: bool) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "h", "t1", "t2", "first", "n", "copies"])
 
     schema = "key long, copies long" if keys_only else "key long, h long, t1 long, t2 long, first int, n int, copies long"
-    return texts.select("t1", "t2", "text", "copies").mapInArrow(run, schema)
+    return texts.select("t1", "t2", "text", "copies").mapInArrow(_util.lean(run), schema)
 
 
 def _contents(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
@@ -144,7 +144,7 @@ def _contents(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 cut = flat.slice(lo, 8192)
                 yield pa.RecordBatch.from_arrays([cut.field("key"), cut.field("h"), cut.field("c"), pa.array(content, pa.binary())], names=["key", "h", "copies", "content"])
 
-    return joined.mapInArrow(run, "key long, h long, copies long, content binary")
+    return joined.mapInArrow(_util.lean(run), "key long, h long, copies long, content binary")
 
 
 def mark(contents: list[bytes], copies: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -202,7 +202,7 @@ def _sharded(contents: DataFrame, length: int) -> DataFrame:
         if rows:
             yield shard(rows)
 
-    return contents.repartition("key").sortWithinPartitions("key", "h").mapInArrow(run, "key long, h long, spans array<int>")
+    return contents.repartition("key").sortWithinPartitions("key", "h").mapInArrow(_util.lean(run), "key long, h long, spans array<int>")
 
 
 def _by_window(contents: DataFrame, length: int) -> DataFrame:
@@ -221,7 +221,7 @@ def _by_window(contents: DataFrame, length: int) -> DataFrame:
                 cols = [pa.array(w), pa.array(g), pa.array(np.full(n, copies)), pa.array(np.full(n, key)), pa.array(np.full(n, h)), pa.array(at.astype(np.int32)), pa.array([content[i : i + length] for i in at], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["w", "g", "copies", "key", "h", "at", "content"])
 
-    each = contents.mapInArrow(run, "w long, g long, copies long, key long, h long, at int, content binary")
+    each = contents.mapInArrow(_util.lean(run), "w long, g long, copies long, key long, h long, at int, content binary")
     distinct = each.groupBy("w", "g").agg(F.sum("copies").alias("copies"), F.max("content").alias("content"))
     found = _sharded(distinct.select(F.col("w").alias("key"), F.col("g").alias("h"), "copies", "content"), length)
     back = each.join(found.select(F.col("key").alias("w"), F.col("h").alias("g")), ["w", "g"], "left_semi")
@@ -237,11 +237,13 @@ def removals(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> D
     keys = _regions(texts, length, True).groupBy("key").agg(F.sum("copies").alias("total")).filter("total > 1").select("key")
     # kept, as two steps need them and making them means reading every text
     regions = _util.saved(_regions(texts, length, False).join(keys, "key", "left_semi"), compression="zstd")
+    _util.release(docs.sparkSession)
     distinct = regions.groupBy("key", "h").agg(
         F.sum("copies").alias("copies"), F.min(F.struct("t1", "t2", "first")).alias("place"), F.max("n").alias("n")
     )
     places = distinct.select("key", "h", "copies", "n", "place.*")
     contents = _util.saved(_contents(texts, places, length), compression="zstd")
+    _util.release(docs.sparkSession)
     heavy = contents.groupBy("key").agg(F.sum(F.octet_length("content")).alias("size")).filter(F.col("size") > HOT).select("key")
     if heavy.isEmpty():
         marks = _sharded(contents, length)
@@ -249,6 +251,7 @@ def removals(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> D
         rest = contents.join(heavy, "key", "left_anti")
         marks = _sharded(rest, length).unionByName(_by_window(contents.join(heavy, "key", "left_semi"), length))
     marks = _util.saved(marks)
+    _util.drop_saved(contents)
     placed = regions.join(marks, ["key", "h"]).select("t1", "t2", F.transform("spans", lambda x: x + F.col("first")).alias("s"))
     spans = placed.groupBy("t1", "t2").agg(F.flatten(F.collect_list("s")).alias("spans"))
     return texts.join(spans, ["t1", "t2"], "left").select("t1", "t2", "text", "copies", "spans")
@@ -283,7 +286,7 @@ def _applied(docs: DataFrame, length: int, text_col: str, with_text: bool) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)]], names=["t1", "t2", *rows])
 
     found = removals(docs, length, text_col)
-    return found.mapInArrow(run, "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    return found.mapInArrow(_util.lean(run), "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def digest(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import _train, _util
 
 DIM, KEPT, SAMPLE, ORDERS = 1 << 20, 8192, 2500, (3, 4, 5)
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def grams(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
@@ -112,7 +112,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             out = [score_texts(text[lo:hi], model, dense) for lo, hi, _, _ in _util.pieces(text, PIECE)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out or [np.zeros(0)]), pa.float64())], names=[*names, "toxicity"])
 
-    return kept.mapInArrow(run, _util.extended(kept, toxicity="double"))
+    return kept.mapInArrow(_util.lean(run), _util.extended(kept, toxicity="double"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: int = SAMPLE, held_out: int = 5) -> dict:
