@@ -57,6 +57,17 @@ def oracle_sql():
     symbol = f"""substr('{_BASE32}', CAST((CAST('0x' || substr(h, 5 * k + 1, 5) AS INTEGER) >> (5 * (3 - j))) & 31 AS INTEGER) + 1, 1)"""
     return {
         "op3_decontamination": decontaminate.oracle_sql(),
+        "op9_embedding_dedup": """
+            WITH RECURSIVE v AS (
+                SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+                WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+            u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v WHERE list_inner_product(e, e) > 0),
+            l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+                  WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+            r(node, top) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.a, r.top FROM r JOIN l ON l.b = r.node),
+            c AS (SELECT node, min(top) AS component_id FROM r GROUP BY node)
+            SELECT vec_id, (SELECT count(*) FROM l WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+            FROM embeddings JOIN c ON node = vec_id""",
         "op10_warc": f"""
             WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
                  m AS (SELECT html, min(page_id) AS first_id FROM p GROUP BY html)
