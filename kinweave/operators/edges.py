@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import scalar
 from ..storage import written
 
+ROW_BOUND = 20_000
+
 
 def representatives(clusters: DataFrame, minimum_members: int = 25) -> DataFrame:
     """Representatives of clusters with enough members."""
@@ -68,19 +70,30 @@ def base_proteins(edges: DataFrame) -> DataFrame:
     return edges.select("family", scalar.base_name(F.col("member")).alias("protein")).distinct()
 
 
-def pair_jaccard(pairs: DataFrame, family_protein: DataFrame) -> DataFrame:
+def pair_jaccard(pairs: DataFrame, family_protein: DataFrame, row_bound: int = ROW_BOUND) -> DataFrame:
     """``pairs`` (a, b) with the Jaccard score of their protein sets, 0 if both
-    are empty. Only the given pairs are compared: their sets meet by joins on
-    (pair, protein), so a protein of many families multiplies nothing else."""
-    distinct = pairs.select("a", "b").distinct()
+    are empty. Only the given pairs are compared.
+
+    Sets of at most ``row_bound`` proteins travel as one array per family and meet
+    within a row; a pair with a larger set meets by joins on (pair, protein),
+    which hold no set in one place."""
     sizes = family_protein.groupBy("family").agg(F.count("*").alias("n"))
-    left = distinct.join(family_protein.withColumnRenamed("family", "a"), "a")
-    shared = left.join(family_protein.withColumnRenamed("family", "b"), ["b", "protein"]).groupBy("a", "b").agg(F.count("*").alias("shared"))
     size = lambda k: sizes.select(F.col("family").alias(k), F.col("n").alias(f"n_{k}"))
-    joined = pairs.join(shared, ["a", "b"], "left").join(size("a"), "a", "left").join(size("b"), "b", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
-    union = zero("n_a") + zero("n_b") - zero("shared")
-    return joined.withColumn("score", F.when(union > 0, zero("shared") / union).otherwise(F.lit(0.0))).drop("shared", "n_a", "n_b")
+    sized = pairs.select("a", "b").distinct().join(size("a"), "a", "left").join(size("b"), "b", "left")
+    sized = sized.withColumn("large", (zero("n_a") > row_bound) | (zero("n_b") > row_bound))
+    sets = family_protein.join(sizes.filter(F.col("n") <= row_bound).select("family"), "family", "left_semi").groupBy("family").agg(F.collect_list("protein").alias("s"))
+    own = lambda k: sets.select(F.col("family").alias(k), F.col("s").alias(f"s_{k}"))
+    in_row = sized.filter("NOT large").join(own("a"), "a", "left").join(own("b"), "b", "left")
+    in_row = in_row.select("a", "b", "n_a", "n_b", zero(F.size(F.array_intersect("s_a", "s_b"))).alias("shared"))
+    rest = sized.filter("large")
+    met = rest.select("a", "b").join(family_protein.withColumnRenamed("family", "a"), "a").join(family_protein.withColumnRenamed("family", "b"), ["b", "protein"])
+    spread = rest.join(met.groupBy("a", "b").agg(F.count("*").alias("shared")), ["a", "b"], "left").select("a", "b", "n_a", "n_b", zero("shared").alias("shared"))
+    both = in_row.unionByName(spread)
+    shared = F.greatest("shared", F.lit(0))
+    union = zero("n_a") + zero("n_b") - shared
+    scores = both.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.when(union > 0, shared / union).otherwise(F.lit(0.0)).alias("score"))
+    return pairs.join(scores, pairs["a"].eqNullSafe(scores["_a"]) & pairs["b"].eqNullSafe(scores["_b"])).drop("_a", "_b")
 
 
 def difference(recruited: DataFrame, checked: DataFrame) -> DataFrame:

@@ -97,8 +97,9 @@ def test_redundancy(spark):
 def test_jaccard_is_symmetric_and_zero_for_empty_sets(spark):
     sets = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "2")], "family string, protein string")
     pairs = spark.createDataFrame([("a", "b"), ("b", "a"), ("x", "y"), ("a", None)], "a string, b string")
-    got = {(r.a, r.b): r.score for r in edges.pair_jaccard(pairs, sets).collect()}
-    assert got == {("a", "b"): 0.5, ("b", "a"): 0.5, ("x", "y"): 0.0, ("a", None): 0.0}
+    for bound in (100, 1, 0):
+        got = {(r.a, r.b): r.score for r in edges.pair_jaccard(pairs, sets, bound).collect()}
+        assert got == {("a", "b"): 0.5, ("b", "a"): 0.5, ("x", "y"): 0.0, ("a", None): 0.0}
 
 
 def test_discarded_cluster_gives_its_number_back(spark):
