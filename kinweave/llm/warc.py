@@ -1,7 +1,8 @@
 """Content-addressed WARC archive.
 
 Two tables in one folder: ``payloads`` holds the bytes of every distinct payload
-once, under its SHA-256, after a check that all bytes under a digest are equal;
+once, under its SHA-256 and length, after a check that a second digest (SHA-1) of all
+payloads under it is one too;
 ``headers`` holds the exact header block of every record and the digest of its
 payload. The original records come back through a join of the two.
 
@@ -32,7 +33,7 @@ def _with_digests(pages: DataFrame, id_col: str, url_col: str, payload_col: str)
     body = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     return pages.select(
         F.col(id_col).alias("record_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), body.alias("payload")
-    ).select("*", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("long").alias("n_bytes"))
+    ).select("*", F.sha2("payload", 256).alias("digest"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("n_bytes"))
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, date: str = DATE) -> str:
@@ -40,16 +41,17 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 
     Payloads of fewer than ``min_bytes`` are always response records."""
     recs = _with_digests(pages, id_col, url_col, payload_col)
-    # a payload that fills a third of the table is one row per task after the partial aggregation
+    # a payload that fills a third of the table is one row per task after the partial aggregation;
+    # a second digest tells whether all payloads under a digest are one
     store = recs.groupBy("digest", "n_bytes").agg(
-        F.min("payload").alias("payload"), F.max("payload").alias("other"), F.min("record_id").alias("first_id")
+        F.max("payload").alias("payload"), F.min("sha1").alias("sha1"), F.max("sha1").alias("other"), F.min("record_id").alias("first_id")
     )
-    same = F.assert_true(F.col("payload") == F.col("other"), F.concat(F.lit("two payloads under digest "), F.col("digest")))
-    store = store.filter(same.isNull()).select("digest", "n_bytes", base32_of_hex(F.sha1("payload")).alias("sha1"), "first_id", "payload")
+    same = F.assert_true(F.col("sha1") == F.col("other"), F.concat(F.lit("two payloads under digest "), F.col("digest")))
+    store = store.filter(same.isNull()).select("digest", "n_bytes", base32_of_hex(F.col("sha1")).alias("sha1"), "first_id", "payload")
     store.write.parquet(f"{path}/payloads")
     known = pages.sparkSession.read.parquet(f"{path}/payloads").select("digest", "n_bytes", "sha1", "first_id")
     # the sort-merge join of a hot digest is split by adaptive execution: only the narrow side repeats
-    joined = recs.drop("payload").join(known, ["digest", "n_bytes"])
+    joined = recs.drop("payload", "sha1").join(known, ["digest", "n_bytes"])
     revisit = ~F.col("record_id").eqNullSafe(F.col("first_id")) & (F.col("n_bytes") >= min_bytes)
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("n_bytes"), F.lit("\r\n\r\n"))
