@@ -63,13 +63,9 @@ def canonical(raw: Column) -> Column:
 
     def one(t: Column) -> Column:
         first = F.ascii(t)
-        return (
-            F.when(first == 1, "<name>")
-            .when((first >= 48) & (first <= 57), "<num>")
-            .when(t.isin([*UNITS, *SIGNS]), "<unit>")
-            .when(t.isin(NUMBERS), "<num>")
-            .otherwise(t)
-        )
+        # below the letters are the mark, digits and the ASCII signs; most tokens cost one look at a set
+        low = F.when(first == 1, "<name>").when(first >= 48, "<num>").otherwise("<unit>")
+        return F.when(first < 97, low).when(t.isin([*UNITS, *SIGNS, *NUMBERS]), F.when(t.isin(NUMBERS), "<num>").otherwise("<unit>")).otherwise(t)
 
     return F.transform(raw, one)
 
@@ -109,7 +105,7 @@ def _windows(texts: DataFrame, size: int, whole: bool = False) -> DataFrame:
         return F.transform(pairs, lambda p: F.concat(p["t"], p["r"]))
 
     hashes = F.col(f"h{size}")
-    plain = F.transform(hashes, lambda h: F.struct(h.alias("h"), F.lit(None).cast("array<string>").alias("slots")))
+    plain = F.arrays_zip(hashes.alias("h"), F.array().cast("array<array<string>>").alias("slots"))
     slotted = F.zip_with(hashes, F.transform(places, slots), lambda h, s: F.struct(h.alias("h"), F.when(F.size(s) > 0, s).alias("slots")))
     out = own.select("id", F.posexplode(F.when(has, slotted).otherwise(plain)).alias("pos", "w"))
     out = out.select("id", F.lit(size).alias("size"), "pos", F.col("w.h").alias("h"), F.col("w.slots").alias("slots"))
@@ -136,7 +132,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     found = _windows(own, WINDOW)
     for n in short:
         found = found.unionByName(_windows(own, n))
-    hit = found.join(F.broadcast(bench) if n_bench <= BROADCAST_WINDOWS else bench, ["h", "size"])
+    # one long as the key makes the cheapest hash table; sizes are compared after it
+    other = bench.withColumnRenamed("size", "item_size")
+    hit = found.join(F.broadcast(other) if n_bench <= BROADCAST_WINDOWS else other, "h").filter(F.col("size") - F.col("item_size") == 0)
     hit = hit.select("id", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "item_pos", "size", "slots", "item_slots")
     on = ["id", "item", "diagonal"]
     hit = _util.saved(hit)  # few rows: what matches
