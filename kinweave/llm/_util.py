@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -42,8 +43,10 @@ def saved(df: DataFrame, **options: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now: it does so when the
     driver's references to them are collected, which may otherwise be late."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the second round follows references that the first one freed
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def drop_saved(df: DataFrame) -> None:
