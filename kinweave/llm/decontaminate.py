@@ -16,6 +16,13 @@ only a skeleton of placeholders is not. Windows of which over half are
 placeholders don't count. A document is contaminated by an item if the windows
 of consistent diagonals cover ``ENOUGH`` places of the item, or all it has.
 
+**An item's first word** is a word at the start of a text and a name after 'Q: '.
+So an item has a second reading, its first word as a name; either suffices, and
+the counts are those of the plain reading where that does. At the same place
+documents offer the capitalised word of a sentence start as a name too. The words
+in ``OPENERS`` are never names: there the document must have the same word. A name
+that ran together with the capitalised word before it counts as its last part.
+
 The benchmark's windows are broadcast if there are no more than
 ``BROADCAST_WINDOWS`` of them, else joined by a shuffle; the rows are the same.
 A passage that is in very many documents gives each of them its own rows, and
@@ -46,16 +53,30 @@ NUMBERS = (
     "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
 ).split()
 SIGNS = "%$€£°"
+OPENERS = (
+    "a about after all also among an and another any are as at because before between both but by can choose compute could define describe determine did do does "
+    "during each either every evaluate explain find following for from given had has have he her here his how however i if in into is it its let list many most my "
+    "name no not of on one or our over please read select she should simplify since so solve some suppose that the their then there these they this those to under until "
+    "using was we were what when where whether which while who whom whose why with would write you your"
+).split()
 
-MARK = "\u0001"
+MARK, START = "\u0001", "\u0002"
 NAME_AFTER = r"([\p{L}\p{N},;:] )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
 TOKEN = rf"{MARK}[^{MARK}]+{MARK}|\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}+)*|[{SIGNS}]"
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased tokens; names stand between marks."""
-    text = F.translate(F.coalesce(text.cast("string"), F.lit("")), MARK, " ")
-    return F.regexp_extract_all(F.lower(F.regexp_replace(text, NAME_AFTER, f"$1{MARK}$2{MARK}")), F.lit(TOKEN), F.lit(0))
+#: what NAME_AFTER leaves: a capitalised word that follows neither a mark nor a letter (and a space)
+CAPITAL = rf"(?<![\p{{L}}{MARK}])(?<!\p{{L}} )(?=\p{{Lu}})"
+
+
+def tokens(text: Column, starts: bool = False) -> Column:
+    """Lower-cased tokens; names stand between marks. ``starts``: other capitalised
+    words begin with ``START``."""
+    text = F.translate(F.coalesce(text.cast("string"), F.lit("")), MARK + START if starts else MARK, "  ")
+    marked = F.regexp_replace(text, NAME_AFTER, f"$1{MARK}$2{MARK}")
+    if not starts:
+        return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.regexp_replace(marked, CAPITAL, START)), F.lit(TOKEN.replace(r"|\p{L}+|", rf"|{START}?\p{{L}}+|")), F.lit(0))
 
 
 def canonical(raw: Column) -> Column:
@@ -64,8 +85,9 @@ def canonical(raw: Column) -> Column:
     def one(t: Column) -> Column:
         first = F.ascii(t)
         # below the letters are the mark, digits and the ASCII signs; most tokens cost one look at a set
-        low = F.when(first == 1, "<name>").when(first >= 48, "<num>").otherwise("<unit>")
-        return F.when(first < 97, low).when(t.isin([*UNITS, *SIGNS, *NUMBERS]), F.when(t.isin(NUMBERS), "<num>").otherwise("<unit>")).otherwise(t)
+        word = lambda t: F.when(t.isin([*UNITS, *SIGNS, *NUMBERS]), F.when(t.isin(NUMBERS), "<num>").otherwise("<unit>")).otherwise(t)
+        low = F.when(first == 1, "<name>").when(first == 2, word(F.substring(t, 2, 1 << 30))).when(first >= 48, "<num>").otherwise("<unit>")
+        return F.when(first < 97, low).otherwise(word(t))
 
     return F.transform(raw, one)
 
@@ -90,63 +112,114 @@ def with_window_hashes(texts: DataFrame, size: int) -> DataFrame:
     return texts.withColumn(name, F.zip_with(a, b, lambda x, y: F.xxhash64(x, y)))
 
 
-def _windows(texts: DataFrame, size: int, whole: bool = False) -> DataFrame:
-    """(id, size, pos, h, slots): the windows of rows (id, raw, template), the raw
-    slot values of those with placeholders. ``whole``: only texts of that size."""
+def _named_first(size: int, i: Column) -> Column:
+    """The hash of the window of ``size`` tokens at ``i`` with a name as its first token."""
+    if size == 1:
+        return F.xxhash64(F.lit("<name>"))
+    left = 1 << ((size - 1).bit_length() - 1)
+    return F.xxhash64(_named_first(left, i), F.get(f"h{size - left}", i + left))
+
+
+def _windows(texts: DataFrame, size: int, whole: bool = False, starts: bool = False) -> DataFrame:
+    """(id, size, pos, h, slots, named): the windows of rows (id, raw, template), the raw
+    slot values of those with placeholders. ``whole``: only texts of that size.
+    ``starts``: windows that begin with a ``START`` come a second time, ``named``."""
     # shorter texts have no windows; a filter on their size would be pushed below the
     # projections and make the tokens twice
     own = with_window_hashes(texts.filter(F.size("template") == size) if whole else texts, size)
     has = (F.size("template") >= size) & F.exists("template", _is_slot)
     places = F.sequence(F.lit(0), F.size("template") - size)
 
-    def slots(i: Column) -> Column:
-        part = F.slice("template", i + 1, F.lit(size))
-        pairs = F.filter(F.arrays_zip(part.alias("t"), F.slice("raw", i + 1, F.lit(size)).alias("r")), lambda p: _is_slot(p["t"]))
+    def slots(i: Column, skip: int = 0) -> Column:
+        part = F.slice("template", i + 1 + skip, F.lit(size - skip))
+        pairs = F.filter(F.arrays_zip(part.alias("t"), F.slice("raw", i + 1 + skip, F.lit(size - skip)).alias("r")), lambda p: _is_slot(p["t"]))
         return F.transform(pairs, lambda p: F.concat(p["t"], p["r"]))
 
     hashes = F.col(f"h{size}")
-    plain = F.arrays_zip(hashes.alias("h"), F.array().cast("array<array<string>>").alias("slots"))
-    slotted = F.zip_with(hashes, F.transform(places, slots), lambda h, s: F.struct(h.alias("h"), F.when(F.size(s) > 0, s).alias("slots")))
-    out = own.select("id", F.posexplode(F.when(has, slotted).otherwise(plain)).alias("pos", "w"))
-    out = out.select("id", F.lit(size).alias("size"), "pos", F.col("w.h").alias("h"), F.col("w.slots").alias("slots"))
+    none = F.lit(None).cast("array<string>")
+    window = lambda i, h, s, named: F.struct(i.alias("pos"), h.alias("h"), s.alias("slots"), F.lit(named).alias("named"))
+    plain = F.transform(hashes, lambda h, i: window(i, h, none, False))
+    slotted = F.zip_with(hashes, F.transform(places, lambda i: F.struct(i.alias("i"), slots(i).alias("s"))), lambda h, s: window(s["i"], h, F.when(F.size(s["s"]) > 0, s["s"]), False))
+    every = F.when(has, slotted).otherwise(plain)
+    if starts:
+        begin = lambda i: F.startswith(F.get("raw", i), F.lit(START)) & ~_is_slot(F.get("template", i))
+        value = lambda i: F.concat(F.lit(f"<name>{MARK}"), F.get("template", i), F.lit(MARK))
+        second = F.transform(F.filter(places, begin), lambda i: window(i, _named_first(size, i), F.concat(F.array(value(i)), slots(i, 1) if size > 1 else F.array().cast("array<string>")), True))
+        every = F.when(F.size("template") >= size, F.concat(every, second)).otherwise(every)
+    out = own.select("id", F.explode(every).alias("w"))
+    out = out.select("id", F.lit(size).alias("size"), "w.*")
     return out.filter(F.coalesce(F.size("slots"), F.lit(0)) * 2 <= size)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per contaminated document and item: (doc id, item id, n_windows,
-    item_windows, re_parameterised)."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).alias("id"), tokens(F.col(item_text_col)).alias("raw")).filter("id IS NOT NULL")
-    items = items.select("id", "raw", canonical(F.col("raw")).alias("template"))
+def _item_windows(items: DataFrame) -> tuple[DataFrame, list[int]]:
+    """The windows of items and the sizes under ``WINDOW`` among them."""
     # at most WINDOW - 1 numbers reach the driver
     short = sorted(r[0] for r in items.select(F.size("template")).distinct().filter(F.size("template").between(1, WINDOW - 1)).collect())
-    bench = _windows(items, WINDOW)
+    out = _windows(items, WINDOW)
     for n in short:
-        bench = bench.unionByName(_windows(items, n, whole=True))
-    bench = _util.saved(bench.dropDuplicates(["id", "size", "pos", "h"]).select(F.col("id").alias("item"), "size", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots")))
-    n_bench = bench.count()
-    total = bench.groupBy("item").agg(F.countDistinct("size", "item_pos").alias("item_windows"))
+        out = out.unionByName(_windows(items, n, whole=True))
+    return out, short
 
-    own = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("raw")).filter("id IS NOT NULL")
-    own = own.select("id", "raw", canonical(F.col("raw")).alias("template"))
-    found = _windows(own, WINDOW)
+
+def _hits(own: DataFrame, bench: DataFrame, n_bench: int, short: list[int], starts: bool) -> DataFrame:
+    found = _windows(own, WINDOW, starts=starts)
     for n in short:
-        found = found.unionByName(_windows(own, n))
+        found = found.unionByName(_windows(own, n, starts=starts))
     # one long as the key makes the cheapest hash table; sizes are compared after it
     other = bench.withColumnRenamed("size", "item_size")
-    hit = found.join(F.broadcast(other) if n_bench <= BROADCAST_WINDOWS else other, "h").filter(F.col("size") - F.col("item_size") == 0)
-    hit = hit.select("id", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "item_pos", "size", "slots", "item_slots")
-    on = ["id", "item", "diagonal"]
-    hit = _util.saved(hit)  # few rows: what matches
-    pair = hit.filter("item_slots IS NOT NULL").select(*on, F.explode(F.arrays_zip("item_slots", "slots")).alias("p"))
-    value = pair.groupBy(*on, F.col("p.item_slots").alias("value")).agg(F.min("p.slots").alias("a"), F.max("p.slots").alias("b"))
-    slots = value.groupBy(*on).agg(F.max(F.expr("a <> b")).alias("bad"), F.max(F.expr("a <> value")).alias("changed"))
+    return found.join(F.broadcast(other) if n_bench <= BROADCAST_WINDOWS else other, "h").filter(F.col("size") - F.col("item_size") == 0)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per contaminated document and item: (doc id, item id, n_windows,
+    item_windows, re_parameterised)."""
+    raw = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).cast("string").alias("_t")).filter("id IS NOT NULL")
+    # reading 0 as the item stands, reading 1 as it is read after a colon, where that differs
+    raw = raw.select("id", tokens(F.col("_t")).alias("raw"), tokens(F.concat(F.lit(": "), F.ltrim("_t"))).alias("raw1"))
+    both = raw.select("id", F.size("raw").alias("n0"), F.explode(F.array(
+        F.struct(F.lit(0).alias("reading"), F.col("raw").alias("raw")), F.when(F.col("raw") != F.col("raw1"), F.struct(F.lit(1).alias("reading"), F.col("raw1").alias("raw"))),
+    )).alias("r")).filter("r IS NOT NULL").select(F.struct("id", "r.reading", (F.col("n0") - F.size("r.raw")).alias("shift")).alias("id"), "r.raw")
+    items = _util.saved(both.select("id", "raw", canonical(F.col("raw")).alias("template")))
+    bench, short = _item_windows(items)
+    bench = bench.select(F.col("id.id").alias("item"), "id.reading", "size", (F.col("pos") + F.col("id.shift")).alias("item_pos"), "h", F.col("slots").alias("item_slots"), ((F.col("id.reading") == 1) & (F.col("pos") == 0)).alias("lead"))
+    bench = _util.saved(bench.dropDuplicates(["item", "reading", "size", "item_pos", "h"]))
+    total = _util.saved(bench.groupBy("item", "reading").agg(F.countDistinct("size", "item_pos").alias("item_windows")))
+    # both readings share all windows but those with the first word
+    bench = _util.saved(bench.groupBy("item", "size", "item_pos", "h", "item_slots", "lead").agg(F.sort_array(F.collect_set("reading")).alias("readings")))
+    n_bench = bench.count()
+
+    leads = F.regexp_extract(F.get("item_slots", F.lit(0)), rf"{MARK}(\p{{L}}+)", 1)
+    starts = not bench.filter(F.col("lead") & ~leads.isin(OPENERS)).isEmpty()
+    own = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col), starts).alias("raw")).filter("id IS NOT NULL")
+    own = own.select("id", "raw", canonical(F.col("raw")).alias("template"))
+    hit = _hits(own, bench, n_bench, short, starts).filter(~F.col("named") | F.col("lead"))
+    # the part of a name that is the item's, if it ran together with a word before it
+    ends = lambda a, b: (a == b) | F.endswith(a, F.concat(F.lit(" "), F.substring(b, len("<name>") + 2, 1 << 30)))
+    first, item_first = F.get("slots", F.lit(0)), F.get("item_slots", F.lit(0))
+    hit = hit.filter(~F.col("lead") | ~leads.isin(OPENERS) | ends(first, item_first))
+    hit = hit.select("id", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "item_pos", "size", "slots", "item_slots", "lead", "readings")
+    on = ["id", "item", "reading", "diagonal"]
+    hit = _util.saved(hit).withColumn("reading", F.explode("readings"))  # few rows: what matches
+    pair = hit.filter("item_slots IS NOT NULL").select(*on, "lead", F.posexplode(F.arrays_zip("item_slots", "slots")).alias("i", "p"))
+    of_lead = F.col("lead") & (F.col("i") == 0)
+    value = pair.groupBy(*on, F.col("p.item_slots").alias("value")).agg(
+        F.min(F.when(~of_lead, F.col("p.slots"))).alias("a"), F.max(F.when(~of_lead, F.col("p.slots"))).alias("b"),
+        F.min(F.when(of_lead, F.col("p.slots"))).alias("l"), F.max(F.when(of_lead, F.col("p.slots"))).alias("m"),
+    )
+    apart = F.coalesce(F.col("a") != F.col("b"), F.lit(False)) | F.coalesce(~(ends(F.col("l"), F.col("a")) | ends(F.col("a"), F.col("l"))), F.lit(False))
+    changed = F.coalesce(F.col("a") != F.col("value"), ~ends(F.col("l"), F.col("value")) & ~ends(F.col("m"), F.col("value")))
+    slots = value.groupBy(*on).agg(F.max(apart).alias("bad"), F.max(changed).alias("changed"))
     good = hit.join(slots, on, "left").filter(~F.coalesce("bad", F.lit(False)))
-    counted = good.groupBy("id", "item").agg(
+    counted = good.groupBy("id", "item", "reading").agg(
         F.countDistinct("size", "item_pos").alias("n_windows"), F.max(F.coalesce("changed", F.lit(False))).alias("re_parameterised")
     )
-    enough = counted.join(F.broadcast(total) if n_bench <= BROADCAST_WINDOWS else total, "item").filter(F.col("n_windows") >= F.least("item_windows", F.lit(ENOUGH)))
-    return enough.select(F.col("id").alias(id_col), F.col("item").alias(item_col if item_col != id_col else "item"), "n_windows", "item_windows", "re_parameterised")
+    of_item = ["item", "reading"]
+    enough = counted.join(F.broadcast(total) if n_bench <= BROADCAST_WINDOWS else total, of_item).filter(F.col("n_windows") >= F.least("item_windows", F.lit(ENOUGH)))
+    row = ["n_windows", "item_windows", "re_parameterised"]
+    enough = enough.select("id", "item", "reading", *row)
+    # >>> exact
+    enough = enough.groupBy("id", "item").agg(F.min(F.struct("reading", *row)).alias("r")).select("id", "item", "r.*")
+    return enough.select(F.col("id").alias(id_col), F.col("item").alias(item_col if item_col != id_col else "item"), *row)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

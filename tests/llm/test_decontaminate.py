@@ -72,3 +72,28 @@ def test_window_hashes(spark, n):
     if n <= 6:
         assert a[2] == b[1]
     assert F is not None
+
+
+@pytest.mark.parametrize("n", range(5, 15))
+def test_verbatim_after_any_word(spark, n):
+    words = "Which planet in the solar system has the most known moons of all today now".split()
+    item = " ".join(words[:n])
+    texts = [f"{before}{item}? And more." for before in ("", "Q: ", "Question: ", "we ask ", "He said. ", "Sample Question ")]
+    assert found(spark, texts, [item + "?"]) == dict.fromkeys(range(6), False)
+    assert found(spark, ["Q: Jupiter in a solar system has moons. In the solar system it has the most."], [item]) == {}
+
+
+def test_short_question_after_a_colon(spark):
+    item = "What is the capital of France?"
+    assert found(spark, [f"Question: {item}", f"x, {item}", "Lisbon is the capital of Portugal", "So, Lisbon is the capital of France"], [item]) == {0: False, 1: False}
+
+
+@pytest.mark.parametrize("n", [6, 7, 8, 9, 11, 13])
+def test_leading_name_with_new_parameters(spark, n):
+    item = " ".join("Alice keeps 7 old cats while Alice feeds 3 brown dogs near the".split()[:n])
+    new = item.replace("7", "9").replace("Alice", "Bob")
+    texts = [new, f"Q: {new}", f"It rains. {new}", f"It rains. {item.replace('Alice', 'Tom Lee')}", f"Then Sam {new}", f"see {item}"]
+    got = found(spark, texts, [item])
+    assert got == {0: True, 1: True, 2: True, 3: True, 4: True, 5: False}
+    if n > 6:
+        assert found(spark, [new.replace("Bob", "Carl", 1), "keeps " + new.lower()], [item]) == {}
