@@ -23,6 +23,11 @@ documents offer the capitalised word of a sentence start as a name too. The word
 in ``OPENERS`` are never names: there the document must have the same word. A name
 that ran together with the capitalised word before it counts as its last part.
 
+**Items of placeholders only**: if a reading has no window of which half are other
+words, the item is also searched by its plain lower-cased tokens, without
+placeholders (names as single words), so exact copies are found and skeletons are
+not. Only benchmarks with such items cost this second search.
+
 The benchmark's windows are broadcast if there are no more than
 ``BROADCAST_WINDOWS`` of them, else joined by a shuffle; the rows are the same.
 A passage that is in very many documents gives each of them its own rows, and
@@ -92,6 +97,11 @@ def canonical(raw: Column) -> Column:
     return F.transform(raw, one)
 
 
+def plain(raw: Column) -> Column:
+    """The words, numbers and signs of tokens, names taken apart."""
+    return F.flatten(F.transform(raw, lambda t: F.split(F.translate(t, MARK + START, ""), " ")))
+
+
 def _is_slot(t: Column) -> Column:
     return F.startswith(t, F.lit("<"))
 
@@ -170,6 +180,19 @@ def _hits(own: DataFrame, bench: DataFrame, n_bench: int, short: list[int], star
     return found.join(F.broadcast(other) if n_bench <= BROADCAST_WINDOWS else other, "h").filter(F.col("size") - F.col("item_size") == 0)
 
 
+def _copies(own: DataFrame, items: DataFrame) -> DataFrame:
+    """(id, item, reading 2, counts) of items in documents of the same tokens."""
+    bench, short = _item_windows(items)
+    bench = _util.saved(bench.select(F.col("id").alias("item"), "size", F.col("pos").alias("item_pos"), "h").distinct())
+    n_bench = bench.count()
+    total = bench.groupBy("item").agg(F.countDistinct("size", "item_pos").alias("item_windows"))
+    hit = _hits(own, bench, n_bench, short, False)
+    # a copy is in one piece: windows of one diagonal
+    line = hit.groupBy("id", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(F.countDistinct("size", "item_pos").alias("n"))
+    counted = line.groupBy("id", "item").agg(F.max("n").alias("n_windows")).join(total, "item").filter(F.col("n_windows") >= F.least("item_windows", F.lit(ENOUGH)))
+    return counted.select("id", "item", F.lit(2).alias("reading"), "n_windows", "item_windows", F.lit(False).alias("re_parameterised"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per contaminated document and item: (doc id, item id, n_windows,
     item_windows, re_parameterised)."""
@@ -217,7 +240,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     enough = counted.join(F.broadcast(total) if n_bench <= BROADCAST_WINDOWS else total, of_item).filter(F.col("n_windows") >= F.least("item_windows", F.lit(ENOUGH)))
     row = ["n_windows", "item_windows", "re_parameterised"]
     enough = enough.select("id", "item", "reading", *row)
-    # >>> exact
+    bare = items.select("id", "raw").join(total.select(F.struct("item", "reading").alias("_has")), (F.col("id.id") == F.col("_has.item")) & (F.col("id.reading") == F.col("_has.reading")), "left_anti")
+    bare = bare.select(F.col("id.id").alias("id"), plain(F.col("raw")).alias("template")).filter(F.size("template") > 0).distinct()
+    bare = _util.saved(bare.withColumn("raw", F.col("template")))
+    if not bare.isEmpty():
+        words = own.select("id", plain(F.col("raw")).alias("template")).withColumn("raw", F.col("template"))
+        enough = enough.unionByName(_copies(words, bare))
     enough = enough.groupBy("id", "item").agg(F.min(F.struct("reading", *row)).alias("r")).select("id", "item", "r.*")
     return enough.select(F.col("id").alias(id_col), F.col("item").alias(item_col if item_col != id_col else "item"), *row)
 

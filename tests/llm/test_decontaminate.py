@@ -97,3 +97,10 @@ def test_leading_name_with_new_parameters(spark, n):
     assert got == {0: True, 1: True, 2: True, 3: True, 4: True, 5: False}
     if n > 6:
         assert found(spark, [new.replace("Bob", "Carl", 1), "keeps " + new.lower()], [item]) == {}
+
+
+@pytest.mark.parametrize("item", ["What is 12 + 30 - 5 * 7?", "3 5 8 13 21 34 55 89 144 233", "see JOHN SMITH, PARIS, FRANCE, LYON", "Rome, Oslo, Bern, Kiev, Riga, Lima, Cairo, Tunis, Quito, Seoul"])
+def test_items_of_placeholders_only(spark, item):
+    skeleton = item.replace("12", "11").replace("13", "14").replace("SMITH", "JONES").replace("Kiev", "Baku")
+    texts = [item, f"Q: {item}", f"Some words. {item} Then more.", f"we solve {item} and go on", f"Sample Question {item}", skeleton, f"Q: {skeleton}", "What is 1 + 2 - 3 * 4?"]
+    assert found(spark, texts, [item]) == dict.fromkeys(range(5), False)
