@@ -22,13 +22,17 @@ reach one anchor is bounded by the code, not by the data; many at one anchor
 are compared through their neighbours, in n log n, not pairwise.
 
 **Wide fingerprints** (:func:`similar`), for similarities that a few bits can't
-express: 256 bits, of which the angle estimates the similarity of the shingle
-sets with a standard error of 0.03 to 0.04. Each of ``BANDS`` sub-fingerprints of
+express: 256 bits of the distinct shingles, of which the angle estimates the
+similarity of the shingle sets with a standard error of 0.03 to 0.04. They only
+choose candidates, four standard errors wide; a link is a pair of shingle sets whose
+exact Jaccard similarity reaches the limit (:func:`verified`). Each of ``BANDS`` sub-fingerprints of
 ``BAND_BITS`` bits or more is its own anchor (trivial code, radius 0); what meets
 at an anchor is compared over all 256 bits. Sub-fingerprints get a bit longer each
 time the input doubles, so that chance meetings stay few, and their number grows by
 1/0.85 with each bit, so that the share of similar pairs that meet stays: about 0.97
-at a Jaccard similarity of 0.8, 0.99 at 0.87.
+at a Jaccard similarity of 0.8, 0.99 at 0.87. Anchors with many candidates for their
+size first give one near neighbour of each node, which joins the groups of copies;
+then every pair that is still in two groups is a candidate.
 
 Nulls and texts without words have fingerprint zero, linked like any other in
 :func:`clusters`; :func:`dedupe` keeps each of those that differ. Rows with a
@@ -49,7 +53,7 @@ from pyspark.sql import functions as F
 from . import _util, graph
 
 SEED, TRIPLES, BANDS, BAND_BITS, WIDE_WORDS = 42, 9, 60, 16, 4
-DIRECT = 192
+DIRECT, PAIRS_A_NODE = 192, 8
 
 
 def shingle_hashes(text: str | None, k: int) -> list[int]:
@@ -91,23 +95,36 @@ def fold_bits(hashes: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray
     return out
 
 
-def fingerprints(docs: DataFrame, k: int = 3, width: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, f0 ... f{width-1}): fingerprint words as signed 64-bit integers."""
+def shingle_set(text: str | None, k: int) -> np.ndarray:
+    """The distinct shingle hashes, sorted."""
+    return np.unique(np.array(shingle_hashes(text, k), np.uint64))
+
+
+def digest(hashes: np.ndarray) -> int:
+    """The name of a shingle set: a signed 64-bit integer."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
+
+
+def fingerprints(docs: DataFrame, k: int = 3, width: int = 1, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
+    """(id, n_shingles, f0 ... f{width-1}): fingerprint words as signed 64-bit integers.
+    ``distinct``: of shingle sets, a repeated shingle counts once; and their ``node``."""
     names = [f"f{j}" for j in range(width)]
+    more = {"node": "long"} if distinct else {}
 
     def run(batches):
         for batch in batches:
             ids, text = batch.column(0), batch.column(1)
             for lo, hi, _, _ in _util.pieces(text):
-                each = [shingle_hashes(t.as_py(), k) for t in text[lo:hi]]
+                each = [(shingle_set if distinct else shingle_hashes)(t.as_py(), k) for t in text[lo:hi]]
                 offsets = np.concatenate([[0], np.cumsum([len(e) for e in each])]).astype(np.int64)
-                flat = np.fromiter((h for e in each for h in e), np.uint64, int(offsets[-1]))
+                flat = np.concatenate(each) if distinct else np.fromiter((h for e in each for h in e), np.uint64, int(offsets[-1]))
                 f = fold_bits(flat, offsets, width)
-                yield pa.RecordBatch.from_arrays([ids[lo:hi], pa.array(np.diff(offsets)), *[pa.array(f[:, j].view(np.int64)) for j in range(width)]], names=[id_col, "n_shingles", *names])
+                last = [pa.array([digest(e) for e in each], pa.int64())] if distinct else []
+                yield pa.RecordBatch.from_arrays([ids[lo:hi], pa.array(np.diff(offsets)), *[pa.array(f[:, j].view(np.int64)) for j in range(width)], *last], names=[id_col, "n_shingles", *names, *more])
 
     own = docs.select(F.col(id_col), F.col(text_col))
     _util.batch_rows(docs.sparkSession, 2000)
-    return own.mapInArrow(_util.lean(run), _util.extended(own.select(id_col), n_shingles="long", **dict.fromkeys(names, "long")))
+    return own.mapInArrow(_util.lean(run), _util.extended(own.select(id_col), n_shingles="long", **dict.fromkeys(names, "long"), **more))
 
 
 def anchors(f: np.ndarray, reach: int, triples: int = TRIPLES) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +215,56 @@ def _blocks(own: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
 
 
-def _meet(keyed: DataFrame, names: list[str], bits: int) -> DataFrame:
+def _forests(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int):
+    """Edges of a forest of the links within ``bits`` of each run."""
+    node = columns[0]
+    a, b = _near(np.stack([c.view(np.uint64) for c in columns[1:]], 1), starts, ends, bits)
+    yield graph.forest(node[a], node[b]) if len(a) else (a, b)
+
+
+def _candidates(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int, tight: int):
+    """All pairs within ``bits`` of runs with few of them. Of other runs one near
+    neighbour of each node, and each node as an edge to itself: they are open."""
+    node, f = columns[0], np.stack([c.view(np.uint64) for c in columns[1:]], 1)
+    small = ends - starts <= DIRECT
+    for lo in range(0, int(small.sum()), 4096):
+        s, e = starts[small][lo : lo + 4096], ends[small][lo : lo + 4096]
+        a, b = _near(f, s, e, bits)
+        run = np.searchsorted(s, a, "right") - 1
+        many = np.bincount(run, minlength=len(s)) > PAIRS_A_NODE * (e - s)
+        yield node[a[~many[run]]], node[b[~many[run]]]
+        near = many[run]
+        near[near] = np.bitwise_count(f[a[near]] ^ f[b[near]]).sum(1, dtype=np.int32) <= tight
+        one, at = np.unique(b[near], return_index=True)
+        yield node[a[near][at]], node[one]
+        for x, y in zip(s[many], e[many], strict=True):
+            yield node[x:y], node[x:y]
+    for x, y in zip(starts[~small], ends[~small], strict=True):
+        a, b = _blocks(f[x:y], tight)
+        yield node[x:y][a], node[x:y][b]
+        yield node[x:y], node[x:y]
+
+
+def _across(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int):
+    """All pairs within ``bits`` of two groups (the last column), a block of rows at a time."""
+    node, group, f = columns[0], columns[-1], np.stack([c.view(np.uint64) for c in columns[1:-1]], 1)
+    for x, y in zip(starts, ends, strict=True):
+        order = x + np.argsort(group[x:y], kind="stable")
+        own, label = f[order], group[order]
+        after = np.searchsorted(label, label, "right")  # the first row of a later group
+        step = max(1, (1 << 20) // len(order))
+        for lo in range(0, len(order), step):
+            first = int(after[lo])
+            if first == len(order):
+                break
+            near = np.zeros((min(step, len(order) - lo), len(order) - first), np.int32)
+            for w in range(f.shape[1]):
+                near += np.bitwise_count(own[lo : lo + step, w][:, None] ^ own[first:, w][None])
+            a, b = np.nonzero((near <= bits) & (label[lo : lo + step][:, None] < label[first:][None]))
+            yield node[order[lo + a]], node[order[first + b]]
+
+
+def _meet(keyed: DataFrame, names: list[str], bits: int, search=_forests, *limits: int) -> DataFrame:
     """Edges (u, v) of ``node`` from rows (anchor, node, fingerprint words):
     rows of an anchor are brought together and sorted, then each run is searched."""
 
@@ -221,11 +287,8 @@ def _meet(keyed: DataFrame, names: list[str], bits: int) -> DataFrame:
                 bounds = np.concatenate([[0], edge[edge <= cut], [cut]] if batch is None else [[0], edge])
                 starts, ends = bounds[:-1], bounds[1:]
                 many = ends - starts > 1
-                f = np.stack([c[:cut].view(np.uint64) for c in held[2:]], 1)
-                a, b = _near(f, starts[many], ends[many], bits)
-                node = held[1]
-                u, v = graph.forest(node[a], node[b]) if len(a) else (a, b)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+                for u, v in search([c[:cut] for c in held[1:]], starts[many], ends[many], bits, *limits):
+                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
                 held = [c[cut:] for c in held]
             if batch is None:
                 return
@@ -251,20 +314,24 @@ def links(classes: DataFrame, bits: int = 2, triples: int = TRIPLES) -> DataFram
     return _meet(keyed, ["f0"], bits)
 
 
-def similar_bits(similarity: float, width: int = WIDE_WORDS) -> int:
-    """Differing bits expected of two shingle sets of this Jaccard similarity, and one and a quarter standard errors."""
+def similar_bits(similarity: float, width: int = WIDE_WORDS, errors: float = 4.0) -> int:
+    """Differing bits expected of two shingle sets of this Jaccard similarity, and some standard errors."""
     p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
     n = 64 * width
-    return round(n * p + 1.25 * math.sqrt(n * p * (1 - p)))
+    return round(n * p + errors * math.sqrt(n * p * (1 - p)))
 
 
 def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width: int = WIDE_WORDS) -> DataFrame:
-    """Edges (u, v) of ``node`` between wide fingerprints that are similar enough."""
+    """Candidate pairs (u, v) of ``node``: wide fingerprints that may be similar enough. Pairs
+    of a node with itself name those that need a second search, of ``classes`` with a
+    column ``group``, which gives all pairs of two groups."""
     size = max(BAND_BITS, math.ceil(math.log2(max(2, n_classes))) - 2)
     bands = max(BANDS, math.ceil(4.3 * (1 - 0.1515) ** -size))
     rng = np.random.default_rng(SEED)
     chosen = [np.sort(rng.choice(64 * width, size, replace=False)) for _ in range(bands)]
-    names = [f"f{j}" for j in range(width)]
+    words = [f"f{j}" for j in range(width)]
+    again = "group" in classes.columns
+    names = [*words, "group"] if again else words
 
     def spread(batches):
         for batch in batches:
@@ -279,7 +346,38 @@ def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width:
 
     own = classes.select("node", *names)
     keyed = own.mapInArrow(_util.lean(spread), _util.extended(own.sparkSession.createDataFrame([], "anchor long"), node="long", **dict.fromkeys(names, "long")))
-    return _meet(keyed, names, similar_bits(similarity, width))
+    bits = similar_bits(similarity, width)
+    if again:
+        met = _meet(keyed, names, bits, _across)
+    else:
+        met = _meet(keyed, names, bits, _candidates, similar_bits(similarity, width, 1.25))
+    return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The pairs whose shingle sets have a Jaccard similarity of ``similarity`` or more.
+    Sets are made again, of one document of each node in a pair; they meet as columns of
+    hashes, so no more than two are held at a time."""
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes.select("node", "first_id"), "node")
+    wanted = _util.saved(wanted.select(F.col("node").alias("_node"), F.col("first_id").alias("_id")))
+
+    def run(batches):
+        for batch in batches:
+            node, text = batch.column(0), batch.column(1)
+            for lo, hi, _, _ in _util.pieces(text):
+                each = [shingle_set(t.as_py(), k) for t in text[lo:hi]]
+                # an id may have several texts
+                same = [i for i, e in enumerate(each) if digest(e) == node[lo + i].as_py()]
+                ends = np.concatenate([[0], np.cumsum([len(each[i]) for i in same])]).astype(np.int32)
+                flat = np.concatenate([np.zeros(0, np.uint64), *[each[i] for i in same]]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([node[lo:hi].take(pa.array(same, pa.int64())), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "set"])
+
+    texts = docs.select(F.col(id_col), F.col(text_col)).join(wanted, F.col(id_col) == F.col("_id")).select("_node", text_col)
+    sets = _util.saved(texts.mapInArrow(_util.lean(run), "node long, set array<long>").dropDuplicates(["node"]))
+    side = lambda end, name: sets.select(F.col("node").alias(end), F.col("set").alias(name))
+    both = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v")
+    both = both.select("u", "v", F.size(F.array_intersect("a", "b")).alias("n"), (F.size("a") + F.size("b")).alias("of"))
+    return both.filter(F.col("n") / (F.col("of") - F.col("n")) >= similarity).select("u", "v")
 
 
 def clusters(docs: DataFrame, k: int = 3, bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -298,17 +396,30 @@ def clusters(docs: DataFrame, k: int = 3, bits: int = 2, id_col: str = "doc_id",
 
 def dedupe(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document (the smallest id) of each group of near copies:
-    shingles of ``k`` words, estimated similarity of ``similarity`` or more. Of
-    rows that repeat the kept id one stays. Texts without words, and rows with a
-    null id, have nothing to compare or to be kept by: they stay."""
+    sets of shingles of ``k`` words, Jaccard similarity of ``similarity`` or more. Of
+    rows that repeat the kept id one stays, and rows of one id are one group. Texts
+    without words, and rows with a null id, have nothing to compare or to be kept by:
+    they stay."""
     width = WIDE_WORDS
     names = [f"f{j}" for j in range(width)]
-    prints = _util.saved(fingerprints(docs, k, width, id_col, text_col).filter(F.col(id_col).isNotNull() & (F.col("n_shingles") > 0)))
-    classes = _util.saved(prints.groupBy(*names).agg(F.min(id_col).alias("node")))
-    found = graph.components(similar(classes, classes.count(), similarity, width))
-    # what goes: members of a class other than its first, and classes other than their group's first
-    tops = classes.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("_top"))
-    gone = prints.join(tops, names).filter(F.col(id_col) != F.col("_top")).select(F.col(id_col).alias("_gone")).distinct()
-    rest = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    twice = prints.groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_twice"))
-    return _util.first_of_id(rest, twice, id_col)
+    prints = _util.saved(fingerprints(docs, k, width, id_col, text_col, distinct=True).filter(F.col(id_col).isNotNull() & (F.col("n_shingles") > 0)))
+    classes = _util.saved(prints.groupBy("node", *names).agg(F.min(id_col).alias("first_id")))
+    twice = _util.saved(prints.groupBy(id_col).agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).filter("n > 1"))
+    pairs = _util.saved(similar(classes, classes.count(), similarity, width))
+    edges = _util.saved(verified(pairs.filter("u <> v"), classes, docs, k, similarity, id_col, text_col))
+    if not twice.filter("low <> high").isEmpty():
+        own = prints.join(twice.select(id_col, "low"), id_col).filter("node <> low").select(F.col("low").alias("u"), F.col("node").alias("v"))
+        edges = _util.saved(edges.union(own.distinct()))
+    found = _util.saved(graph.components(edges))
+    unsettled = pairs.filter("u = v").select(F.col("u").alias("node"))
+    if not unsettled.isEmpty():
+        rest = classes.join(unsettled, "node").join(found.withColumnRenamed("component", "group"), "node", "left")
+        rest = rest.select("node", *names, F.coalesce("group", "node").alias("group"))
+        more = _util.saved(similar(rest, classes.count(), similarity, width).join(pairs, ["u", "v"], "left_anti"))
+        found = _util.saved(graph.components(edges.union(verified(more, classes, docs, k, similarity, id_col, text_col))))
+    # what goes: all but the first of a group
+    labelled = classes.join(found, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("label"))
+    tops = labelled.join(labelled.groupBy("label").agg(F.min("first_id").alias("_top")), "label").select("node", "_top")
+    gone = prints.join(tops, "node").filter(F.col(id_col) != F.col("_top")).select(F.col(id_col).alias("_gone")).distinct()
+    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return _util.first_of_id(left, twice.select(F.col(id_col).alias("_twice")), id_col)
