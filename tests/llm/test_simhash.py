@@ -114,3 +114,15 @@ def test_links_are_exact(spark, monkeypatch, direct):
     kept = {r.doc_id for r in simhash.dedupe(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     want = {i for i, low in enumerate(label) if i == low}
     assert not want - kept and len(kept - want) <= 2  # bands may miss one pair in thirty at 0.8
+
+
+def test_a_repeated_line_does_not_outvote_the_rest(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    line = " ".join(word() for _ in range(10)) + "\n"
+    rows = [(i, line * (10 + 10 * (i % 5)) + " ".join(word() for _ in range(200))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert simhash.dedupe(docs).count() == 20
+    wide = [[r[f"f{j}"] for j in range(4)] for r in simhash.fingerprints(docs, 5, 4, distinct=True).collect()]
+    apart = [sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True)) for a in wide for b in wide if a != b]
+    assert min(apart) > simhash.similar_bits(0.8)
