@@ -71,7 +71,7 @@ TOKEN = rf"{MARK}[^{MARK}]+{MARK}|\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}+)*|[{SIGNS}]"
 
 
 #: what NAME_AFTER leaves: a capitalised word that follows neither a mark nor a letter (and a space)
-CAPITAL = rf"(?<![\p{{L}}{MARK}])(?<!\p{{L}} )(?=\p{{Lu}})"
+CAPITAL = rf"(?=\p{{Lu}})(?<![\p{{L}}{MARK}])(?<!\p{{L}} )"
 
 
 def tokens(text: Column, starts: bool = False) -> Column:
@@ -149,7 +149,7 @@ def _windows(texts: DataFrame, size: int, whole: bool = False, starts: bool = Fa
     none = F.lit(None).cast("array<string>")
     window = lambda i, h, s, named: F.struct(i.alias("pos"), h.alias("h"), s.alias("slots"), F.lit(named).alias("named"))
     plain = F.transform(hashes, lambda h, i: window(i, h, none, False))
-    slotted = F.zip_with(hashes, F.transform(places, lambda i: F.struct(i.alias("i"), slots(i).alias("s"))), lambda h, s: window(s["i"], h, F.when(F.size(s["s"]) > 0, s["s"]), False))
+    slotted = F.transform(hashes, lambda h, i: window(i, h, slots(i), False))
     every = F.when(has, slotted).otherwise(plain)
     if starts:
         begin = lambda i: F.startswith(F.get("raw", i), F.lit(START)) & ~_is_slot(F.get("template", i))
@@ -157,7 +157,7 @@ def _windows(texts: DataFrame, size: int, whole: bool = False, starts: bool = Fa
         second = F.transform(F.filter(places, begin), lambda i: window(i, _named_first(size, i), F.concat(F.array(value(i)), slots(i, 1) if size > 1 else F.array().cast("array<string>")), True))
         every = F.when(F.size("template") >= size, F.concat(every, second)).otherwise(every)
     out = own.select("id", F.explode(every).alias("w"))
-    out = out.select("id", F.lit(size).alias("size"), "w.*")
+    out = out.select("id", F.lit(size).alias("size"), "w.pos", "w.h", F.when(F.size("w.slots") > 0, F.col("w.slots")).alias("slots"), "w.named")
     return out.filter(F.coalesce(F.size("slots"), F.lit(0)) * 2 <= size)
 
 
