@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,8 +18,13 @@ def sample_ids(labels: DataFrame, id_col: str, label_col: str, rows: int) -> Dat
     Rows with a null id or label don't count; an id with several labels takes
     the largest. Two runs over the same rows choose the same ids."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias(label_col))
-    values = [r[0] for r in known.groupBy(label_col).count().orderBy(F.desc("count"), label_col).limit(64).collect()]
-    parts = [known.filter(F.col(label_col) == v).orderBy(F.xxhash64(id_col), id_col).limit(rows) for v in values]
+    values = [r[0] for r in known.groupBy(label_col).count().orderBy(F.desc("count"), label_col).limit(65).collect()]
+    frequent = values[:64]
+    parts = [known.filter(F.col(label_col) == v).orderBy(F.xxhash64(id_col), id_col).limit(rows) for v in frequent]
+    if len(values) > 64:
+        # each of the others holds less than a 64th of the rows, so none is hot
+        order = F.row_number().over(Window.partitionBy(label_col).orderBy(F.xxhash64(id_col), id_col))
+        parts.append(known.filter(~F.col(label_col).isin(frequent)).withColumn("_n", order).filter(F.col("_n") <= rows).drop("_n"))
     out = parts[0] if parts else known.limit(0)
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -29,7 +34,7 @@ def sample_ids(labels: DataFrame, id_col: str, label_col: str, rows: int) -> Dat
 def labelled_texts(docs: DataFrame, labels: DataFrame, label_col: str, rows: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, object]]:
     """Distinct (text, label) pairs of a bounded sample, in a fixed order.
 
-    The ids (at most 64 label values times ``rows``) are broadcast, so the
+    The ids (at most ``rows`` of each label value) are broadcast, so the
     texts of the corpus are never shuffled."""
     ids = sample_ids(labels, id_col, label_col, rows).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
     got = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(ids), "_id")

@@ -88,3 +88,11 @@ def test_odd_rows(spark, empty):
     kept = toxicity.keep_clean(docs, labels)
     assert kept.columns == docs.columns
     assert toxicity.score(docs, toxicity.train([])).columns.count("toxicity") == 1
+
+
+def test_samples_hold_every_label_value(spark):
+    from kinweave.llm import _train
+
+    labels = spark.createDataFrame([(100 * v + i, f"v{v}") for v in range(70) for i in range(3 + v % 3)], "doc_id long, lang string")
+    got = _train.sample_ids(labels, "doc_id", "lang", 4).groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in got} == {f"v{v}": min(4, 3 + v % 3) for v in range(70)}
