@@ -19,8 +19,8 @@ such a list goes to each of its chunks, so no task holds a hot list. Pairs are
 not sent anywhere: a chunk reports how many vectors each query links to and a
 spanning forest of the links.
 
-Vectors that are null, empty, zero or hold null or non-finite components, or have
-another number of components than most, link with nothing. Rows with a null id
+Vectors of each length are searched among themselves. Vectors that are null, empty,
+zero or hold null or non-finite components link with nothing. Rows with a null id
 link with nothing, have a null component and are kept. Rows that repeat an id are
 vectors of their own.
 """
@@ -99,17 +99,29 @@ def classes(rows: DataFrame, id_col: str, vec_col: str, spark_dim: int) -> DataF
 
 def link(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", probes: int = PROBES, sample: int = SAMPLE) -> DataFrame:
     """One row per row: (id, n_links, component_id, kept)."""
-    spark = rows.sparkSession
-    sizes = rows.groupBy(F.size(vec_col).alias("n")).count().filter("n > 0").orderBy(F.desc("count"), "n").limit(1).collect()
-    if not sizes:
+    # a vector alone with its length has no partner
+    sizes = rows.groupBy(F.size(vec_col).alias("n")).count().filter("n > 0 AND count > 1").orderBy(F.desc("count"), "n").collect()
+    parts = [p for p in (_links(rows, s.n, threshold, id_col, vec_col, probes, sample) for s in sizes) if p is not None]
+    if not parts:
         return rows.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.lit(True).alias("kept"))
-    dim = sizes[0].n
+    known = parts[0]
+    for p in parts[1:]:
+        known = known.unionByName(p)
+    v = F.transform(F.col(vec_col).cast("array<double>"), lambda z: z + F.lit(0.0))
+    whole = rows.select(id_col, F.when(F.col(id_col).isNotNull(), v).alias("v")).join(known, "v", "left")
+    component = F.coalesce("component_id", id_col)
+    return whole.select(id_col, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col(id_col).eqNullSafe(component).alias("kept"))
+
+
+def _links(rows: DataFrame, dim: int, threshold: float, id_col: str, vec_col: str, probes: int, sample: int) -> DataFrame | None:
+    """(v, n_links, component_id) of the usable vectors of one length, None if there are none."""
+    spark = rows.sparkSession
     found = _util.saved(classes(rows, id_col, vec_col, dim))
     n = found.count()
     few = found.orderBy(F.xxhash64("v"), "node").limit(sample).select("v").toPandas()["v"]
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     if not len(few):
-        return rows.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.lit(True).alias("kept"))
+        return None
     x = unit(np.stack(few.to_numpy()))
     lists = int(min(65_536, max(1, np.sqrt(n)), len(x)))
     model = train(x, lists)
@@ -186,13 +198,9 @@ def link(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_c
     met = _util.saved(dealt.groupBy("list", "chunk").applyInArrow(scan, f"node {kind}, c long, other {kind}"))
     counts = met.filter("c IS NOT NULL").groupBy("node").agg(F.sum("c").alias("others"))
     joined = graph.components(met.filter("other IS NOT NULL").select("node", "other"))
-    known = found.join(counts, "node", "left").join(joined, "node", "left").select(
+    return found.join(counts, "node", "left").join(joined, "node", "left").select(
         "v", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")
     )
-    v = F.transform(F.col(vec_col).cast("array<double>"), lambda z: z + F.lit(0.0))
-    whole = rows.select(id_col, F.when(F.col(id_col).isNotNull(), v).alias("v")).join(known, "v", "left")
-    component = F.coalesce("component_id", id_col)
-    return whole.select(id_col, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col(id_col).eqNullSafe(component).alias("kept"))
 
 
 def unit(v: np.ndarray) -> np.ndarray:

@@ -136,3 +136,9 @@ def test_no_usable_vector(spark):
     assert embedding_dedup.link(spark.createDataFrame([], schema)).count() == 0
     r = embedding_dedup.link(spark.createDataFrame([(1, None), (2, [0.0])], schema)).collect()
     assert all(x.n_links == 0 and x.kept and x.component_id == x.vec_id for x in r)
+
+
+def test_vectors_of_each_length_are_linked(spark):
+    rows = [(1, [1.0, 2.0, 3.0]), (2, [1.0, 2.0, 3.01]), (3, [3.0, 1.0]), (4, [3.0, 1.01]), (5, [3.0, 1.0]), (6, [-3.0, 1.0, 0.0]), (7, [1.0] * 4)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (2, 3), 4: (2, 3), 5: (2, 3), 6: (0, 6), 7: (0, 7)}
