@@ -16,7 +16,6 @@ class Quirks:
     cut_renamed: bool = True  # a new name longer than the old one is cut
     exclusive_clip_end: bool = True  # the last column over the occupancy threshold is dropped
     size_before_dedupe: bool = True  # the stored family size counts duplicate names
-    reuse_converged_number: bool = True  # a discarded family's converged number is taken again by the next
     final_search_fast_model: bool = True  # the last search uses the loop's model, not the stored one
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..storage import written
 from .kernels import Kernels
 
 
@@ -49,13 +50,22 @@ def linear_clusters(sequences: DataFrame, identity: float = 0.5, coverage: float
     good = full.withColumn("n_a", F.length("a")).mapInPandas(verify, "centre string, id string, n_a int")
     # a centre is longer than its members (or later by id), so centres form chains without rings
     parent = good.groupBy("id").agg(F.max(F.struct("n_a", "centre")).alias("m")).select(F.col("id").alias("member"), F.col("m.centre").alias("representative"))
-    for _ in range(5):  # each step doubles the length of chain that is followed
-        above = parent.select(F.col("member").alias("representative"), F.col("representative").alias("above"))
-        parent = parent.join(above, "representative", "left").select("member", F.coalesce("above", "representative").alias("representative"))
+    parent = roots(parent)
     alone = sequences.select(F.col("id").alias("member")).join(parent, "member", "left_anti")
     return parent.unionByName(alone.select("member", F.col("member").alias("representative"))).select("representative", "member")
 
 
+def roots(parent: DataFrame) -> DataFrame:
+    """(member, representative) with the end of each chain of representatives. Each step,
+    written once, doubles the length that is followed, until none goes on."""
+    now = written(parent.select("member", "representative"))
+    while True:
+        above = now.select(F.col("member").alias("representative"), F.col("representative").alias("above"))
+        if now.join(above, "representative", "left_semi").isEmpty():
+            return now
+        now = written(now.join(above, "representative", "left").select("member", F.coalesce("above", "representative").alias("representative")))
+
+
 def grow(members: list[tuple[str, str]], pool: dict[str, str], config: Config, kernels: Kernels, database: int) -> dict:
     """One family from a cluster: at most three rounds of model, search, alignment.
 

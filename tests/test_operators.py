@@ -260,3 +260,11 @@ def test_stream_of_files(spark, tmp_path):
 def test_config_rejects_unknown_modes():
     with pytest.raises(ValueError):
         Config(hh_mode="x")
+
+
+def test_chains_of_any_length_end_at_their_root(spark):
+    from kinweave.operators import families
+
+    chain = spark.createDataFrame([(f"s{i}", f"s{i - 1}") for i in range(1, 100)] + [("b", "a")], "member string, representative string")
+    got = {r.member: r.representative for r in families.roots(chain).collect()}
+    assert got == {f"s{i}": "s0" for i in range(1, 100)} | {"b": "a"}
