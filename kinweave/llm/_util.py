@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import tempfile
-import time
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,31 +21,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share.
 
-    It lies under ``spark.checkpoint.dir``. Only where that is unset (tests, a
-    notebook on one machine) a local temporary folder is made and set.
-    """
+    It lies under ``spark.checkpoint.dir``. Where that is unset, a session on one
+    machine (master ``local``) gets a temporary folder, which is set; any other fails,
+    as its machines share no such folder."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="kinweave-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/kinweave-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, **options: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage is cut
-    at files that outlive any executor."""
-    path = shared_dir(df.sparkSession)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Settings of the session while a job runs; those of before come back after it."""
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now: it does so when the
-    driver's references to them are collected, which may otherwise be late."""
-    for _ in range(2):  # the second round follows references that the first one freed
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
+def saved(df: DataFrame, **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: lineage is cut
+    at files that outlive any executor, so the job's shuffles can go when it ends."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession)
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.options(**options).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_saved(df: DataFrame) -> None:
@@ -125,6 +131,31 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """Final mixing of 64-bit values (the splitmix64 finaliser)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """64-bit hashes of all strings of ``gram`` bytes (8 or more). Hashes of 8 bytes are
+    joined to those of 16, 32 and so on; two that overlap make any other length."""
+    n = len(data)
+    if n < gram:
+        return np.zeros(0, np.uint64)
+    h = mix(np.ndarray((n - 7,), np.uint64, np.ascontiguousarray(data), 0, (1,)) + _ODD)
+    size = 8
+    while size < gram:
+        step = min(size, gram - size)
+        h = mix(h[:-step] + h[step:] * _ODD)
+        size += step
+    return h
+
+
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: dict[int, np.ndarray] = {}
@@ -139,13 +170,6 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Final mixing of 64-bit values (the splitmix64 finaliser)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 _SYMBOLS = mix(np.arange(1, 257, dtype=np.uint64))
 
 

@@ -2,14 +2,19 @@
 
 The steps are those of induced sorting (SA-IS): suffixes are classified as
 smaller (S) or larger (L) than their right neighbour; substrings between
-leftmost S positions (LMS) are sorted by inducing, named, and the string of
-names is sorted recursively; the order of all suffixes is then induced from that
-of the LMS suffixes in two linear passes. The passes go bucket by bucket, each
-bucket's suffixes at once: a suffix induces only into its own bucket (as often
-as its symbol repeats in a row) or into buckets still to come.
+leftmost S positions (LMS) are sorted by inducing and named by comparing neighbours
+byte by byte; the string of names, at most half as long, is sorted by itself; the
+order of all suffixes is then induced from that of the LMS suffixes in two linear
+passes. The passes go bucket by bucket, each bucket's suffixes at once: a suffix
+induces only into its own bucket (as often as its symbol repeats in a row) or into
+buckets still to come.
 
-The string of names has an alphabet too large for buckets to pay; its suffixes
-are sorted by doubling ranks, only within groups that are still tied.
+One step departs from the published recursion: the string of names has an alphabet
+too large for a pass bucket by bucket, so its suffixes are not induced again but
+sorted by doubling ranks, only within groups that are still tied.
+
+Arrays of positions are 32 bits wide and dropped early: the peak is about 30 bytes
+for each byte of the text.
 
 Permuted common prefixes (PLCP) follow the order of the text: a position whose
 left symbol equals that of its predecessor in the suffix array has one less than
@@ -20,8 +25,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from . import _util
-
 
 def classify(t: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the one after it (S)."""
@@ -32,7 +35,7 @@ def classify(t: np.ndarray) -> np.ndarray:
     up, down = t[:-1] < t[1:], t[:-1] > t[1:]
     # equal neighbours take the type of the next position where they differ; the last suffix is L
     known = np.append(up | down, True)
-    at = np.where(known, np.arange(n), n)
+    at = np.where(known, np.arange(n, dtype=np.int32), np.int32(n))
     nxt = np.minimum.accumulate(at[::-1])[::-1]
     s[:-1] = np.append(up, False)[nxt[:-1]]
     return s
@@ -53,7 +56,7 @@ def induce(t: np.ndarray, s: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """The suffix array from LMS positions in sorted order (or, for LMS
     substrings, in any order). ``t``: uint8."""
     n = len(t)
-    count = np.bincount(t, minlength=256)
+    count = np.bincount(t, minlength=256).astype(np.int64)
     end = np.cumsum(count)
     start = end - count
     sa = np.full(n, -1, np.int32)
@@ -140,6 +143,28 @@ def by_doubling(names: np.ndarray) -> np.ndarray:
     return sa
 
 
+def _words(t: np.ndarray) -> np.ndarray:
+    """The 8 bytes at every place of ``t`` and a little beyond, little-endian."""
+    padded = np.concatenate([t, np.zeros(16, np.uint8)])
+    return np.ndarray((len(t) + 8,), "<u8", padded, 0, (1,))
+
+
+def _same(t: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether the strings of ``n`` bytes at ``a`` and ``b`` are equal, 8 bytes a step."""
+    word = _words(t)
+    same = np.ones(len(a), bool)
+    live = np.flatnonzero(n > 0)
+    got = 0
+    while len(live):
+        rest = np.minimum(n[live] - got, 8).astype(np.uint64)
+        mask = ~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * rest)
+        equal = (word[a[live] + got] ^ word[b[live] + got]) & mask == 0
+        same[live[~equal]] = False
+        got += 8
+        live = live[equal & (n[live] > got)]
+    return same
+
+
 def suffix_array(t: np.ndarray) -> np.ndarray:
     n = len(t)
     if n < 2:
@@ -148,49 +173,55 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
     if len(lms) < 2:
         return induce(t, s, lms)
-    is_lms = np.zeros(n, bool)
-    is_lms[lms] = True
+    number = np.full(n, -1, np.int32)  # place among the LMS positions
+    number[lms] = np.arange(len(lms), dtype=np.int32)
     sa = induce(t, s, lms)
-    ordered = sa[is_lms[sa]].astype(np.int64)
-    # name LMS substrings: equal ones, both ends included, get one name
-    stop = np.empty(n, np.int64)
-    stop[lms] = np.append(lms[1:], n - 1) + 1
-    h = _util.RangeHash(t)(ordered, stop[ordered])
-    h[ordered == lms[-1]] ^= np.uint64(1)  # the last one ends at the text's end, like no other
-    name = np.concatenate([[0], np.cumsum(h[1:] != h[:-1])])
-    if name[-1] + 1 == len(lms):
-        return induce(t, s, ordered)
-    named = np.empty(n, np.int64)
-    named[ordered] = name
-    return induce(t, s, lms[by_doubling(named[lms])])
+    which = number[sa]
+    which = which[which >= 0]
+    del sa, number
+    # name LMS substrings: equal ones, both ends included, get one name; the last one ends at the text's end, like no other
+    size = np.append(lms[1:], n - 1) + 1 - lms
+    a, b = which[:-1], which[1:]
+    new = (size[a] != size[b]) | (a == len(lms) - 1) | (b == len(lms) - 1)
+    old = np.flatnonzero(~new)
+    new[old] = ~_same(t, lms[a[old]], lms[b[old]], size[a[old]])
+    if new.all():
+        return induce(t, s, lms[which])
+    names = np.empty(len(lms), np.int32)
+    names[which] = np.concatenate([[0], np.cumsum(new)])
+    del a, b, old, which, size, new
+    return induce(t, s, lms[by_doubling(names)])
 
 
 def common_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(predecessor, PLCP) by text position; the first suffix has predecessor -1."""
     n = len(t)
-    phi = np.full(n, -1, np.int64)
+    phi = np.full(n, -1, np.int32)
     phi[sa[1:]] = sa[:-1]
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32)
     has = phi >= 0
-    reducible = has & (at > 0) & (phi > 0)
-    reducible[reducible] = t[at[reducible] - 1] == t[phi[reducible] - 1]
-    # the position before must be in the same chain
-    plcp = np.zeros(n, np.int64)
+    reducible = phi > 0
+    reducible[:1] = False
+    some = np.flatnonzero(reducible)
+    reducible[some] = t[some - 1] == t[phi[some] - 1]
+    del some
+    plcp = np.zeros(n, np.int32)
     a = np.flatnonzero(has & ~reducible)
-    b = phi[a]
-    padded = np.concatenate([t, np.zeros(16, np.uint8)])
-    word = np.ndarray((n + 8,), np.uint64, padded, 0, (1,))
+    b = phi[a].astype(np.int64)
+    word = _words(t)
     live = np.arange(len(a))
     got = np.zeros(len(a), np.int64)
     most = n - np.maximum(a, b)
     while len(live):
-        x, y = a[live] + got[live], b[live] + got[live]
-        differ = word[x] ^ word[y]
+        done = got[live]
+        differ = word[a[live] + done] ^ word[b[live] + done]
         low = differ & (~differ + np.uint64(1))
-        step = np.where(differ == 0, 8, np.bitwise_count(low - np.uint64(1)).astype(np.int64) >> 3)
-        got[live] = np.minimum(got[live] + step, most[live])
+        step = np.where(differ == 0, np.uint8(8), np.bitwise_count(low - np.uint64(1)) >> 3)
+        got[live] = np.minimum(done + step, most[live])
         live = live[(step == 8) & (got[live] < most[live])]
     plcp[a] = got
-    chain = np.maximum.accumulate(np.where(has & reducible, 0, at))
+    del a, b, got, most
+    # a reducible position has one less than the one before it in its chain
+    chain = np.maximum.accumulate(np.where(has & reducible, np.int32(0), at))
     plcp = np.where(reducible, plcp[chain] - (at - chain), plcp)
     return phi, np.maximum(plcp, 0)

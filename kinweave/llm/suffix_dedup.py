@@ -18,9 +18,14 @@ into shards such that equal strings always meet in one shard:
    reaches ``LENGTH`` are marked.
 4. Marks go back to all places of their region and are merged for each text.
 
-A key whose distinct regions would outgrow a shard (one passage amid many
-different neighbours) is split further by the hash of each window, and the
-windows go to shards of their own.
+Hashes only choose the shard: two contents with one key are compared there. What
+says that two texts or two regions are equal is a strong digest (128 bits of SHA-256
+or BLAKE2b of the whole content), which no two known strings share.
+
+A key whose distinct regions outgrow a shard (one passage amid many different
+neighbours) is cut again, in the same way, by longer strings (``LEVELS``): windows
+that share the longer string too stay together. At the last level the string is the
+window itself, so its regions are copies of one content and their number is a count.
 
 Nulls and empty texts have no bytes and lose none. Rows are judged each by their
 text, whatever their ids, and repeated rows make each other repeat. Texts whose
@@ -40,14 +45,23 @@ from pyspark.sql import functions as F
 
 from . import _util, suffix
 
-LENGTH, GRAM, MOST_WINDOWS, SHARD, HOT = 200, 32, 2048, 2 << 20, 8 << 20
+LENGTH, GRAM, MOST_WINDOWS, SHARD = 200, 32, 2048, 2 << 20
+LEVELS = (0.64, 0.88, 0.96, 0.99, 1.0)  # lengths of the strings that cut a hot key again, as shares of LENGTH
 LONG = 1 << 23  # bytes whose places fit beside a hash
 STOP = 0xFF  # in no UTF-8 text
 
 
 def _identity(text: Column) -> list[Column]:
-    """128 bits that stand for a text."""
-    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.concat(F.lit("kinweave"), text)).alias("t2")]
+    """128 bits that stand for a text: two longs of its SHA-256."""
+    sha = F.sha2(text, 256)
+    return [F.conv(F.substring(sha, at, 16), 16, -10).cast("long").alias(name) for name, at in (("t1", 1), ("t2", 17))]
+
+
+def _digests(whole: bytes, first: np.ndarray, stop: np.ndarray) -> pa.Array:
+    """BLAKE2b of 128 bits of each part of ``whole``."""
+    made = b"".join([hashlib.blake2b(whole[a:b], digest_size=16).digest() for a, b in zip(first.tolist(), stop.tolist(), strict=True)])
+    ends = np.arange(0, len(made) + 1, 16, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(made)])
 
 
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -75,7 +89,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     lens = np.diff(offsets)
     ok = np.arange(n) <= np.repeat(offsets[1:] - length, lens)
     at = np.arange(n - gram + 1)
-    h = _util.RangeHash(data)(at, at + gram)
+    h = _util.gram_hashes(data, gram)
     low = np.uint64((1 << 24) - 1)
     blocks = -(-len(h) // width) + 1
     full = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
@@ -101,7 +115,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
 
 def _regions(texts: DataFrame, length: int, keys_only: bool) -> DataFrame:
     """Regions of rows (t1, t2, text, copies): key and copies, or all of
-    (key, h, t1, t2, first, n, copies); ``h`` stands for the content beside the key."""
+    (key, h, t1, t2, first, n, copies); ``h`` is the digest of the content."""
 
     def run(batches):
         for batch in batches:
@@ -115,17 +129,21 @@ def _regions(texts: DataFrame, length: int, keys_only: bool) -> DataFrame:
                     total = np.bincount(inverse, weight * (1 + within), len(unique)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.array(total)], names=["key", "copies"])
                 else:
-                    h = _util.RangeHash(data, 7)(first, first + n + length - 1).view(np.int64)
+                    h = _digests(data.tobytes(), first, first + n + length - 1)
                     start = (first - offsets[row]).astype(np.int32)
-                    cols = [key.view(np.int64), h, np.asarray(t1)[lo:hi][row], np.asarray(t2)[lo:hi][row], start, n.astype(np.int32), weight]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "h", "t1", "t2", "first", "n", "copies"])
+                    cols = [key.view(np.int64), np.asarray(t1)[lo:hi][row], np.asarray(t2)[lo:hi][row], start, n.astype(np.int32), weight]
+                    cols = [pa.array(c) for c in cols]
+                    yield pa.RecordBatch.from_arrays([cols[0], h, *cols[1:]], names=["key", "h", "t1", "t2", "first", "n", "copies"])
 
-    schema = "key long, copies long" if keys_only else "key long, h long, t1 long, t2 long, first int, n int, copies long"
+    schema = "key long, copies long" if keys_only else "key long, h binary, t1 long, t2 long, first int, n int, copies long"
     return texts.select("t1", "t2", "text", "copies").mapInArrow(_util.lean(run), schema)
 
 
+CONTENT = "key long, h binary, copies long, size int, content binary"
+
+
 def _contents(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """(key, h, copies, content) of regions (key, h, copies, t1, t2, first, n)."""
+    """(key, h, copies, size, content) of regions (key, h, copies, t1, t2, first, n)."""
     grouped = places.groupBy("t1", "t2").agg(F.collect_list(F.struct("key", "h", "first", "n", F.col("copies").alias("c"))).alias("wanted"))
     joined = texts.join(grouped, ["t1", "t2"]).select("t1", "t2", "text", "copies", "wanted")
 
@@ -142,9 +160,10 @@ def _contents(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 part = slice(lo, lo + 8192)
                 content = [whole[a:b] for a, b in zip(first[part], stop[part], strict=True)]
                 cut = flat.slice(lo, 8192)
-                yield pa.RecordBatch.from_arrays([cut.field("key"), cut.field("h"), cut.field("c"), pa.array(content, pa.binary())], names=["key", "h", "copies", "content"])
+                size = pa.array((stop[part] - first[part]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([cut.field("key"), cut.field("h"), cut.field("c"), size, pa.array(content, pa.binary())], names=["key", "h", "copies", "size", "content"])
 
-    return joined.mapInArrow(_util.lean(run), "key long, h long, copies long, content binary")
+    return joined.mapInArrow(_util.lean(run), CONTENT)
 
 
 def mark(contents: list[bytes], copies: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
@@ -154,21 +173,22 @@ def mark(contents: list[bytes], copies: np.ndarray, length: int = LENGTH) -> lis
     The array is run-length coded: a region that occurs several times stands in it
     once, and each of its suffixes for as many neighbours with the whole rest of
     the region in common, so its windows repeat without a look at other regions."""
-    sizes = np.array([len(c) for c in contents], np.int64)
-    begin = np.concatenate([[0], np.cumsum(sizes + 1)])
+    sizes = np.array([len(c) for c in contents], np.int32)
+    begin = np.concatenate([[0], np.cumsum(sizes + 1)]).astype(np.int32)
     t = np.frombuffer(bytes([STOP]).join(contents) + bytes([STOP]), np.uint8)
-    sa = suffix.suffix_array(t)
-    before, plcp = suffix.common_prefixes(t, sa)
-    region = np.repeat(np.arange(len(contents)), sizes + 1)
-    left = begin[region] + sizes[region] - np.arange(len(t))
-    whole = left >= length
-    hit = np.flatnonzero((plcp >= length) & whole)
-    repeated = whole & (copies[region] > 1)
+    before, plcp = suffix.common_prefixes(t, suffix.suffix_array(t))
+    hit = plcp >= length
+    del plcp
+    region = np.repeat(np.arange(len(contents), dtype=np.int32), sizes + 1)
+    whole = (begin[1:] - 1)[region] - np.arange(len(t), dtype=np.int32) >= length
+    hit = np.flatnonzero(hit & whole)
+    repeated = whole & (np.asarray(copies) > 1)[region]
     repeated[hit] = True
     repeated[before[hit]] = True
     found = np.flatnonzero(repeated)
-    offset = found - begin[region[found]]
-    bounds = np.searchsorted(region[found], np.arange(len(contents) + 1))
+    region = region[found]
+    offset = found - begin[region]
+    bounds = np.searchsorted(region, np.arange(len(contents) + 1))
     return [offset[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
@@ -185,74 +205,89 @@ def _sharded(contents: DataFrame, length: int) -> DataFrame:
     """(key, h, spans) of regions with repeated windows. Regions of a key come to
     one task in a row; keys are gathered to shards of about ``SHARD`` bytes."""
 
-    def shard(rows: list) -> pa.RecordBatch:
-        marks = mark([r[3] for r in rows], np.array([r[2] for r in rows]), length)
-        out = [(r[0], r[1], _spans(m, length)) for r, m in zip(rows, marks, strict=True) if len(m)]
-        return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32())))], names=["key", "h", "spans"])
+    def shard(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        marks = mark(rows["content"].to_pylist(), rows["copies"].to_numpy(), length)
+        some = [i for i, m in enumerate(marks) if len(m)]
+        own = rows.select(["key", "h"]).take(pa.array(some, pa.int64())).combine_chunks()
+        spans = pa.array([_spans(marks[i], length) for i in some], pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(own[c].chunks) if some else pa.array([], own[c].type) for c in ("key", "h")] + [spans], names=["key", "h", "spans"])
 
     def run(batches):
-        rows, size = [], 0
+        held, size, last = [], 0, None
         for batch in batches:
-            for r in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if size >= SHARD and r[0] != rows[-1][0]:
-                    yield shard(rows)
-                    rows, size = [], 0
-                rows.append(r)
-                size += len(r[3])
-        if rows:
-            yield shard(rows)
-
-    return contents.repartition("key").sortWithinPartitions("key", "h").mapInArrow(_util.lean(run), "key long, h long, spans array<int>")
-
-
-def _by_window(contents: DataFrame, length: int) -> DataFrame:
-    """The same for keys with too many distinct regions: each window is a region
-    of its own, keyed by its hash. Equal windows come together by key; of their
-    copies only a count is sent."""
+            key, total = np.asarray(batch.column(0)), np.cumsum(np.asarray(batch.column(3)).astype(np.int64))
+            # a shard may end where a key begins
+            start = np.flatnonzero(np.concatenate([[last is None or key[0] != last], key[1:] != key[:-1]])) if len(key) else []
+            lo = 0
+            for at in start:
+                here = int(total[at - 1] - (total[lo - 1] if lo else 0)) if at > lo else 0
+                if size + here >= SHARD:
+                    yield shard([*held, batch.slice(lo, at - lo)] if at > lo else held)
+                    held, size, lo = [], 0, at
+            if lo < len(key):
+                held.append(batch.slice(lo))
+                size += int(total[-1] - (total[lo - 1] if lo else 0))
+                last = key[-1]
+        if held:
+            yield shard(held)
+
+    return contents.select("key", "h", "copies", "size", "content").repartition("key").sortWithinPartitions("key", "h").mapInArrow(_util.lean(run), "key long, h binary, spans array<int>")
+
+
+def _cut_again(contents: DataFrame, length: int, gram: int) -> DataFrame:
+    """(key, h, copies, size, content, parent, ph, first, within): the regions of regions,
+    by strings of ``gram`` bytes."""
 
     def run(batches):
         for batch in batches:
-            for key, h, copies, content in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                data = np.frombuffer(content, np.uint8)
-                at = np.arange(len(data) - length + 1)
-                w = _util.RangeHash(data, 11)(at, at + length).view(np.int64)
-                g = _util.RangeHash(data, 13)(at, at + length).view(np.int64)
-                n = len(at)
-                cols = [pa.array(w), pa.array(g), pa.array(np.full(n, copies)), pa.array(np.full(n, key)), pa.array(np.full(n, h)), pa.array(at.astype(np.int32)), pa.array([content[i : i + length] for i in at], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["w", "g", "copies", "key", "h", "at", "content"])
-
-    each = contents.mapInArrow(_util.lean(run), "w long, g long, copies long, key long, h long, at int, content binary")
-    distinct = each.groupBy("w", "g").agg(F.sum("copies").alias("copies"), F.max("content").alias("content"))
-    found = _sharded(distinct.select(F.col("w").alias("key"), F.col("g").alias("h"), "copies", "content"), length)
-    back = each.join(found.select(F.col("key").alias("w"), F.col("h").alias("g")), ["w", "g"], "left_semi")
-    span = F.array(F.col("at"), F.col("at") + length)
-    return back.groupBy("key", "h").agg(F.flatten(F.collect_list(span)).alias("spans"))
+            for lo in range(0, len(batch), 512):
+                part = batch.slice(lo, 512)
+                parts = part.column(4).to_pylist()
+                data = b"".join(parts)
+                offsets = np.concatenate([[0], np.cumsum([len(c) for c in parts])]).astype(np.int64)
+                first, n, key, within = windows(np.frombuffer(data, np.uint8), offsets, length, gram)
+                row = np.searchsorted(offsets, first, "right") - 1
+                stop = first + n + length - 1
+                content = pa.array([data[a:b] for a, b in zip(first.tolist(), stop.tolist(), strict=True)], pa.binary())
+                of = part.take(pa.array(row))
+                cols = [pa.array(key.view(np.int64)), _digests(data, first, stop), of.column(2), pa.array((stop - first).astype(np.int32)), content, of.column(0), of.column(1), pa.array((first - offsets[row]).astype(np.int32)), pa.array(within)]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "h", "copies", "size", "content", "parent", "ph", "first", "within"])
+
+    return contents.select("key", "h", "copies", "size", "content").mapInArrow(_util.lean(run), f"{CONTENT}, parent long, ph binary, first int, within boolean")
+
+
+def _marks(contents: DataFrame, length: int, level: int = 0) -> DataFrame:
+    """(key, h, spans) of distinct regions with repeated windows; ``contents`` is written."""
+    grams = [round(share * length) for share in LEVELS]
+    heavy = contents.groupBy("key").agg(F.sum("size").alias("_size")).filter(F.col("_size") > SHARD).select("key")
+    if level == len(grams) or heavy.isEmpty():
+        return _sharded(contents, length)
+    rest = _sharded(contents.join(heavy, "key", "left_anti"), length)
+    again = _util.saved(_cut_again(contents.join(heavy, "key", "left_semi"), length, grams[level]), compression="zstd")
+    keys = again.groupBy("key").agg(F.sum(F.col("copies") * (1 + F.col("within").cast("int"))).alias("total")).filter("total > 1").select("key")
+    own = again.join(keys, "key", "left_semi")
+    distinct = _util.saved(own.groupBy("key", "h").agg(F.sum("copies").alias("copies"), F.first("size").alias("size"), F.first("content").alias("content")), compression="zstd")
+    found = _marks(distinct, length, level + 1)
+    back = own.select("key", "h", "parent", "ph", "first").join(found, ["key", "h"])
+    back = back.select(F.col("parent").alias("key"), F.col("ph").alias("h"), F.transform("spans", lambda x: x + F.col("first")).alias("s"))
+    return rest.unionByName(back.groupBy("key", "h").agg(F.flatten(F.collect_list("s")).alias("spans")))
 
 
 def removals(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> DataFrame:
     """One row per distinct text: (t1, t2, text, copies, spans), spans as first
     and stop bytes, unmerged; null where nothing repeats."""
-    _util.batch_rows(docs.sparkSession, 2000)
     texts = _texts(docs, text_col)
     keys = _regions(texts, length, True).groupBy("key").agg(F.sum("copies").alias("total")).filter("total > 1").select("key")
     # kept, as two steps need them and making them means reading every text
     regions = _util.saved(_regions(texts, length, False).join(keys, "key", "left_semi"), compression="zstd")
-    _util.release(docs.sparkSession)
     distinct = regions.groupBy("key", "h").agg(
         F.sum("copies").alias("copies"), F.min(F.struct("t1", "t2", "first")).alias("place"), F.max("n").alias("n")
     )
     places = distinct.select("key", "h", "copies", "n", "place.*")
     contents = _util.saved(_contents(texts, places, length), compression="zstd")
-    _util.release(docs.sparkSession)
-    heavy = contents.groupBy("key").agg(F.sum(F.octet_length("content")).alias("size")).filter(F.col("size") > HOT).select("key")
-    if heavy.isEmpty():
-        marks = _sharded(contents, length)
-    else:
-        rest = contents.join(heavy, "key", "left_anti")
-        marks = _sharded(rest, length).unionByName(_by_window(contents.join(heavy, "key", "left_semi"), length))
-    marks = _util.saved(marks)
+    marks = _util.saved(_marks(contents, length))
     _util.drop_saved(contents)
-    _util.release(docs.sparkSession)
     placed = regions.join(marks, ["key", "h"]).select("t1", "t2", F.transform("spans", lambda x: x + F.col("first")).alias("s"))
     spans = placed.groupBy("t1", "t2").agg(F.flatten(F.collect_list("s")).alias("spans"))
     return texts.join(spans, ["t1", "t2"], "left").select("t1", "t2", "text", "copies", "spans")

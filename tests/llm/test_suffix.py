@@ -52,14 +52,29 @@ def test_against_counting_every_string(spark):
     check(spark, cases())
 
 
-def test_heavy_keys_go_by_window(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT", 300)
+@pytest.mark.parametrize("size", [300])
+def test_hot_keys_are_cut_again(spark, monkeypatch, size):
+    monkeypatch.setattr(suffix_dedup, "SHARD", size)
     check(spark, cases())
 
 
-def test_small_shards_and_long_texts_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SHARD", 500)
-    check(spark, cases())
+def test_hot_passage_amid_different_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(suffix_dedup, "SHARD", 2000)
+    for n in (120, 199):
+        p = noise(rng, n)
+        check(spark, [noise(rng, 150) + p + noise(rng, 150) for _ in range(12)] + [p + "x" * 120, "z" + p + "x" * 120])
+
+
+def test_texts_that_polynomial_hashes_confuse(spark):
+    # the Thue-Morse sequence and its complement collide for every base modulo 2^64
+    a = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    b = a.translate(str.maketrans("ab", "ba"))
+    check(spark, ["zq" * 20 + a, "zq" * 20 + b])
+    check(spark, ["zq" * 20 + a + "zq" * 90, "zq" * 20 + b + "zq" * 90, a[:300], b[300:]])
+
+
+def test_long_texts_in_parts(monkeypatch):
     rng = np.random.default_rng(1)
     data = rng.integers(97, 100, 3000).astype(np.uint8)
     data[1500:2500] = data[200:1200]
