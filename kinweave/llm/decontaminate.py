@@ -66,8 +66,9 @@ OPENERS = (
 ).split()
 
 MARK, START = "\u0001", "\u0002"
-NAME_AFTER = r"([\p{L}\p{N},;:] )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
-TOKEN = rf"{MARK}[^{MARK}]+{MARK}|\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}+)*|[{SIGNS}]"
+#: possessive: Java's matcher repeats other groups by recursion, which a run of some thousand names or numbers overflows
+NAME_AFTER = r"([\p{L}\p{N},;:] )(\p{Lu}\p{L}*+(?: \p{Lu}\p{L}*+)*+)"
+TOKEN = rf"{MARK}[^{MARK}]+{MARK}|\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}++)*+|[{SIGNS}]"
 
 
 #: what NAME_AFTER leaves: a capitalised word that follows neither a mark nor a letter (and a space)
@@ -259,12 +260,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def oracle_sql() -> str:
     """The same rows in SQL, with windows as strings instead of hashes."""
     quoted = lambda words: ", ".join(f"'{w}'" for w in words)
+    greedy = lambda pattern: pattern.replace("*+", "*").replace("++", "+").replace(MARK, "\\x01")  # noqa: E731  DuckDB's matcher has no possessive form and needs none
 
     def windows(name: str, source: str, ident: str) -> str:
         return f"""
         {name}_raw AS (
-            SELECT {ident} AS id, regexp_extract_all(lower(regexp_replace(replace(coalesce(text, ''), chr(1), ' '), '{NAME_AFTER}', '\\1' || chr(1) || '\\2' || chr(1), 'g')),
-                   '{TOKEN.replace(MARK, "\\x01")}') AS raw FROM {source}),
+            SELECT {ident} AS id, regexp_extract_all(lower(regexp_replace(replace(coalesce(text, ''), chr(1), ' '), '{greedy(NAME_AFTER)}', '\\1' || chr(1) || '\\2' || chr(1), 'g')),
+                   '{greedy(TOKEN)}') AS raw FROM {source}),
         {name}_tok AS (
             SELECT id, raw, list_transform(raw, lambda t: CASE
                 WHEN t[1] = chr(1) THEN '<name>' WHEN t[1] BETWEEN '0' AND '9' THEN '<num>'

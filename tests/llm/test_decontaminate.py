@@ -104,3 +104,8 @@ def test_items_of_placeholders_only(spark, item):
     skeleton = item.replace("12", "11").replace("13", "14").replace("SMITH", "JONES").replace("Kiev", "Baku")
     texts = [item, f"Q: {item}", f"Some words. {item} Then more.", f"we solve {item} and go on", f"Sample Question {item}", skeleton, f"Q: {skeleton}", "What is 1 + 2 - 3 * 4?"]
     assert found(spark, texts, [item]) == dict.fromkeys(range(5), False)
+
+
+def test_runs_of_thousands_of_names_and_numbers(spark):
+    texts = [f"so {'Abc ' * 40000}end. {ITEM}", f"{'1,' * 40000} {ITEM}", "9.9" * 30000]
+    assert found(spark, texts) == {0: False, 1: False}
