@@ -28,10 +28,16 @@ words, the item is also searched by its plain lower-cased tokens, without
 placeholders (names as single words), so exact copies are found and skeletons are
 not. Only benchmarks with such items cost this second search.
 
-The benchmark's windows are broadcast if there are no more than
+**Two passes.** The first only hashes windows. A match needs ``ENOUGH`` windows of an
+item (or all), so one of any further number of them is among any choice that leaves out
+fewer than that: the item's rarest windows of that choice are its probes, and only
+documents that meet a probe are candidates for its item. Slots, which cost most, are
+made in the second pass, of candidates alone, and windows that are common to many items
+join nothing but the candidate pairs.
+
+The benchmark's windows, and the candidate pairs, are broadcast if there are no more than
 ``BROADCAST_WINDOWS`` of them, else joined by a shuffle; the rows are the same.
-A passage that is in very many documents gives each of them its own rows, and
-windows are counted per document, item and diagonal before they are shuffled.
+Windows are counted per document, item and diagonal before they are shuffled.
 
 Nulls and empty texts have no tokens and match nothing; rows with a null id are
 left out of :func:`matches` and kept by :func:`clean`. Repeated rows of one id
@@ -40,7 +46,7 @@ count as one document. An empty benchmark contaminates nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _util
@@ -172,13 +178,46 @@ def _item_windows(items: DataFrame) -> tuple[DataFrame, list[int]]:
     return out, short
 
 
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    """A side of a join, broadcast if its counted rows are few."""
+    return F.broadcast(df) if rows <= BROADCAST_WINDOWS else df
+
+
 def _hits(own: DataFrame, bench: DataFrame, n_bench: int, short: list[int], starts: bool) -> DataFrame:
     found = _windows(own, WINDOW, starts=starts)
     for n in short:
         found = found.unionByName(_windows(own, n, starts=starts))
     # one long as the key makes the cheapest hash table; sizes are compared after it
-    other = bench.withColumnRenamed("size", "item_size")
-    return found.join(F.broadcast(other) if n_bench <= BROADCAST_WINDOWS else other, "h").filter(F.col("size") - F.col("item_size") == 0)
+    return found.join(_bounded(bench.withColumnRenamed("size", "item_size"), n_bench), "h").filter(F.col("size") - F.col("item_size") == 0)
+
+
+def _probes(windows: DataFrame, total: DataFrame) -> DataFrame:
+    """(h, item): the windows of (item, reading, size, item_pos, h) of which a match must
+    have one: all but ``ENOUGH - 1`` of each reading (or all but one less than it has), the rarest."""
+    common = windows.select("h", "item").distinct().groupBy("h").agg(F.count("*").alias("n"))
+    at = windows.join(common, "h").groupBy("item", "reading", "size", "item_pos").agg(F.max("n").alias("n"), F.collect_set("h").alias("hs"))
+    rank = F.row_number().over(Window.partitionBy("item", "reading").orderBy("n", "size", "item_pos"))
+    chosen = at.withColumn("rank", rank).join(total, ["item", "reading"]).filter(F.col("rank") <= F.col("item_windows") - F.least("item_windows", F.lit(ENOUGH)) + 1)
+    return chosen.select("item", F.explode("hs").alias("h")).distinct()
+
+
+def _candidates(own: DataFrame, probes: DataFrame, n_bench: int, short: list[int], starts: bool) -> DataFrame:
+    """(id, item) of documents that have a probe of an item."""
+
+    if starts:
+        at = F.transform("raw", lambda t, i: F.when(F.ascii(t) == ord(START), i))
+        own = own.withColumn("starts", F.filter(at, lambda i: i.isNotNull()))
+
+    def named(size: int) -> Column:
+        return F.transform(F.filter("starts", lambda i: i <= F.size("template") - size), lambda i: _named_first(size, i))
+
+    hashes = []
+    for size in (WINDOW, *short):
+        own = with_window_hashes(own, size)
+        hashes += [F.col(f"h{size}"), named(size)] if starts else [F.col(f"h{size}")]
+    # an expression, not a column: a filter on the column's size would be pushed down and make all twice
+    found = own.select("id", F.explode(F.concat(*hashes, F.array().cast("array<bigint>"))).alias("h"))
+    return found.join(_bounded(probes, n_bench), "h").select("id", "item").distinct()
 
 
 def _copies(own: DataFrame, items: DataFrame) -> DataFrame:
@@ -208,6 +247,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     bench = bench.select(F.col("id.id").alias("item"), "id.reading", "size", (F.col("pos") + F.col("id.shift")).alias("item_pos"), "h", F.col("slots").alias("item_slots"), ((F.col("id.reading") == 1) & (F.col("pos") == 0)).alias("lead"))
     bench = _util.saved(bench.dropDuplicates(["item", "reading", "size", "item_pos", "h"]))
     total = _util.saved(bench.groupBy("item", "reading").agg(F.countDistinct("size", "item_pos").alias("item_windows")))
+    probes = _util.saved(_probes(bench, total))
     # both readings share all windows but those with the first word
     bench = _util.saved(bench.groupBy("item", "size", "item_pos", "h", "item_slots", "lead").agg(F.sort_array(F.collect_set("reading")).alias("readings")))
     n_bench = bench.count()
@@ -216,7 +256,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     starts = not bench.filter(F.col("lead") & ~leads.isin(OPENERS)).isEmpty()
     own = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col), starts).alias("raw")).filter("id IS NOT NULL")
     own = own.select("id", "raw", canonical(F.col("raw")).alias("template"))
-    hit = _hits(own, bench, n_bench, short, starts).filter(~F.col("named") | F.col("lead"))
+    pairs = _util.saved(_candidates(own, probes, n_bench, short, starts))
+    n_pairs = pairs.count()
+    some = docs.join(_bounded(pairs.select(F.col("id").alias("_candidate")).distinct(), n_pairs), F.col(id_col) == F.col("_candidate"), "left_semi")
+    some = some.select(F.col(id_col).alias("id"), tokens(F.col(text_col), starts).alias("raw"))
+    some = some.select("id", "raw", canonical(F.col("raw")).alias("template"))
+    hit = _hits(some, bench, n_bench, short, starts).filter(~F.col("named") | F.col("lead"))
+    hit = hit.join(_bounded(pairs, n_pairs), ["id", "item"], "left_semi")
     # the part of a name that is the item's, if it ran together with a word before it
     ends = lambda a, b: (a == b) | F.endswith(a, F.concat(F.lit(" "), F.substring(b, len("<name>") + 2, 1 << 30)))
     first, item_first = F.get("slots", F.lit(0)), F.get("item_slots", F.lit(0))
@@ -238,7 +284,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         F.countDistinct("size", "item_pos").alias("n_windows"), F.max(F.coalesce("changed", F.lit(False))).alias("re_parameterised")
     )
     of_item = ["item", "reading"]
-    enough = counted.join(F.broadcast(total) if n_bench <= BROADCAST_WINDOWS else total, of_item).filter(F.col("n_windows") >= F.least("item_windows", F.lit(ENOUGH)))
+    enough = counted.join(_bounded(total, n_bench), of_item).filter(F.col("n_windows") >= F.least("item_windows", F.lit(ENOUGH)))
     row = ["n_windows", "item_windows", "re_parameterised"]
     enough = enough.select("id", "item", "reading", *row)
     bare = items.select("id", "raw").join(total.select(F.struct("item", "reading").alias("_has")), (F.col("id.id") == F.col("_has.item")) & (F.col("id.reading") == F.col("_has.reading")), "left_anti")

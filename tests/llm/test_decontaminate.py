@@ -109,3 +109,13 @@ def test_items_of_placeholders_only(spark, item):
 def test_runs_of_thousands_of_names_and_numbers(spark):
     texts = [f"so {'Abc ' * 40000}end. {ITEM}", f"{'1,' * 40000} {ITEM}", "9.9" * 30000]
     assert found(spark, texts) == {0: False, 1: False}
+
+
+def test_every_item_after_six_contexts(spark, sf):
+    """A verbatim copy of any item is a hit wherever it stands."""
+    items = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").collect()]
+    before = ["", "Q: ", "Question: ", "We read here that ", "It rained. ", "1) "]
+    n = len(items)
+    docs = spark.createDataFrame([(k * n + i, f"{b}{t} And then some.") for k, b in enumerate(before) for i, t in enumerate(items)], "doc_id long, text string")
+    rows = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).select("doc_id", "item_id").collect()}
+    assert all((k * n + i, i) in rows for k in range(len(before)) for i in range(n))
