@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import _util
+
 
 def fold(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
@@ -42,14 +44,22 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label_col: str, rows: int
     return sorted(((r._text, r._label) for r in rows_), key=lambda x: (x[1], x[0]))
 
 
+def fitted(train, pairs: list, **options) -> dict:
+    """The model that ``train`` makes of the pairs, in a driver that keeps no more than it."""
+    model = train(pairs, **options)
+    pairs.clear()
+    _util.trim()
+    return model
+
+
 class Sparse:
     """Rows of (feature, value) in compressed form."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], width: int):
         self.indptr = np.concatenate([[0], np.cumsum([len(i) for i, _ in rows])]).astype(np.int64)
-        self.index = np.concatenate([i for i, _ in rows] or [np.zeros(0, np.int64)]).astype(np.int64)
+        self.index = np.concatenate([i for i, _ in rows] or [np.zeros(0, np.int64)]).astype(np.int32)
         self.value = np.concatenate([v for _, v in rows] or [np.zeros(0)]).astype(np.float64)
-        self.row = np.repeat(np.arange(len(rows)), np.diff(self.indptr))
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(self.indptr))
         self.n, self.width = len(rows), width
 
     def dot(self, w: np.ndarray) -> np.ndarray:

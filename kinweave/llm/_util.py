@@ -63,10 +63,22 @@ def drop_saved(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def batch_rows(spark: SparkSession, rows: int) -> None:
-    """Rows of an Arrow batch from now on in this session: fewer where texts are
-    long, so that the batches of two tasks and their Python workers stay small."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Where the session has Spark's own 10,000 rows an Arrow batch, make it ``rows``, one
+    value for all operators: texts are long, and the batches of two tasks and their workers
+    share an executor. Another value of the session is left as it is. No result depends on it."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, rows)
+
+
+def trim() -> None:
+    """Return the free pages of this process to the system, where it can."""
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if release:
+        release(0)
 
 
 def lean(run):
@@ -79,9 +91,7 @@ def lean(run):
         try:
             yield from run(batches)
         finally:
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            trim()
 
     return wrapped
 

@@ -1,16 +1,14 @@
 """Byte-level BPE encoding and decoding through a distinct-word table.
 
 **Encode.** Spark splits the texts into words (the tokenizer's own pattern, in
-the JVM). Each Arrow batch of documents is a block: its distinct words go, packed
-by hash bucket, to the task of their bucket, its documents become arrays of
+the JVM). ``BLOCK`` documents are a block: its distinct words go, packed by hash bucket, to the task of their bucket, its documents become arrays of
 positions in the block's word list. A bucket's task sees the words of all
 blocks, makes its part of the distinct-word table, encodes each distinct word
 once and answers every block with the ids of its words. Block and answers meet
 by the block's key (the hash of its words), and positions become ids.
 
 A frequent word is sent once per block, not once per occurrence, so no bucket
-is hot; a block is bounded by Spark's Arrow batch limits (rows and bytes) or one
-document; texts themselves are never shuffled. Blocks and words are dealt by one
+is hot; a block is bounded by its rows and words, or one document; texts themselves are never shuffled. Blocks and words are dealt by one
 exchange, which both steps read.
 
 **Decode.** Ids meet the id-to-piece table by an Arrow lookup join in each task:
@@ -42,6 +40,7 @@ from . import _util
 
 VOCABULARY = "byte_bpe_50k.json"
 CHUNK = 1 << 19
+BLOCK, BLOCK_WORDS = 5_000, 4 << 20  # documents of a block, words after which it ends
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -117,15 +116,28 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     that made it; without it the lists themselves are returned."""
     path = path or vocabulary_path()
     spark = docs.sparkSession
-    _util.batch_rows(spark, 5_000)  # a batch is a block; larger blocks repeat fewer words
+    _util.small_batches(spark)
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(text, F.lit(word_pattern(path)), F.lit(0)).alias("words"))
     kind = dict(split.dtypes)["id"]
 
-    def blocks(batches):
+    def gathered(batches):
+        held, rows, words = [], 0, 0
         for batch in batches:
-            ids, lists = batch.column(0), batch.column(1)
+            held.append(batch)
+            rows += len(batch)
+            words += len(batch.column(1).flatten())
+            if rows >= BLOCK or words >= BLOCK_WORDS:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, rows, words = [], 0, 0
+        if rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+
+    def blocks(batches):
+        for table in gathered(batches):
+            ids, lists = (pa.concat_arrays(table.column(i).chunks) for i in (0, 1))
+            del table
             words = lists.flatten().dictionary_encode()
             counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
             seal = hashlib.blake2b(digest_size=8)

@@ -5,8 +5,10 @@ log frequency in each language. Any other word falls back: to its n-grams of 5
 characters (word ends count as characters), if none is known to those of 4, and
 so on down to 1. A text's prediction is the language with the highest sum.
 
-Training takes a bounded sample of at most ``SAMPLE`` texts of each language
-(64 languages at most, the most frequent). Prediction reads every whole text.
+Training takes a bounded sample of at most ``SAMPLE`` texts of each language, of any
+number of languages; every word and n-gram of the sample that is frequent enough is in
+the model. Prediction reads every whole text. A letter is a character of Unicode's
+categories L.
 
 A null text, a text without a letter, and any text when nothing was learned get
 ``und`` with score 0. Words in letters that no language has shown don't count;
@@ -16,7 +18,10 @@ Ties go to the language that sorts first.
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -26,8 +31,15 @@ from pyspark.sql import functions as F
 
 from . import _train, _util
 
-SAMPLE, MIN_COUNT, ORDERS, WORDS, CACHE = 1200, 2, (5, 4, 3, 2, 1), 200_000, 400_000
-LETTERS = re.compile(r"[^\W\d_]+")
+SAMPLE, MIN_COUNT, ORDERS, CACHE = 1200, 2, (5, 4, 3, 2, 1), 400_000
+
+
+@functools.cache
+def letters() -> re.Pattern:
+    """Runs of letters. What the pattern language calls alphanumeric holds other numbers too
+    (superscripts, fractions, letter numbers), which are no letters."""
+    other = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
+    return re.compile(rf"[^\W\d_{other}]+")
 
 
 def train(pairs: list[tuple[str, str]]) -> dict:
@@ -36,7 +48,7 @@ def train(pairs: list[tuple[str, str]]) -> dict:
     place = {lang: i for i, lang in enumerate(langs)}
     words: list[Counter] = [Counter() for _ in langs]
     for text, lang in pairs:
-        words[place[lang]].update(LETTERS.findall(text.lower()))
+        words[place[lang]].update(letters().findall(text.lower()))
     both: Counter = Counter()
     for c in words:
         both.update(c)
@@ -45,7 +57,7 @@ def train(pairs: list[tuple[str, str]]) -> dict:
         total = [sum(c.values()) + len(kept) for c in counts]
         return {k: tuple(float(np.log((c[k] + 0.5) / t)) for c, t in zip(counts, total, strict=True)) for k in kept}
 
-    known = [w for w, n in both.most_common(WORDS) if n >= MIN_COUNT]
+    known = [w for w, n in both.items() if n >= MIN_COUNT]
     grams = {}
     for n in ORDERS:
         counts: list[Counter] = []
@@ -58,7 +70,7 @@ def train(pairs: list[tuple[str, str]]) -> dict:
         seen: Counter = Counter()
         for c in counts:
             seen.update(c)
-        grams[n] = table(counts, [g for g, k in seen.most_common(WORDS) if k >= MIN_COUNT])
+        grams[n] = table(counts, [g for g, k in seen.items() if k >= MIN_COUNT])
     return {"langs": langs, "words": table(words, known), "grams": grams}
 
 
@@ -100,7 +112,7 @@ class Scorer(dict):
         return i
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        found = LETTERS.findall(text.lower()) if text and self.n else []
+        found = letters().findall(text.lower()) if text and self.n else []
         if not found:
             return "und", 0.0
         total = np.zeros(self.n)
@@ -120,7 +132,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, which replace columns of those names."""
     added = ("lang_pred", "score")
     kept = _util.without(docs, *added)
-    _util.batch_rows(docs.sparkSession, 2000)
+    _util.small_batches(docs.sparkSession)
     names = kept.columns
 
     def run(batches):
@@ -136,7 +148,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> dict:
     """Learn from documents whose crc32(doc_id) mod 4 is not 2 and lang isn't null."""
     labels = docs.select("doc_id", "lang").filter(_train.fold("doc_id", 4) != 2)
-    return train([(t, lang) for t, lang in _train.labelled_texts(docs, labels, "lang", sample) if t])
+    return _train.fitted(train, [(t, lang) for t, lang in _train.labelled_texts(docs, labels, "lang", sample) if t])
 
 
 def identify(docs: DataFrame) -> DataFrame:

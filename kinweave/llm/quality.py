@@ -111,7 +111,7 @@ def score(docs: DataFrame, model: dict, above: float = 0.0, text_col: str = "tex
     ``above``), which replace columns of those names."""
     added = ("expected_grade", "tail_probability")
     kept = _util.without(docs, *added)
-    _util.batch_rows(docs.sparkSession, 2000)
+    _util.small_batches(docs.sparkSession)
     names = kept.columns
 
     def run(batches):
@@ -125,7 +125,7 @@ def score(docs: DataFrame, model: dict, above: float = 0.0, text_col: str = "tex
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grade_col: str = "quality", sample: int = SAMPLE, held_out: int = 5) -> dict:
-    return train(_train.labelled_texts(docs, ratings.filter(_train.fold("doc_id", held_out) != 0), grade_col, sample))
+    return _train.fitted(train, _train.labelled_texts(docs, ratings.filter(_train.fold("doc_id", held_out) != 0), grade_col, sample))
 
 
 def select_by_quality(docs: DataFrame, ratings: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -123,7 +123,7 @@ def fingerprints(docs: DataFrame, k: int = 3, width: int = 1, id_col: str = "doc
                 yield pa.RecordBatch.from_arrays([ids[lo:hi], pa.array(np.diff(offsets)), *[pa.array(f[:, j].view(np.int64)) for j in range(width)], *last], names=[id_col, "n_shingles", *names, *more])
 
     own = docs.select(F.col(id_col), F.col(text_col))
-    _util.batch_rows(docs.sparkSession, 2000)
+    _util.small_batches(docs.sparkSession)
     return own.mapInArrow(_util.lean(run), _util.extended(own.select(id_col), n_shingles="long", **dict.fromkeys(names, "long"), **more))
 
 

@@ -277,6 +277,7 @@ def _marks(contents: DataFrame, length: int, level: int = 0) -> DataFrame:
 def removals(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> DataFrame:
     """One row per distinct text: (t1, t2, text, copies, spans), spans as first
     and stop bytes, unmerged; null where nothing repeats."""
+    _util.small_batches(docs.sparkSession)
     texts = _texts(docs, text_col)
     keys = _regions(texts, length, True).groupBy("key").agg(F.sum("copies").alias("total")).filter("total > 1").select("key")
     # kept, as two steps need them and making them means reading every text

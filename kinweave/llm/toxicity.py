@@ -101,7 +101,7 @@ def score_texts(texts: pa.Array, model: dict, dense: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``toxicity`` (0 to 1), which replaces one of that name."""
     kept = _util.without(docs, "toxicity")
-    _util.batch_rows(docs.sparkSession, 2000)
+    _util.small_batches(docs.sparkSession)
     names = kept.columns
 
     def run(batches):
@@ -117,7 +117,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: int = SAMPLE, held_out: int = 5) -> dict:
     """Train on a sample of the labelled rows that are not held out."""
-    return train(_train.labelled_texts(docs, labels.filter(_train.fold("doc_id", held_out) != 0), label_col, sample))
+    return _train.fitted(train, _train.labelled_texts(docs, labels.filter(_train.fold("doc_id", held_out) != 0), label_col, sample))
 
 
 def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:

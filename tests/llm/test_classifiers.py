@@ -1,7 +1,9 @@
+import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from kinweave.llm import _util, langid, quality, queries, toxicity
@@ -60,6 +62,64 @@ def test_one_class_or_none():
     assert langid.Scorer(langid.train([]))("hello") == ("und", 0.0)
 
 
+def test_letters_are_of_category_l():
+    s = langid.Scorer(langid.train([("haus maus", "de")] * 3))
+    assert all(s(t) == ("und", 0.0) for t in ("²½ 12", "Ⅷ ⅷ ①", "_ __ 3rd"[:4], "٣٤"))
+    assert s("一二")[0] == "de" and langid.letters().findall("a²b½ç一Ⅷ") == ["a", "b", "ç一"]
+
+
+def test_languages_equal_plain_sums(spark, sf):
+    """The scorer on a whole table against sums over a dictionary, word by word."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.fit(docs)
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    for r in docs.collect():
+        words = ["".join(g) for g in _runs_of_letters((r.text or "").lower())]
+        if not words:
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        total = [0.0] * len(model["langs"])
+        for w in words:
+            v = model["words"].get(w) or langid.backoff(w, model["grams"], len(total))
+            total = [a + b for a, b in zip(total, v, strict=True)]
+        best = max(range(len(total)), key=lambda i: total[i])
+        assert got[r.doc_id].lang_pred == model["langs"][best]
+        assert got[r.doc_id].score == pytest.approx(1 / sum(np.exp((t - total[best]) / len(words) ** 0.5) for t in total), rel=1e-6)
+
+
+def _runs_of_letters(text):
+    run = []
+    for c in text + " ":
+        if unicodedata.category(c).startswith("L"):
+            run.append(c)
+        elif run:
+            yield run
+            run = []
+
+
+def test_toxicity_equals_plain_sums(spark, sf):
+    """Scores of a whole table against sums over the set of n-grams of each text."""
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    weight = dict(zip(model["bucket"].tolist(), model["weight"].tolist(), strict=True))
+    got = {r.doc_id: r.toxicity for r in toxicity.score(docs, model).collect()}
+    mask = (1 << 64) - 1
+
+    def bucket(gram):
+        h = len(gram)
+        for c in gram:
+            h = (h * 0x100000001B3 + ord(c)) & mask
+        h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & mask
+        h = ((h ^ h >> 27) * 0x94D049BB133111EB) & mask
+        return (h ^ h >> 31) % toxicity.DIM
+
+    for r in docs.orderBy("doc_id").limit(60).collect():
+        t = pa.compute.utf8_lower(pa.scalar(r.text or "")).as_py()
+        grams = {t[i : i + n] for n in toxicity.ORDERS for i in range(len(t) - n + 1)}
+        z = sum(weight.get(b, 0.0) for b in {bucket(g) for g in grams}) + model["bias"]
+        assert got[r.doc_id] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
 def test_backoff_to_shorter_ngrams():
     model = langid.train([("haus maus laus", "de")] * 3 + [("house mouse louse", "en")] * 3)
     s = langid.Scorer(model)

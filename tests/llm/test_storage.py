@@ -121,8 +121,9 @@ def test_links_against_brute_force(spark, monkeypatch, chunk):
     assert got[None].component_id is None and got[None].kept
 
 
-def test_recall_on_the_table(spark):
-    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_recall_on_the_table(spark, sf, scale):
+    df = spark.read.parquet(f"{sf.replace('0.001', scale)}/embeddings.parquet")
     rows = sorted((r.vec_id, r.embedding) for r in df.collect())
     v = np.array([x for _, x in rows])
     v /= np.linalg.norm(v, axis=1)[:, None]
