@@ -11,7 +11,6 @@ class Quirks:
 
     whole_rep_never_target: bool = True  # a representative without region has a key that no search target equals
     architecture_by_model_start: bool = True  # domains are ordered by the fourth item of a hit, not by sequence start
-    underscore_region_start: bool = True  # the start parser reads `_` only, so `id/from-to` gives 1
     ignore_pair_count: bool = True  # each (protein, biome) pair adds 1 whatever its own count
     cut_renamed: bool = True  # a new name longer than the old one is cut
     exclusive_clip_end: bool = True  # the last column over the occupancy threshold is dropped
@@ -22,12 +21,9 @@ class Quirks:
 @dataclass(frozen=True)
 class Config:
     fasta_input: bool = False
-    compress_mode: str = "none"
     min_sequence_length: int = 100
-    input_chunk_rows: int = 50_000_000
     cluster_identity: float = 0.5
     cluster_coverage: float = 0.9
-    cluster_coverage_mode: int = 0
     minimum_members: int = 25
     clusters_chunk_size: int = 20
     min_rep_length: int = 75
@@ -45,14 +41,12 @@ class Config:
     starting_id: int = 1
     structure_chunk: int = 50
     structure_chunk_long: int = 5
-    recycles: int = 1
     hh_mode: str = "hhsearch"
     hh_reported: tuple[int, int] = (0, 1000)
     hh_probability: float = 80.0
     hh_e_value: float = 0.001
     fold_e_value: float = 0.001
     query_hmm_length: float = 0.8
-    query_result_chunks: int = 100
     topology_max_residues: int = 1022
     skip_topology: bool = False
     id_prefix: str = "FAM"
@@ -61,5 +55,3 @@ class Config:
     def __post_init__(self) -> None:
         if self.hh_mode not in ("hhsearch", "hhblits"):
             raise ValueError(f"hh_mode must be hhsearch or hhblits, not {self.hh_mode!r}")
-        if self.compress_mode not in ("none", "gz", "bz2"):
-            raise ValueError(f"compress_mode must be none, gz or bz2, not {self.compress_mode!r}")

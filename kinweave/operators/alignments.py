@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,13 +13,57 @@ from ..functions import scalar
 
 def occupancy(rows: DataFrame, family: str = "family", aligned: str = "aligned", gap: str = "-") -> DataFrame:
     """(family, pos, occupancy): share of a family's rows with a residue in each
-    column, 0-based. Counts are partial sums per task, so a large family is not gathered."""
-    n = rows.groupBy(family).agg(F.count("*").alias("rows"))
-    chars = rows.select(family, F.posexplode(F.filter(F.split(aligned, ""), lambda c: c != "")).alias("pos", "c"))
-    filled = chars.groupBy(family, "pos").agg(F.sum((F.col("c") != gap).cast("int")).alias("filled"))
+    column, 0-based. ``gap`` is one ASCII character; a row without text counts as a row.
+
+    Batches of rows become sums by column before they are shuffled, a row for each column
+    and not for each character, so a large family is not gathered."""
+    if len(gap.encode()) != 1:
+        raise ValueError("gap must be one ASCII character")
+    known = rows.filter(F.col(family).isNotNull())
+    n = known.groupBy(family).agg(F.count("*").alias("rows"))
+
+    def summed(batches):
+        for batch in batches:
+            for part in _slices(batch, 1 << 22):
+                yield _column_sums(part, gap)
+
+    kind = dict(rows.dtypes)[family]
+    sums = known.select(F.col(family).alias("_family"), F.coalesce(F.col(aligned), F.lit("")).alias("_aligned")).mapInArrow(summed, f"_family {kind}, pos int, filled long")
+    filled = sums.groupBy(F.col("_family").alias(family), "pos").agg(F.sum("filled").alias("filled"))
     return filled.join(n, family).select(family, "pos", (F.col("filled") / F.col("rows")).alias("occupancy"))
 
 
+def _slices(batch: pa.RecordBatch, limit: int):
+    """Slices of a batch of about ``limit`` bytes of text each, one row at least."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo, n = 0, batch.num_rows
+    while lo < n:
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
+def _column_sums(batch: pa.RecordBatch, gap: str) -> pa.RecordBatch:
+    """(family, pos, filled) of rows (family, aligned); positions count characters."""
+    text = batch.column(1).cast(pa.large_binary())
+    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    at = np.searchsorted(first, offsets - offsets[0])
+    length = np.diff(at)
+    named = batch.column(0).dictionary_encode()
+    code = named.indices.to_numpy(zero_copy_only=False)
+    width = np.zeros(len(named.dictionary), np.int64)
+    np.maximum.at(width, code, length)
+    base = np.cumsum(width) - width
+    place = np.repeat(base[code] - at[:-1], length) + np.arange(len(first))
+    filled = np.bincount(place[data[first] != ord(gap)], minlength=int(width.sum()))
+    pos = np.arange(len(filled)) - np.repeat(base, width)
+    family = named.dictionary.take(pa.array(np.repeat(np.arange(len(width)), width)))
+    return pa.RecordBatch.from_arrays([family, pa.array(pos.astype(np.int32)), pa.array(filled.astype(np.int64))], names=["_family", "pos", "filled"])
+
+
 def clip_range(columns: DataFrame, threshold: float = 0.5, family: str = "family", exclusive_end: bool = True) -> DataFrame:
     """(family, start, end) of the first and last column over the threshold, 0 and
     the last column if none is. With ``exclusive_end`` the end column itself is

@@ -70,9 +70,10 @@ def base_proteins(edges: DataFrame) -> DataFrame:
     return edges.select("family", scalar.base_name(F.col("member")).alias("protein")).distinct()
 
 
-def pair_jaccard(pairs: DataFrame, family_protein: DataFrame, row_bound: int = ROW_BOUND) -> DataFrame:
+def pair_jaccard(pairs: DataFrame, family_protein: DataFrame, row_bound: int = ROW_BOUND, at_least: float = 0.0) -> DataFrame:
     """``pairs`` (a, b) with the Jaccard score of their protein sets, 0 if both
-    are empty. Only the given pairs are compared.
+    are empty. Only the given pairs are compared. Pairs whose sizes alone keep the score
+    under ``at_least`` are left out before any set is read; others under it may be returned.
 
     Sets of at most ``row_bound`` proteins travel as one array per family and meet
     within a row; a pair with a larger set meets by joins on (pair, protein),
@@ -81,6 +82,8 @@ def pair_jaccard(pairs: DataFrame, family_protein: DataFrame, row_bound: int = R
     size = lambda k: sizes.select(F.col("family").alias(k), F.col("n").alias(f"n_{k}"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     sized = pairs.select("a", "b").distinct().join(size("a"), "a", "left").join(size("b"), "b", "left")
+    if at_least > 0:
+        sized = sized.filter(F.try_divide(F.least(zero("n_a"), zero("n_b")), F.greatest(zero("n_a"), zero("n_b"))) >= at_least)
     sized = sized.withColumn("large", (zero("n_a") > row_bound) | (zero("n_b") > row_bound))
     sets = family_protein.join(sizes.filter(F.col("n") <= row_bound).select("family"), "family", "left_semi").groupBy("family").agg(F.collect_list("protein").alias("s"))
     own = lambda k: sets.select(F.col("family").alias(k), F.col("s").alias(f"s_{k}"))

@@ -22,8 +22,8 @@ def rep_winners(families: DataFrame) -> DataFrame:
     """(key, family, winner): of families with one representative key the largest
     wins; of equal sizes the first name. Only the winner of a key is gathered,
     so a common key sorts nothing."""
-    best = families.groupBy("key").agg(F.max_by("family", F.struct("size", F.lit(0))).alias("_"), F.max("size").alias("top"))
-    first = families.join(best.select("key", "top"), "key").filter("size = top").groupBy("key").agg(F.min("family").alias("best"))
+    largest = families.groupBy("key").agg(F.max("size").alias("top"))
+    first = families.join(largest, "key").filter("size = top").groupBy("key").agg(F.min("family").alias("best"))
     return families.join(first, "key").select("key", "family", "size", (F.col("family") == F.col("best")).alias("winner"))
 
 
@@ -58,11 +58,17 @@ def identify(domtbl: DataFrame, metadata: DataFrame, edge_list: DataFrame, confi
     families = metadata.select("family", "size", rep_key(whole_never_target=config.quirks.whole_rep_never_target).alias("key"))
     lost = rep_winners(families).filter(~F.col("winner")).select("family")
     candidates = hits(domtbl, families, config.redundant_length)
-    scored = edges.pair_jaccard(candidates, edges.base_proteins(edge_list))
+    scored = edges.pair_jaccard(candidates, edges.base_proteins(edge_list), at_least=min(config.redundant_score, config.similarity_score))
     redundant, similar = judged(scored, config.redundant_score, config.similarity_score)
     return lost.union(redundant).distinct(), similar
 
 
+def similarity_rows(similar: DataFrame) -> DataFrame:
+    """(row, family1, family2, score): similar pairs numbered from 1, by their names."""
+    named = similar.select(F.col("a").alias("family1"), F.col("b").alias("family2"), "score")
+    return edges.numbered(named, ["family1", "family2", "score"], "row").select("row", "family1", "family2", "score")
+
+
 def survivor_ids(names: DataFrame, redundant: DataFrame, starting_id: int = 1) -> DataFrame:
     """(family, id): dense ids of the survivors in the byte order of their file names."""
     kept = names.select("family").distinct().join(redundant.select("family"), "family", "left_anti")

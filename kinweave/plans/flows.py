@@ -76,16 +76,19 @@ def profile_hits(models: DataFrame, reps: DataFrame, config: Config, kernels: Ke
     def run(frames):
         import pandas as pd
 
+        built, model = None, None
         for df in frames:
             out = []
             for r in df.itertuples():
-                model = kernels.profile([(x["name"], x["aligned"]) for x in r.seed], config.gap_occupancy)
+                if r.family != built:
+                    built, model = r.family, kernels.profile([(x["name"], x["aligned"]) for x in r.seed], config.gap_occupancy)
                 hit = kernels.search(model, r.seq, int(r.n))
                 if hit and hit.e_value <= config.search_e_value:
                     out.append((r.family, r.id, model.length, hit.env_from, hit.env_to))
             yield pd.DataFrame(out, columns=["query", "target", "qlen", "env_from", "env_to"])
 
-    return joined.select("family", "id", "seed", "seq", "n").mapInPandas(run, "query string, target string, qlen int, env_from int, env_to int")
+    # rows of a family follow one another, so its profile is built once a task
+    return joined.select("family", "id", "seed", "seq", "n").sortWithinPartitions("family").mapInPandas(run,"query string, target string, qlen int, env_from int, env_to int")
 
 
 def nonredundant_families(setup: Clusters, workdir: str, config: Config = Config(), kernels: Kernels | None = None) -> Families:
@@ -117,6 +120,17 @@ def nonredundant_families(setup: Clusters, workdir: str, config: Config = Config
     )
 
 
+def structure_batches(reps: DataFrame, config: Config = Config(), retry: bool = False) -> DataFrame:
+    """Representatives with the number of their batch for structure prediction; those
+    that failed for their length are tried again in smaller ones."""
+    return edges.chunked(reps, ["id"], config.structure_chunk_long if retry else config.structure_chunk)
+
+
+def topology_input(reps: DataFrame, config: Config = Config()) -> DataFrame:
+    """Representatives as the topology predictor takes them: no residue beyond its limit."""
+    return export.truncated(reps, config.topology_max_residues)
+
+
 def annotations(spark: SparkSession, folder: str, config: Config = Config()) -> dict[str, DataFrame]:
     """What prediction and search tools left in ``folder``, as tables."""
     preds = sources.secondary_structure(spark, f"{folder}/s4pred")
@@ -126,7 +140,7 @@ def annotations(spark: SparkSession, folder: str, config: Config = Config()) ->
         "scores": sources.structure_scores(spark, f"{folder}/structure_scores"),
         "pfams": export.domain_hits(sources.domtbl(spark, f"{folder}/pfam"), config.query_hmm_length),
         "funfams": export.domain_hits(sources.domtbl(spark, f"{folder}/funfam"), config.query_hmm_length, pfam=False),
-        "folds": export.folds(sources.fold_hits(spark, f"{folder}/folds")),
+        "folds": export.folds(sources.fold_hits(spark, f"{folder}/folds").filter(F.col("e_value").try_cast("double") <= config.fold_e_value)),
         "model_pfams": export.model_pfams(
             export.reported(sources.hhr_hits(spark, f"{folder}/hhr"), config.hh_probability, config.hh_e_value, config.hh_reported[1]), sources.hhr_descriptions(spark, f"{folder}/hhr")
         ),

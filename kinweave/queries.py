@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .config import Config
 from .functions import scalar
-from .operators import alignments, architecture, edges, export, intervals, redundancy, rollup, stats, tracks
+from .operators import alignments, architecture, edges, export, families, intervals, redundancy, rollup, stats, tracks
 from .sources import sinks
 from .sources import text as sources
+from .storage import shared_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -63,9 +65,20 @@ def interval_merge(spark, d):
 
 @query("""SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events WHERE json_valid(props) AND json_extract(props, '$.k') IS NOT NULL""")
 def json_payload_filter(spark, d):
-    e = table(spark, d, "events").filter(F.try_parse_json("props").isNotNull())
+    is_json, _, _ = intervals.annotation(F.col("props"))
     k = F.get_json_object("props", "$.k").try_cast("int")
-    return e.select("event_id", k.alias("k")).filter("k IS NOT NULL")
+    return table(spark, d, "events").filter(is_json).select("event_id", k.alias("k")).filter("k IS NOT NULL")
+
+
+@query(f"SELECT * FROM ({SQL['unannotated_slices']}) WHERE CAST(split_part(id, '_', 1) AS BIGINT) % 10 <> 9")
+def metadata_slices(spark, d):
+    li = table(spark, d, "lineitem")
+    a = F.col("l_quantity").cast("int")
+    hit = F.array(F.lit("PF1"), a.cast("string"), (a + 3 * F.col("l_linenumber")).cast("int").cast("string"))
+    payload = li.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.to_json(F.struct(F.collect_list(hit).alias("p"))).alias("payload"))
+    docs = table(spark, d, "documents").join(payload, "doc_id", "left")
+    metadata = F.when(F.col("doc_id") % 10 == 9, "no json").otherwise(F.coalesce("payload", F.lit("{}")))
+    return intervals.unannotated_slices(docs.select(F.col("doc_id").cast("string").alias("protein_id"), F.col("text").alias("sequence"), metadata.alias("metadata")), 20)
 
 
 def _clusters(spark, d):
@@ -153,9 +166,9 @@ def _members(spark, d):
     return table(spark, d, "lineitem").join(s, "l_suppkey").select("family", F.concat_ws("/", "l_partkey", "l_linenumber").alias("member"))
 
 
-def _scored(spark, d):
+def _scored(spark, d, at_least=0.0):
     hits = redundancy.hits(_domtbl(spark, d), _families(spark, d).select("family", "size", "key"), 0.9)
-    return edges.pair_jaccard(hits, edges.base_proteins(_members(spark, d)))
+    return edges.pair_jaccard(hits, edges.base_proteins(_members(spark, d)), at_least=at_least)
 
 
 @query(f"WITH {_FAMILIES} SELECT a, b, size_a, size_b FROM hit")
@@ -169,7 +182,7 @@ def family_jaccard(spark, d):
 
 
 def _redundant(spark, d, redundant: float = 0.17, similar: float = 0.14):
-    return redundancy.judged(_scored(spark, d), redundant, similar)
+    return redundancy.judged(_scored(spark, d, min(redundant, similar)), redundant, similar)
 
 
 @query(f"WITH {_FAMILIES} SELECT family FROM red")
@@ -182,6 +195,11 @@ def similar_families(spark, d):
     return _redundant(spark, d)[1]
 
 
+@query(f"WITH {_FAMILIES} SELECT row_number() OVER (ORDER BY a, b, score) AS row, a AS family1, b AS family2, score FROM sc WHERE score < 0.17 AND score >= 0.14")
+def similarity_report(spark, d):
+    return redundancy.similarity_rows(_redundant(spark, d)[1])
+
+
 def _ids(spark, d, **thresholds):
     return redundancy.survivor_ids(_families(spark, d), _redundant(spark, d, **thresholds)[0], 1)
 
@@ -347,8 +365,9 @@ def domain_hits_export(spark, d):
     SELECT p.page_id, p.host, f.url AS first_url FROM p JOIN f ON p.host = f.host AND f.r = 1""")
 def first_description(spark, d):
     p = table(spark, d, "pages").select("page_id", "url", F.regexp_extract("url", "://([^/]+)", 1).alias("host"))
-    first = p.groupBy("host").agg(F.min_by("url", "page_id").alias("first_url"))
-    return p.select("page_id", "host").join(first, "host", "left")
+    said = p.select(F.col("host").alias("id"), F.col("page_id").alias("n"), F.lit("PF1.2").alias("accession"), F.col("url").alias("name"), F.lit("").alias("description"))
+    hits = p.select(F.col("host").alias("id"), F.lit("PF1").alias("pfam"), F.col("page_id").alias("prob"), *[F.lit(None).cast("string").alias(c) for c in ("e_value", "length", "query_hmm", "template_hmm")])
+    return export.model_pfams(hits, said).select(F.col("prob").alias("page_id"), F.col("id").alias("host"), F.col("name").alias("first_url"))
 
 
 @query("""SELECT replace(p_name, ' ', '/') AS id, p_retailprice AS plddt, CAST(p_size AS DOUBLE) AS ptm FROM part""")
@@ -420,6 +439,120 @@ def running_numbers(spark, d):
     return redundancy.running_numbers(o)
 
 
+@query("""
+    WITH fam AS (SELECT s_suppkey, s_name AS family, (s_suppkey * 37) % 11 AS size, n_name || '/' || s_suppkey % 2 AS key, n_regionkey
+                 FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+    won AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY size DESC, family) = 1 AS winner FROM fam),
+    hit AS (SELECT x.family AS a, w.family AS b, x.size AS size_a, w.size AS size_b FROM won x JOIN fam y ON x.n_regionkey = y.n_regionkey
+            JOIN won w ON w.key = y.key AND w.winner
+            WHERE x.winner AND x.family <> w.family AND CAST(50 + (x.s_suppkey * 7 + y.s_suppkey * 3) % 60 AS DOUBLE) / 100 >= 0.9),
+    mem AS (SELECT DISTINCT s_name AS family, l_partkey AS protein FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+    cnt AS (SELECT family, count(*) AS n FROM mem GROUP BY 1),
+    sh AS (SELECT h.a, h.b, count(*) AS c FROM (SELECT DISTINCT a, b FROM hit) h JOIN mem x ON x.family = h.a JOIN mem y ON y.family = h.b AND y.protein = x.protein GROUP BY 1, 2)
+    SELECT family FROM won WHERE NOT winner UNION
+    SELECT CASE WHEN size_a < size_b THEN hit.a WHEN size_a > size_b THEN hit.b ELSE greatest(hit.a, hit.b) END
+    FROM hit JOIN sh ON hit.a = sh.a AND hit.b = sh.b JOIN cnt p ON p.family = hit.a JOIN cnt q ON q.family = hit.b
+    WHERE CAST(c AS DOUBLE) / (p.n + q.n - c) >= 0.17""")
+def redundancy_identify(spark, d):
+    s = table(spark, d, "supplier").join(F.broadcast(table(spark, d, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations
+    meta = s.select("s_suppkey", "n_regionkey", F.col("s_name").alias("family"), ((F.col("s_suppkey") * 37) % 11).alias("size"), F.col("n_name").alias("rep"), (F.col("s_suppkey") % 2).cast("string").alias("region"))
+    other = meta.select(F.col("s_suppkey").alias("t"), F.concat_ws("/", "rep", "region").alias("target"), "n_regionkey")
+    found = meta.join(other, "n_regionkey").select(
+        F.col("family").alias("query"), "target", F.lit(100).alias("qlen"), F.lit(1).alias("env_from"), (50 + (F.col("s_suppkey") * 7 + F.col("t") * 3) % 60).alias("env_to")
+    )
+    return redundancy.identify(found, meta, _members(spark, d), Config(redundant_score=0.17, similarity_score=0.14))[0]
+
+
+@query("""
+    WITH e AS (SELECT l_suppkey || '_' || l_linenumber AS family, (l_suppkey + l_linenumber) % 3 = 0 AS gone, CAST(l_partkey AS VARCHAR) AS member FROM lineitem),
+    ids AS (SELECT family, row_number() OVER (ORDER BY family || '.hmm') + 4 AS id FROM (SELECT DISTINCT family FROM e WHERE NOT gone))
+    SELECT CAST(id AS VARCHAR) AS family, member FROM e JOIN ids USING (family)""")
+def pool_renumber(spark, d):
+    li = table(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("chunk"), F.col("l_linenumber").alias("iteration"), F.rpad(F.col("l_partkey").cast("string"), 12, " ").alias("member")
+    )
+    pooled = edges.prefixed_edges(li)
+    gone = edges.prefixed_edges(li.filter((F.col("chunk") + F.col("iteration")) % 3 == 0)).select("family").distinct()
+    return redundancy.renumbered(pooled, redundancy.survivor_ids(pooled, gone, 5))
+
+
+@query("""
+    WITH p AS (SELECT user_id AS family, event_type, 7 * count(*) AS n FROM events GROUP BY 1, 2)
+    SELECT family, 'root:' || event_type AS ids, event_type AS labels, 'root' AS parents, n AS counts FROM p
+    UNION ALL SELECT family, 'root', 'root', '', CAST(sum(n) AS BIGINT) FROM p GROUP BY 1""")
+def biome_tree(spark, d):
+    e = table(spark, d, "events")
+    pairs = e.select(F.col("user_id").alias("family"), F.concat(F.lit("[["), F.ascii("event_type"), F.length("event_type").cast("string"), F.lit(", 7]]")).alias("biomes"))
+    names = e.select(F.concat(F.ascii("event_type"), F.length("event_type").cast("string")).alias("id"), F.concat(F.lit("root:"), "event_type").alias("name")).distinct()
+    return rollup.roll_up(rollup.named(rollup.biome_counts(pairs, ignore_pair_count=False), names), ["family"])
+
+
+@query("""
+    WITH s AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS seq, length(p_name) AS n FROM part),
+    e AS (SELECT DISTINCT id, n, md5(substr(seq, i, 4)) AS h FROM (SELECT *, unnest(range(1, n - 2)) AS i FROM s)),
+    l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY h) AS r FROM e) WHERE r <= 6),
+    c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY n DESC, id DESC) AS first FROM l) WHERE first = 1)
+    SELECT DISTINCT c.id AS centre, l.id FROM l JOIN c ON l.h = c.h WHERE l.id <> c.id AND l.n >= c.n * 0.8""")
+def kmer_candidates(spark, d):
+    parts = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("seq"))
+    return families.centre_pairs(parts, 0.8, 4, 6, F.md5)
+
+
+def _letters(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^A-Za-z]", "").alias("seq")).filter("seq <> ''")
+
+
+_LETTERS = "(SELECT doc_id, regexp_replace(text, '[^A-Za-z]', '', 'g') AS seq FROM documents)"
+
+
+def _text(spark, lines):
+    """The folder of text files that hold these lines, for a scan to read."""
+    path = shared_folder(spark)
+    lines.write.text(path)
+    return path
+
+
+@query(f"SELECT 'd' || doc_id AS id, '-> in >a record' AS description, seq FROM {_LETTERS} WHERE seq <> ''")
+def fasta_scan(spark, d):
+    wrapped = F.regexp_replace("seq", "(.{60})", "$1\n")
+    return sources.fasta(spark, _text(spark, _letters(spark, d).select(F.concat(F.lit(">d"), "doc_id", F.lit(" -> in >a record\n"), wrapped))))
+
+
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS protein_id, seq AS sequence, doc_id % 2 = 0 AS full_length, CAST(doc_id % 7 AS INT) AS cluster_size,
+           '{{"p": [["PF1", ' || doc_id || ', 9]]}}' AS metadata FROM {_LETTERS} WHERE seq <> ''""")
+def protein_scan(spark, d):
+    path = shared_folder(spark)
+    metadata = F.concat(F.lit('{"p": [["PF1", '), "doc_id", F.lit(", 9]]}"))
+    _letters(spark, d).select("doc_id", "seq", F.col("doc_id") % 2 == 0, F.col("doc_id") % 7, metadata).write.csv(path, header=True, quote='"', escape='"')
+    return sources.proteins(spark, path)
+
+
+@query("""
+    SELECT 't' || l_orderkey AS target, CAST(l_quantity AS INT) AS tlen, p_brand AS query, p_size AS qlen, CAST(l_linenumber AS INT) AS env_from, p_name AS description
+    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <> 7""")
+def domain_table_scan(spark, d):
+    j = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    comment = F.when(F.col("l_linenumber") == 7, "# t").otherwise("t")
+    first = [F.concat(comment, "l_orderkey"), F.lit("-"), F.col("l_quantity").cast("int"), F.col("p_brand"), F.lit("PF1.2"), F.col("p_size")]
+    rest = [*[F.lit("1e-5")] * 13, F.col("l_linenumber"), F.lit("9"), F.lit("0.9"), F.col("p_name")]
+    path = _text(spark, j.select(F.concat_ws("  ", *[c.cast("string") for c in first + rest])))
+    return sources.domtbl(spark, path).select("target", "tlen", "query", "qlen", "env_from", "description")
+
+
+@query("""SELECT 'u' || user_id AS id, lower(l) AS seq, l AS labels FROM (
+    SELECT user_id, string_agg(upper(event_type[1]), '' ORDER BY ts, event_id) AS l FROM events GROUP BY 1)""")
+def topology_scan(spark, d):
+    return sources.three_line(spark, _text(spark, _labels(spark, d).select(F.concat(F.lit(">u"), "id", F.lit(" some text\n"), F.lower("labels"), F.lit("\n"), "labels"))))
+
+
+@query(f"SELECT 'd' || doc_id AS name, seq AS aligned FROM {_LETTERS} WHERE seq <> ''")
+def stockholm_scan(spark, d):
+    # each record in two blocks where it is long enough
+    rest = F.when(F.length("seq") > 30, F.concat(F.lit("\nd"), "doc_id", F.lit(" "), F.substr("seq", F.lit(31)))).otherwise("")
+    lines = F.concat(F.lit("# STOCKHOLM 1.0\n#=GF ID x\nd"), "doc_id", F.lit("   "), F.substring("seq", 1, 30), rest, F.lit("\n//"))
+    return sources.stockholm(spark, _text(spark, _letters(spark, d).select(lines))).select("name", "aligned")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Redundant families go, the others get dense ids."""
     return _ids(spark, "/root/testdata/sf0.001", redundant=0.92, similar=0.90)

@@ -47,7 +47,7 @@ def typed(df: DataFrame, table: str) -> DataFrame:
         if name not in df.columns:
             out.append(F.lit(None).cast(kind).alias(name))
         elif kind == "binary":
-            out.append(F.col(name).cast("binary").alias(name))
+            out.append(F.when(F.octet_length(name) > 0, F.col(name).cast("binary")).alias(name))
         else:
             text = F.col(name).cast("string")
             out.append((F.when(F.trim(text) != "", text).try_cast(kind) if kind != "string" else F.when(F.trim(text) != "", text)).alias(name))

@@ -26,15 +26,17 @@ def samples(spark: SparkSession, path: str, mode: str) -> DataFrame:
     return df
 
 
-def proteins(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """Protein CSV: header, quotes doubled, long fields; columns by position."""
-    df = spark.read.csv(path, header=True, schema=schemas.PROTEIN, quote='"', escape='"', maxCharsPerColumn=-1, enforceSchema=True, multiLine=False)
+def proteins(spark: SparkSession, path: str, min_partitions: int | None = None, quoted_breaks: bool = False) -> DataFrame:
+    """Protein CSV: header, quotes doubled, long fields; columns by position.
+    ``quoted_breaks``: quoted fields may hold line breaks; files are then not split."""
+    df = spark.read.csv(path, header=True, schema=schemas.PROTEIN, quote='"', escape='"', maxCharsPerColumn=-1, enforceSchema=True, multiLine=quoted_breaks)
     return df.repartition(min_partitions) if min_partitions else df
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(id, description, seq) of FASTA records; wrapped lines are joined."""
-    raw = spark.read.option("lineSep", ">").text(path).filter(F.length(F.trim("value")) > 0)
+    """(id, description, seq) of FASTA records; wrapped lines are joined. A record
+    starts at a `>` that starts a line; one within a header belongs to it."""
+    raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value")).filter(F.length(F.trim("value")) > 0)
     header = F.split_part("value", F.lit("\n"), F.lit(1))
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", "")
     ident = F.regexp_extract(header, r"^(\S*)", 1)

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``; a local one is made and set only
-    where that is unset, as in tests."""
+    """A new folder under ``spark.checkpoint.dir``. Where that is unset, a session on one
+    machine (master ``local``) gets a temporary folder; any other fails."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="kinweave-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/kinweave-{uuid.uuid4().hex}"

@@ -262,9 +262,88 @@ def test_config_rejects_unknown_modes():
         Config(hh_mode="x")
 
 
-def test_chains_of_any_length_end_at_their_root(spark):
-    from kinweave.operators import families
+def test_members_reach_their_representative(spark):
+    rng, k = random.Random(3), Kernels()
+    chain = [mutated(rng, "A" * 200, 1)]
+    for _ in range(6):  # each is near the one before, the last far from the first
+        s = list(chain[-1])
+        for i in rng.sample(range(200), 30):
+            s[i] = rng.choice("ACDEFGHIKLMNPQRSTVWY")
+        chain.append("".join(s))
+    rows = [(f"s{i}", s) for i, s in enumerate(chain)] + [("copy", chain[0]), ("short", "ACD"), ("alone", mutated(rng, "A" * 150, 1))]
+    seqs = dict(rows)
+    got = {r.member: r.representative for r in families.linear_clusters(spark.createDataFrame(rows, schemas.SEQUENCE), 0.5, 0.9).collect()}
+    assert set(got) == set(seqs) and got["short"] == "short" and got["alone"] == "alone"
+    assert len(set(got.values())) < len(got) - 1
+    for member, rep in got.items():
+        assert got[rep] == rep
+        assert member == rep or min(a >= b for a, b in zip(k.identity(seqs[rep], seqs[member]), (0.5, 0.9, 0.9), strict=True))
+    assert families.linear_clusters(spark.createDataFrame([], schemas.SEQUENCE)).count() == 0
+
+
+def test_greedy_rounds_take_direct_pairs_only(spark):
+    chain = spark.createDataFrame([(f"s{i:02}", f"s{i + 1:02}", 100 - i) for i in range(20)], "centre string, id string, n_a int")
+    got = {r.member: r.representative for part in families.assigned(chain) for r in part.collect()}
+    assert got == {f"s{i + 1:02}": f"s{i:02}" for i in range(0, 20, 2)}
+
+
+def test_occupancy_of_odd_rows(spark):
+    rows = spark.createDataFrame([("f", "A-é-"), ("f", None), ("f", ""), ("g", "--"), (None, "AA"), ("g", "A")], "family string, aligned string")
+    got = {(r.family, r.pos): r.occupancy for r in alignments.occupancy(rows).collect()}
+    assert got == {("f", 0): 1 / 3, ("f", 1): 0, ("f", 2): 1 / 3, ("f", 3): 0, ("g", 0): 0.5, ("g", 1): 0}
+    assert alignments.occupancy(rows.limit(0)).count() == 0
+
+
+def test_jaccard_leaves_out_what_sizes_rule_out(spark):
+    sets = {"a": range(10), "b": range(2, 10), "c": range(3), "d": range(5, 15)}
+    fp = spark.createDataFrame([(f, str(p)) for f, ps in sets.items() for p in ps], "family string, protein string")
+    pairs = spark.createDataFrame([(x, y) for x in "abcd" for y in "abcd" if x != y] + [("a", "none")], "a string, b string")
+    every = {(r.a, r.b): r.score for r in edges.pair_jaccard(pairs, fp).collect()}
+    some = {(r.a, r.b): r.score for r in edges.pair_jaccard(pairs, fp, at_least=0.8).collect()}
+    assert {p: s for p, s in every.items() if s >= 0.8} == {p: s for p, s in some.items() if s >= 0.8} and ("a", "c") not in some and every[("a", "b")] == 0.8
+
+
+def test_fasta_headers_may_hold_the_record_sign(spark, tmp_path):
+    (tmp_path / "a.fa").write_text(">one -> two\nAC\nDE\n>b>c\r\nFG\r\n")
+    assert [tuple(r) for r in sources.fasta(spark, str(tmp_path / "a.fa")).collect()] == [("one", "-> two", "ACDE"), ("b>c", "", "FG")]
+
+
+def test_serving_database_and_its_update(spark, tmp_path):
+    def put(name, text):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
 
-    chain = spark.createDataFrame([(f"s{i}", f"s{i - 1}") for i in range(1, 100)] + [("b", "a")], "member string, representative string")
-    got = {r.member: r.representative for r in families.roots(chain).collect()}
-    assert got == {f"s{i}": "s0" for i in range(1, 100)} | {"b": "a"}
+    put("r/s4pred/1.horiz", "# x\n\nConf: 1234\nPred: HHCC\n  AA: ACDE\n")
+    put("r/structure_scores/log.txt", "2024-01-01 10:00:00 INFO root Predicted structure for sequence number 1 1 with length 10, pLDDT 70.5, pTM 0.5 in 1.0s\n")
+    line = "1 ta 50 q1 PF1.5 100 1e-5 30.5 0.1 1 2 1e-4 1e-3 20.1 0.0 1 90 2 91 3 92 0.95 some words\n"
+    put("r/pfam/d.txt", "# c\n" + line)
+    put("r/funfam/d.txt", line)
+    put("r/folds/f.tsv", "1\tfold1\t0.5\t90\t1\t0\t1\t90\t1\t90\t1e-9\t50\n1\tfold2\t0.5\t90\t1\t0\t1\t90\t1\t90\t0.5\t50\n")
+    put("r/hhr/1.hhr", "Query x\n")
+    put("r/topology/t.3line", ">1 | TM\nACDE\nIIMM\n")
+    notes = flows.annotations(spark, str(tmp_path / "r"))
+    meta = spark.createDataFrame([("1", 3, "p", "1-4", 4, "ACDE", "ACDE", True)], "family string, size int, rep string, region string, rep_length int, sequence string, consensus string, converged boolean")
+    none = spark.createDataFrame([], "x int")
+    tables = flows.export_tables(flows.Families(none, meta, none, none, none, none, none, none, none), notes)
+    flows.init_db(tables, str(tmp_path / "db"))
+    fam = spark.read.parquet(str(tmp_path / "db/family"))
+    row = fam.first()
+    assert (row.id, row.full_size, row.plddt, row.ptm, row.helix_percent, row.inside_percent) == (1, 3, 70.5, 0.5, 50.0, 50.0)
+    folds = spark.read.parquet(str(tmp_path / "db/family_folds")).collect()
+    assert [(r.id, r.family_id, r.fold) for r in folds] == [(1, 1, "fold1")]  # the other is over the E-value
+    assert spark.read.parquet(str(tmp_path / "db/family_pfams")).first().pfam == "PF1"
+    members = spark.createDataFrame([("1", "10/3_9")], "family string, member string")
+    proteins = spark.createDataFrame([("10", '{"b": [[5, 2]], "p": [["PF1", "1e-5", "30.5", "1", "9", "1", "9"]]}')], "protein_id string, metadata string")
+    biomes = spark.createDataFrame([("5", "root:soil")], "id string, name string")
+    domains = spark.createDataFrame([("PF1", "kinase")], "id string, name string")
+    new = flows.update_db(fam, members, proteins, biomes, domains, {}).first()
+    assert new.biome_blob.decode() == "ids,labels,parents,counts\nroot,root,,1\nroot:soil,soil,root,1\n"
+    assert '"name":"kinase"' in new.domain_blob.decode() and new.rf_blob is None
+
+
+def test_batches_and_cut_sequences(spark):
+    reps = spark.createDataFrame([(f"{i:02}", "A" * (10 * i)) for i in range(1, 8)], schemas.SEQUENCE)
+    config = Config(structure_chunk=3, structure_chunk_long=2, topology_max_residues=25)
+    count = lambda df: sorted(r["count"] for r in df.groupBy("chunk").count().collect())
+    assert count(flows.structure_batches(reps, config)) == [1, 3, 3] and count(flows.structure_batches(reps, config, retry=True)) == [1, 2, 2, 2]
+    assert max(len(r.seq) for r in flows.topology_input(reps, config).collect()) == 25
