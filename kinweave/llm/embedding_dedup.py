@@ -10,9 +10,10 @@ precision. Only pairs with cosine >= ``threshold`` link.
 
 A list is probed if the query lies within ``reach`` of the plane between that
 list's centroid and its own (a neighbour at distance ``reach`` can't be in any
-other list), at most ``probes`` lists, nearest first. Codes pass if their distance
-is within ``reach`` plus ``SLACK`` times the quantiser's mean error. Recall against
-brute force is measured in the tests.
+other list), at most ``probes`` lists, nearest first. Every code keeps its own error
+(how far its vector is from it) and passes if its distance is within ``reach`` plus that
+error, which no neighbour exceeds. So ``probes=None`` finds every link; with a number,
+links to lists beyond it can be lost. Recall against brute force is measured in the tests.
 
 Lists of more than ``CHUNK`` classes are dealt out in chunks, and every query of
 such a list goes to each of its chunks, so no task holds a hot list. Pairs are
@@ -34,7 +35,9 @@ from pyspark.sql import functions as F
 
 from . import _util, graph
 
-SAMPLE, SUBSPACES, CHUNK, PROBES, SLACK, SEED = 20_000, 16, 2048, 24, 3.0, 42
+SAMPLE, SUBSPACES, CHUNK, PROBES, SEED = 20_000, 16, 2048, 24, 42
+#: single precision's share of a distance between vectors of unit length
+ROUNDING = 1e-4
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
@@ -55,16 +58,14 @@ def nearest(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
 
 
 def train(sample: np.ndarray, lists: int, subspaces: int = SUBSPACES) -> dict:
-    """Coarse centroids, codebooks of 256 entries per subspace, mean error."""
+    """Coarse centroids and codebooks of 256 entries per subspace."""
     rng = np.random.default_rng(SEED)
     x = sample.astype(np.float32)
     coarse = _kmeans(x, lists, 6, rng)
     rest = x - coarse[nearest(x, coarse)]
     bounds = np.linspace(0, x.shape[1], min(subspaces, x.shape[1]) + 1).astype(int)
     books = [_kmeans(rest[:, a:b], 256, 4, rng) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    model = {"coarse": coarse, "books": books, "bounds": bounds}
-    error = rest - decode(encode(rest, model), model)
-    return model | {"error": float(np.sqrt((error**2).sum(1)).mean())}
+    return {"coarse": coarse, "books": books, "bounds": bounds}
 
 
 def encode(rest: np.ndarray, model: dict) -> np.ndarray:
@@ -76,15 +77,15 @@ def decode(codes: np.ndarray, model: dict) -> np.ndarray:
     return np.concatenate([book[codes[:, j]] for j, book in enumerate(model["books"])], 1)
 
 
-def probed(x: np.ndarray, model: dict, reach: float, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(home list by row; row and list of every probe)."""
+def probed(x: np.ndarray, model: dict, reach: float, probes: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(home list by row; row and list of every probe, of all lists if ``probes`` is None)."""
     c = model["coarse"]
     d = (x * x).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * x @ c.T
-    order = np.argsort(d, axis=1)[:, : min(probes, len(c))]
+    order = np.argsort(d, axis=1)[:, :probes]
     home = order[:, 0]
     gap = np.take_along_axis(d, order, 1) - d[np.arange(len(x)), home][:, None]
     apart = np.linalg.norm(c[order] - c[home][:, None], axis=2)
-    row, col = np.nonzero(gap <= 2 * reach * apart + 1e-6)
+    row, col = np.nonzero(gap <= 2 * reach * apart + ROUNDING)
     return home, row, order[row, col]
 
 
@@ -97,7 +98,7 @@ def classes(rows: DataFrame, id_col: str, vec_col: str, spark_dim: int) -> DataF
     return known.select(id_col, F.transform("v", lambda x: x + F.lit(0.0)).alias("v")).groupBy("v").agg(F.min(id_col).alias("node"), F.count("*").alias("copies"))
 
 
-def link(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", probes: int = PROBES, sample: int = SAMPLE) -> DataFrame:
+def link(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", probes: int | None = PROBES, sample: int = SAMPLE) -> DataFrame:
     """One row per row: (id, n_links, component_id, kept)."""
     # a vector alone with its length has no partner
     sizes = rows.groupBy(F.size(vec_col).alias("n")).count().filter("n > 0 AND count > 1").orderBy(F.desc("count"), "n").collect()
@@ -113,7 +114,7 @@ def link(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_c
     return whole.select(id_col, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col(id_col).eqNullSafe(component).alias("kept"))
 
 
-def _links(rows: DataFrame, dim: int, threshold: float, id_col: str, vec_col: str, probes: int, sample: int) -> DataFrame | None:
+def _links(rows: DataFrame, dim: int, threshold: float, id_col: str, vec_col: str, probes: int | None, sample: int) -> DataFrame | None:
     """(v, n_links, component_id) of the usable vectors of one length, None if there are none."""
     spark = rows.sparkSession
     found = _util.saved(classes(rows, id_col, vec_col, dim))
@@ -134,17 +135,19 @@ def _links(rows: DataFrame, dim: int, threshold: float, id_col: str, vec_col: st
             for lo in range(0, len(v), 1024):
                 part = v[lo : lo + 1024].astype(np.float32)
                 home, row, to = probed(part, model, reach, probes)
-                codes = encode(part - model["coarse"][home], model)
+                rest = part - model["coarse"][home]
+                codes = encode(rest, model)
+                error = np.linalg.norm(rest - decode(codes, model), axis=1).astype(np.float32)
                 at = np.concatenate([np.arange(len(part)), row])
                 is_query = np.concatenate([np.zeros(len(part), bool), np.ones(len(row), bool)])
                 vec = pa.FixedSizeListArray.from_arrays(pa.array(v[lo : lo + 1024][at].reshape(-1)), dim).cast(pa.list_(pa.float64()))
                 code = pa.array([None if q else codes[i].tobytes() for i, q in zip(at, is_query, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([home, to]).astype(np.int32)), pa.array(is_query), node[lo : lo + 1024].take(pa.array(at)), pa.array(copies[lo : lo + 1024][at]), vec, code],
-                    names=["list", "is_query", "node", "copies", "v", "code"],
+                    [pa.array(np.concatenate([home, to]).astype(np.int32)), pa.array(is_query), node[lo : lo + 1024].take(pa.array(at)), pa.array(copies[lo : lo + 1024][at]), vec, code, pa.array(error[at])],
+                    names=["list", "is_query", "node", "copies", "v", "code", "error"],
                 )
 
-    placed = found.select("v", "node", "copies").mapInArrow(_util.lean(assign), f"list int, is_query boolean, node {kind}, copies long, v array<double>, code binary")
+    placed = found.select("v", "node", "copies").mapInArrow(_util.lean(assign), f"list int, is_query boolean, node {kind}, copies long, v array<double>, code binary, error float")
     # how many chunks each list has: at most 65,536 rows
     load = found.select("v", "node", "copies").mapInArrow(lambda bs: (_homes(b, model, dim) for b in bs), "list int").groupBy("list").count()
     chunks = {r["list"]: -(-r["count"] // CHUNK) for r in load.filter(F.col("count") > CHUNK).collect()}
@@ -155,8 +158,7 @@ def _links(rows: DataFrame, dim: int, threshold: float, id_col: str, vec_col: st
         n_chunks = F.coalesce("n_chunks", F.lit(1))
     own = F.array(F.pmod(F.xxhash64("node"), n_chunks).cast("int"))
     each = F.sequence(F.lit(0), n_chunks - 1)
-    dealt = placed.select("list", F.explode(F.when(F.col("is_query"), each).otherwise(own)).alias("chunk"), "is_query", "node", "copies", "v", "code")
-    limit = (reach + SLACK * model["error"]) ** 2 if lists > 1 or n > 256 else np.inf
+    dealt = placed.select("list", F.explode(F.when(F.col("is_query"), each).otherwise(own)).alias("chunk"), "is_query", "node", "copies", "v", "code", "error")
 
     def scan(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -168,6 +170,7 @@ def _links(rows: DataFrame, dim: int, threshold: float, id_col: str, vec_col: st
         out_n, out_c, out_u, out_v = [], [], [], []
         if len(have) and len(ask):
             codes = np.stack([np.frombuffer(c, np.uint8) for c in group["code"].take(pa.array(have)).to_pylist()])
+            limit = (reach + ROUNDING + np.asarray(group["error"])[have]) ** 2
             centre = model["coarse"][group["list"][0].as_py()]
             for lo in range(0, len(ask), 512):
                 q = ask[lo : lo + 512]

@@ -132,6 +132,18 @@ def test_recall_on_the_table(spark, sf, scale):
     assert 0.9 * want <= got <= want
 
 
+def test_all_probes_find_every_link(spark):
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(1500, 16))
+    v[500:] = v[rng.integers(0, 500, 1000)] + rng.normal(size=(1000, 16)) * 0.33
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    want = (v @ v.T >= 0.95).sum(1) - 1
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    # codebooks of 64 vectors only: codes are bad, and their own errors say so
+    got = {r.vec_id: r.n_links for r in embedding_dedup.link(df, probes=None, sample=64).collect()}
+    assert want.sum() > 500 and [got[i] for i in range(len(v))] == want.tolist()
+
+
 def test_no_usable_vector(spark):
     schema = "vec_id long, embedding array<float>"
     assert embedding_dedup.link(spark.createDataFrame([], schema)).count() == 0
