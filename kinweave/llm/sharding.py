@@ -8,9 +8,8 @@ only thing that is broadcast.
 
 Nulls: a null text counts no bytes; a null id hashes like a value of its own.
 Repeated rows and equal ids share a virtual slot and get positions of their own.
-An empty table gives an empty result and an even map. Other columns of the
-input are kept by :func:`assign` unless they clash with a column it adds, which
-then wins.
+An empty table gives an empty result and an even map. A text of any length
+is one record. Other columns of the input, clashing ones too, are dropped.
 """
 
 from __future__ import annotations
