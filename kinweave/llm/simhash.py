@@ -32,7 +32,10 @@ time the input doubles, so that chance meetings stay few, and their number grows
 1/0.85 with each bit, so that the share of similar pairs that meet stays: about 0.97
 at a Jaccard similarity of 0.8, 0.99 at 0.87. Anchors with many candidates for their
 size first give one near neighbour of each node, which joins the groups of copies;
-then every pair that is still in two groups is a candidate.
+then every pair that is still in two groups is compared again, by fingerprints of
+``SKETCH_WORDS`` words which only the nodes at such anchors get. These tell similarities
+to 0.01 or so; a pair four standard errors off goes no further, so texts that share much of
+a template but are less similar than the limit don't leave the task as pairs.
 
 Nulls and texts without words have fingerprint zero, linked like any other in
 :func:`clusters`; :func:`dedupe` keeps each of those that differ. Rows with a
@@ -52,7 +55,7 @@ from pyspark.sql import functions as F
 
 from . import _util, graph
 
-SEED, TRIPLES, BANDS, BAND_BITS, WIDE_WORDS = 42, 9, 60, 16, 4
+SEED, TRIPLES, BANDS, BAND_BITS, WIDE_WORDS, SKETCH_WORDS = 42, 9, 60, 16, 4, 32
 DIRECT, PAIRS_A_NODE = 192, 8
 
 
@@ -245,12 +248,14 @@ def _candidates(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray,
         yield node[x:y], node[x:y]
 
 
-def _across(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int):
-    """All pairs within ``bits`` of two groups (the last column), a block of rows at a time."""
-    node, group, f = columns[0], columns[-1], np.stack([c.view(np.uint64) for c in columns[1:-1]], 1)
+def _across(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int, sketch_bits: int):
+    """All pairs of two groups (the last column) within ``bits``, and within ``sketch_bits``
+    of their sketches (the last but one), a block of rows at a time."""
+    node, sketch, group, f = columns[0], columns[-2], columns[-1], np.stack([c.view(np.uint64) for c in columns[1:-2]], 1)
     for x, y in zip(starts, ends, strict=True):
         order = x + np.argsort(group[x:y], kind="stable")
         own, label = f[order], group[order]
+        wide = np.frombuffer(b"".join(sketch[order].tolist()), np.uint64).reshape(len(order), -1)
         after = np.searchsorted(label, label, "right")  # the first row of a later group
         step = max(1, (1 << 20) // len(order))
         for lo in range(0, len(order), step):
@@ -261,7 +266,10 @@ def _across(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bit
             for w in range(f.shape[1]):
                 near += np.bitwise_count(own[lo : lo + step, w][:, None] ^ own[first:, w][None])
             a, b = np.nonzero((near <= bits) & (label[lo : lo + step][:, None] < label[first:][None]))
-            yield node[order[lo + a]], node[order[first + b]]
+            for at in range(0, len(a), 1 << 14):
+                u, v = lo + a[at : at + (1 << 14)], first + b[at : at + (1 << 14)]
+                close = np.bitwise_count(wide[u] ^ wide[v]).sum(1, dtype=np.int32) <= sketch_bits
+                yield node[order[u[close]]], node[order[v[close]]]
 
 
 def _meet(keyed: DataFrame, names: list[str], bits: int, search=_forests, *limits: int) -> DataFrame:
@@ -323,15 +331,16 @@ def similar_bits(similarity: float, width: int = WIDE_WORDS, errors: float = 4.0
 
 def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width: int = WIDE_WORDS) -> DataFrame:
     """Candidate pairs (u, v) of ``node``: wide fingerprints that may be similar enough. Pairs
-    of a node with itself name those that need a second search, of ``classes`` with a
-    column ``group``, which gives all pairs of two groups."""
+    of a node with itself name those that need a second search, of ``classes`` with
+    columns ``sketch`` and ``group``, which gives all pairs of two groups."""
     size = max(BAND_BITS, math.ceil(math.log2(max(2, n_classes))) - 2)
     bands = max(BANDS, math.ceil(4.3 * (1 - 0.1515) ** -size))
     rng = np.random.default_rng(SEED)
     chosen = [np.sort(rng.choice(64 * width, size, replace=False)) for _ in range(bands)]
     words = [f"f{j}" for j in range(width)]
     again = "group" in classes.columns
-    names = [*words, "group"] if again else words
+    kinds = dict.fromkeys(words, "long") | ({"sketch": "binary", "group": "long"} if again else {})
+    names = list(kinds)
 
     def spread(batches):
         for batch in batches:
@@ -345,21 +354,18 @@ def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width:
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), *batch.columns], names=["anchor", "node", *names])
 
     own = classes.select("node", *names)
-    keyed = own.mapInArrow(_util.lean(spread), _util.extended(own.sparkSession.createDataFrame([], "anchor long"), node="long", **dict.fromkeys(names, "long")))
+    keyed = own.mapInArrow(_util.lean(spread), _util.extended(own.sparkSession.createDataFrame([], "anchor long"), node="long", **kinds))
     bits = similar_bits(similarity, width)
     if again:
-        met = _meet(keyed, names, bits, _across)
+        met = _meet(keyed, names, bits, _across, similar_bits(similarity, SKETCH_WORDS))
     else:
         met = _meet(keyed, names, bits, _candidates, similar_bits(similarity, width, 1.25))
     return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of ``similarity`` or more.
-    Sets are made again, of one document of each node in a pair; they meet as columns of
-    hashes, so no more than two are held at a time."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes.select("node", "first_id"), "node")
-    wanted = _util.saved(wanted.select(F.col("node").alias("_node"), F.col("first_id").alias("_id")))
+def shingle_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, set) of some nodes, written: the sets are made again, of one document of each."""
+    wanted = _util.saved(nodes.distinct().join(classes.select("node", "first_id"), "node").select(F.col("node").alias("_node"), F.col("first_id").alias("_id")))
 
     def run(batches):
         for batch in batches:
@@ -373,7 +379,26 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, simi
                 yield pa.RecordBatch.from_arrays([node[lo:hi].take(pa.array(same, pa.int64())), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "set"])
 
     texts = docs.select(F.col(id_col), F.col(text_col)).join(wanted, F.col(id_col) == F.col("_id")).select("_node", text_col)
-    sets = _util.saved(texts.mapInArrow(_util.lean(run), "node long, set array<long>").dropDuplicates(["node"]))
+    return _util.saved(texts.mapInArrow(_util.lean(run), "node long, set array<long>").dropDuplicates(["node"]))
+
+
+def sketched(sets: DataFrame) -> DataFrame:
+    """(node, sketch): the bytes of ``SKETCH_WORDS`` fingerprint words of each set."""
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                lists = batch.column(1)[lo : lo + 256]
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+                f = fold_bits(np.asarray(lists.flatten()).view(np.uint64), offsets, SKETCH_WORDS)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 256], pa.array([r.tobytes() for r in f], pa.binary())], names=["node", "sketch"])
+
+    return sets.select("node", "set").mapInArrow(_util.lean(run), "node long, sketch binary")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets have a Jaccard similarity of ``similarity`` or more.
+    They meet as columns of hashes, so no more than two are held at a time."""
     side = lambda end, name: sets.select(F.col("node").alias(end), F.col("set").alias(name))
     both = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v")
     both = both.select("u", "v", F.size(F.array_intersect("a", "b")).alias("n"), (F.size("a") + F.size("b")).alias("of"))
@@ -406,7 +431,9 @@ def dedupe(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "
     classes = _util.saved(prints.groupBy("node", *names).agg(F.min(id_col).alias("first_id")))
     twice = _util.saved(prints.groupBy(id_col).agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).filter("n > 1"))
     pairs = _util.saved(similar(classes, classes.count(), similarity, width))
-    edges = _util.saved(verified(pairs.filter("u <> v"), classes, docs, k, similarity, id_col, text_col))
+    two = pairs.filter("u <> v")
+    sets = shingle_sets(two.select(F.explode(F.array("u", "v")).alias("node")), classes, docs, k, id_col, text_col)
+    edges = _util.saved(verified(two, sets, similarity))
     if not twice.filter("low <> high").isEmpty():
         own = prints.join(twice.select(id_col, "low"), id_col).filter("node <> low").select(F.col("low").alias("u"), F.col("node").alias("v"))
         edges = _util.saved(edges.union(own.distinct()))
@@ -414,9 +441,10 @@ def dedupe(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "
     unsettled = pairs.filter("u = v").select(F.col("u").alias("node"))
     if not unsettled.isEmpty():
         rest = classes.join(unsettled, "node").join(found.withColumnRenamed("component", "group"), "node", "left")
-        rest = rest.select("node", *names, F.coalesce("group", "node").alias("group"))
+        sets = shingle_sets(unsettled, classes, docs, k, id_col, text_col)
+        rest = rest.join(sketched(sets), "node").select("node", *names, "sketch", F.coalesce("group", "node").alias("group"))
         more = _util.saved(similar(rest, classes.count(), similarity, width).join(pairs, ["u", "v"], "left_anti"))
-        found = _util.saved(graph.components(edges.union(verified(more, classes, docs, k, similarity, id_col, text_col))))
+        found = _util.saved(graph.components(edges.union(verified(more, sets, similarity))))
     # what goes: all but the first of a group
     labelled = classes.join(found, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("label"))
     tops = labelled.join(labelled.groupBy("label").agg(F.min("first_id").alias("_top")), "label").select("node", "_top")

@@ -126,3 +126,30 @@ def test_a_repeated_line_does_not_outvote_the_rest(spark):
     wide = [[r[f"f{j}"] for j in range(4)] for r in simhash.fingerprints(docs, 5, 4, distinct=True).collect()]
     apart = [sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True)) for a in wide for b in wide if a != b]
     assert min(apart) > simhash.similar_bits(0.8)
+
+
+def test_template_texts_below_the_limit_make_few_pairs():
+    """Sets that share two thirds, some four fifths and more, compared across groups: every
+    pair at the limit comes out, of the others next to none."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 146, dtype=np.uint64)
+    sets = []
+    for i in range(300):
+        changed = base.copy()
+        if i % 10 == 0 and i:
+            changed = sets[-1].copy()
+        at = rng.choice(146, 12 if i % 10 == 0 else 16, replace=False)
+        changed[at] = rng.integers(0, 1 << 63, len(at), dtype=np.uint64)
+        sets.append(changed)
+    offsets = np.arange(301) * 146
+    wide = simhash.fold_bits(np.concatenate(sets), offsets, simhash.SKETCH_WORDS)
+    sketch = np.array([w.tobytes() for w in wide], object)
+    node = np.arange(300)
+    columns = [node, *[wide[:, j].view(np.int64) for j in range(4)], sketch, node]
+    bits, sketch_bits = simhash.similar_bits(0.8), simhash.similar_bits(0.8, simhash.SKETCH_WORDS)
+    got = {(int(a), int(b)) for u, v in simhash._across(columns, np.array([0]), np.array([300]), bits, sketch_bits) for a, b in zip(u, v, strict=True)}
+    same = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in range(300) for b in range(a + 1, 300)}
+    similar = {p for p, n in same.items() if n / (292 - n) >= 0.8}
+    loose = sum(n / (292 - n) >= 0.55 for n in same.values())
+    assert len(similar) >= 25 and similar <= got
+    assert loose > 10_000 and len(got) < loose / 10
