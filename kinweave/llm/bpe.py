@@ -27,6 +27,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import os
 import re
 
 import numpy as np
@@ -40,7 +41,7 @@ from . import _util
 
 VOCABULARY = "byte_bpe_50k.json"
 CHUNK = 1 << 19
-BLOCK, BLOCK_WORDS = 5_000, 4 << 20  # documents of a block, words after which it ends
+BLOCK, BLOCK_WORDS = 5_000, 2 << 20  # documents of a block, words after which it ends
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -51,6 +52,8 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 @functools.cache
 def _tokenizer(path: str):
+    # a task has one core; threads of the library's own would each keep memory in the worker
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
@@ -204,6 +207,8 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 out["key"].append(block)
                 out["bucket"].append(own["bucket"][0].as_py())
                 out["payload"].append(len(a).to_bytes(8, "little") + a + _pack({"i": _small(part.flatten().to_numpy(zero_copy_only=False))}))
+            del every, table, encoded, lengths, flat, ids, lists
+            _util.trim()
         return pa.table(out, pa.schema([("key", pa.string()), ("bucket", pa.int32()), ("payload", pa.binary())]))
 
     answers = dealt.groupBy("key").applyInArrow(answer, "key string, bucket int, payload binary")
@@ -232,6 +237,8 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 out.append((ids.values, *made(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), taken.flatten()))))
         if not out:
             out = [(pa.array([], block.schema.field("ids").type.value_type), *made(pa.array([], pa.list_(pa.int32()))))]
+        else:
+            _util.trim()
         return pa.table([pa.chunked_array(list(c)) for c in zip(*out, strict=True)], names=["id", *added])
 
     made = finish or (lambda lists: [lists])
