@@ -18,10 +18,7 @@ Ties go to the language that sorts first.
 
 from __future__ import annotations
 
-import functools
 import re
-import sys
-import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -34,12 +31,22 @@ from . import _train, _util
 SAMPLE, MIN_COUNT, ORDERS, CACHE = 1200, 2, (5, 4, 3, 2, 1), 400_000
 
 
-@functools.cache
-def letters() -> re.Pattern:
+_ALPHANUMERIC = re.compile(r"[^\W\d_]+")
+
+
+def runs(text: str) -> list[str]:
     """Runs of letters. What the pattern language calls alphanumeric holds other numbers too
-    (superscripts, fractions, letter numbers), which are no letters."""
-    other = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
-    return re.compile(rf"[^\W\d_{other}]+")
+    (superscripts, fractions, letter numbers), which are no letters and end a run."""
+    found = _ALPHANUMERIC.findall(text)
+    if text.isascii():
+        return found
+    out: list[str] = []
+    for w in found:
+        if w.isalpha():
+            out.append(w)
+        else:
+            out += "".join(c if c.isalpha() else " " for c in w).split()
+    return out
 
 
 def train(pairs: list[tuple[str, str]]) -> dict:
@@ -48,7 +55,7 @@ def train(pairs: list[tuple[str, str]]) -> dict:
     place = {lang: i for i, lang in enumerate(langs)}
     words: list[Counter] = [Counter() for _ in langs]
     for text, lang in pairs:
-        words[place[lang]].update(letters().findall(text.lower()))
+        words[place[lang]].update(runs(text.lower()))
     both: Counter = Counter()
     for c in words:
         both.update(c)
@@ -112,7 +119,7 @@ class Scorer(dict):
         return i
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        found = letters().findall(text.lower()) if text and self.n else []
+        found = runs(text.lower()) if text and self.n else []
         if not found:
             return "und", 0.0
         total = np.zeros(self.n)
