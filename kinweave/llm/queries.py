@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, embedding_dedup, langid, quality, sharding, simhash, suffix_dedup, toxicity, warc
+from . import bpe, decontaminate, embedding_dedup, langid, merkle, quality, sharding, simhash, suffix_dedup, toxicity, warc
 from ._util import table
 
 
@@ -46,8 +46,12 @@ def op10_warc(spark, d):
     return warc.digest(table(spark, d, "pages"))
 
 
+def op11_merkle(spark, d):
+    return merkle.verify(table(spark, d, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_suffix_dedup, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op9_embedding_dedup, op10_warc)}
+    return {f.__name__: f for f in (op1_bpe, op2_suffix_dedup, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op9_embedding_dedup, op10_warc, op11_merkle)}
 
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -68,6 +72,7 @@ def oracle_sql():
             c AS (SELECT node, min(top) AS component_id FROM r GROUP BY node)
             SELECT vec_id, (SELECT count(*) FROM l WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
             FROM embeddings JOIN c ON node = vec_id""",
+        "op11_merkle": merkle.oracle_sql(),
         "op10_warc": f"""
             WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
                  m AS (SELECT html, min(page_id) AS first_id FROM p GROUP BY html)
