@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, embedding_dedup, langid, merkle, quality, sharding, simhash, suffix_dedup, toxicity, warc
+from . import bpe, decontaminate, embedding_dedup, langid, merkle, packing, quality, sharding, simhash, suffix_dedup, toxicity, warc
 from ._util import table
 
 
@@ -50,8 +50,12 @@ def op11_merkle(spark, d):
     return merkle.verify(table(spark, d, "documents"))
 
 
+def op12_packing(spark, d):
+    return packing.digest(table(spark, d, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_bpe, op2_suffix_dedup, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op9_embedding_dedup, op10_warc, op11_merkle)}
+    return {f.__name__: f for f in (op1_bpe, op2_suffix_dedup, op3_decontamination, op4_quality, op5_simhash, op6_toxicity, op7_sharding, op8_langid, op9_embedding_dedup, op10_warc, op11_merkle, op12_packing)}
 
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
