@@ -30,7 +30,11 @@ def architectures(members: DataFrame, lookup: DataFrame, by_model_start: bool =
 def top(archs: DataFrame, n: int = 15) -> DataFrame:
     """(family, architecture, count, rank): the most frequent architectures of each
     family; ties go by architecture text."""
-    counts = archs.groupBy("family", "architecture").agg(F.count("*").alias("count"))
+    return ranked(archs.groupBy("family", "architecture").agg(F.count("*").alias("count")), n)
+
+
+def ranked(counts: DataFrame, n: int = 15) -> DataFrame:
+    """The same of counted architectures, whatever columns they have besides."""
     w = Window.partitionBy("family").orderBy(F.desc("count"), "architecture")
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
