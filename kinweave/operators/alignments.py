@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from . import kernels
 
 
 def occupancy(rows: DataFrame, family: str = "family", aligned: str = "aligned", gap: str = "-") -> DataFrame:
@@ -64,6 +65,36 @@ def _column_sums(batch: pa.RecordBatch, gap: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([family, pa.array(pos.astype(np.int32)), pa.array(filled.astype(np.int64))], names=["_family", "pos", "filled"])
 
 
+def residue_counts(rows: DataFrame) -> DataFrame:
+    """(family, pos, residue, filled): how many rows of a family have each kind of residue (its
+    place among the amino acids, 20 for any other) in each column, 0-based; gaps don't count.
+    Batches become sums before they are shuffled."""
+    known = rows.filter("family IS NOT NULL AND aligned IS NOT NULL")
+
+    def summed(batches):
+        for batch in batches:
+            for part in _slices(batch, 1 << 20):
+                named = part.column(0).dictionary_encode()
+                code = named.indices.to_numpy(zero_copy_only=False)
+                order = np.argsort(code, kind="stable")
+                texts = part.column(1).take(pa.array(order)).to_pylist()
+                ends = np.searchsorted(code[order], np.arange(len(named.dictionary) + 1))
+                for k, family in enumerate(named.dictionary.to_pylist()):
+                    own = texts[ends[k] : ends[k + 1]]
+                    width = max(map(len, own))
+                    letters = np.frombuffer("".join(a.ljust(width, "-") for a in own).encode("ascii", "replace"), np.uint8).reshape(len(own), width)
+                    row, pos = np.nonzero(~np.isin(letters, list(kernels.GAPS)))
+                    n = np.bincount(pos * 21 + kernels.RESIDUE[letters[row, pos]])
+                    at = np.flatnonzero(n)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([family] * len(at), part.schema.field(0).type), pa.array((at // 21).astype(np.int32)), pa.array((at % 21).astype(np.int32)), pa.array(n[at])],
+                        names=["family", "pos", "residue", "filled"],
+                    )
+
+    sums = known.select("family", "aligned").mapInArrow(summed, f"family {dict(rows.dtypes)['family']}, pos int, residue int, filled long")
+    return sums.groupBy("family", "pos", "residue").agg(F.sum("filled").alias("filled"))
+
+
 def clip_range(columns: DataFrame, threshold: float = 0.5, family: str = "family", exclusive_end: bool = True) -> DataFrame:
     """(family, start, end) of the first and last column over the threshold, 0 and
     the last column if none is. With ``exclusive_end`` the end column itself is

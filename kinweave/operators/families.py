@@ -1,24 +1,18 @@
-"""Clustering, and growing clusters into families.
+"""Clustering of sequences; :mod:`growth` makes families of the clusters.
 
-**Clustering** follows the published linear-time scheme: each sequence keeps the
+It follows the published linear-time scheme: each sequence keeps the
 ``m`` k-mers of lowest hash; sequences that share one are compared with the
 longest of them only, so the work is linear; verified pairs are assigned
 greedily, longest representative first, in rounds.
-
-**Families**: one cluster is independent of another, so each grows within a task
-from its members and the sequences that share k-mers with them. Candidates
-come by an equi join on k-mers; no pair of sequences is formed otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import Config
 from ..storage import written
 from .kernels import Kernels
 
@@ -99,108 +93,3 @@ def assigned(pairs: DataFrame) -> list[DataFrame]:
         pairs = written(pairs.join(gone, "id", "left_anti").join(gone.withColumnRenamed("id", "centre"), "centre", "left_anti"))
         parts.append(part)
     return parts
-
-
-def grow(members: list[tuple[str, str]], pool: dict[str, str], config: Config, kernels: Kernels, database: int) -> dict:
-    """One family from a cluster: at most three rounds of model, search, alignment.
-
-    Returns status (``ok`` or a discard reason), value, rows, seed, rep, consensus, rf, converged."""
-    seed = kernels.align([n for n, _ in members], [s for _, s in members])
-    if not seed:
-        return {"status": "low complexity model - confounding cluster", "value": 0.0}
-    seen: set[str] = set()
-    converged = False
-    model = None
-
-    def search(model, final: bool) -> list[tuple[str, str]]:
-        out = []
-        for name in sorted(pool):
-            hit = kernels.search(model, pool[name], database)
-            if hit and hit.e_value <= config.recruit_e_value and (final or hit.env_to - hit.env_from + 1 >= config.recruit_length_fraction * model.length):
-                s = pool[name]
-                part = hit.env_to - hit.env_from + 1 < len(s)
-                out.append((f"{name}/{hit.env_from}_{hit.env_to}" if part else name, s[hit.env_from - 1 : hit.env_to]))
-        return out
-
-    def too_long_or_short(rows) -> dict | None:
-        n = sum(ch not in ".-~" for ch in rows[0][1])
-        if n < config.min_rep_length:
-            return {"status": "family representative length too small", "value": float(n)}
-        if n > config.max_rep_length:
-            return {"status": "family representative length too large", "value": float(n)}
-        return None
-
-    for _ in range(3):
-        model = kernels.profile(seed, config.gap_occupancy)
-        hits = search(model, False)
-        if not hits:
-            return {"status": "low complexity model - confounding cluster", "value": 0.0}
-        new = {n for n, _ in hits} - seen
-        seen |= new
-        if not new:
-            converged = True
-            break
-        rows = kernels.align_to(model, [n for n, _ in hits], [s for _, s in hits])
-        if bad := too_long_or_short(rows):
-            return bad
-        trimmed = kernels.trim(rows, config.max_seed_identity, config.max_seed_sequences)
-        seed = kernels.clip(trimmed, config.gap_occupancy, config.quirks.exclusive_clip_end)
-    stored = kernels.profile(seed, config.gap_occupancy, None)
-    last = model if config.quirks.final_search_fast_model else stored
-    hits = search(last, True)
-    if not hits:
-        return {"status": "low complexity model - confounding cluster", "value": 0.0}
-    original = [n for n, _ in members]
-    base = lambda names: {n.split("/")[0] for n in names}
-    share = len(base(original) & base(n for n, _ in hits)) / len(original)
-    if share < config.min_starting_membership:
-        return {"status": "few seed sequences remained", "value": share}
-    rows = kernels.align_to(last, [n for n, _ in hits], [s for _, s in hits])
-    if bad := too_long_or_short(rows):
-        return bad
-    return {"status": "ok", "value": share, "rows": rows, "seed": seed, "rep": rows[0][0], "consensus": stored.consensus, "rf": stored.rf, "converged": converged}
-
-
-RESULT = (
-    "representative string, status string, value double, converged boolean, consensus string, rf string, size int, "
-    "rows array<struct<name:string,aligned:string>>, seed array<struct<name:string,aligned:string>>"
-)
-
-
-def candidates(clusters: DataFrame, sequences: DataFrame, k: int = 6, shared: int = 2) -> DataFrame:
-    """(representative, id, seq): the sequences that share k-mers with a cluster's
-    members, its members included."""
-    own = clusters.join(kmers(sequences, k).select(F.col("id").alias("member"), "h"), "member").select("representative", "h").distinct()
-    met = own.join(kmers(sequences, k).select("id", "h"), "h").groupBy("representative", "id").agg(F.count("*").alias("c")).filter(F.col("c") >= shared)
-    every = met.select("representative", "id").union(clusters.select("representative", F.col("member").alias("id"))).distinct()
-    return every.join(sequences, "id").select("representative", "id", "seq")
-
-
-def families(clusters: DataFrame, sequences: DataFrame, config: Config = Config(), kernels: Kernels | None = None, k: int = 6, shared: int = 2) -> DataFrame:
-    """Every cluster's family or discard reason, one row each (``RESULT``)."""
-    kernels = kernels or Kernels()
-    pool = candidates(clusters, sequences, k, shared)
-    marked = pool.join(clusters.select("representative", F.col("member").alias("id"), F.lit(True).alias("own")), ["representative", "id"], "left")
-    database = sequences.agg(F.count("*").alias("database"))
-    marked = marked.crossJoin(F.broadcast(database)).withColumn("own", F.coalesce("own", F.lit(False)))  # one row
-
-    def one(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("id")
-        members = [(r.id, r.seq) for r in df[df.own].itertuples()]
-        got = grow(members, dict(zip(df.id, df.seq, strict=True)), config, kernels, int(df.database.iloc[0]))
-        pairs = lambda key: [{"name": a, "aligned": b} for a, b in got.get(key, [])]
-        return pd.DataFrame(
-            [{"representative": df.representative.iloc[0], "status": got["status"], "value": got["value"], "converged": got.get("converged", False), "consensus": got.get("consensus"), "rf": got.get("rf"), "size": len(got.get("rows", [])), "rows": pairs("rows"), "seed": pairs("seed")}]
-        )
-
-    return marked.groupBy("representative").applyInPandas(one, RESULT)
-
-
-def discarded(results: DataFrame) -> DataFrame:
-    return results.filter("status <> 'ok'").select(F.col("representative").alias("rep"), F.col("status").alias("reason"), "value")
-
-
-def alignment_rows(results: DataFrame, which: str = "rows") -> DataFrame:
-    """(family, n, name, aligned) of successful families."""
-    ok = results.filter("status = 'ok'")
-    return ok.select(F.col("representative").alias("family"), F.posexplode(which).alias("n", "r")).select("family", "n", "r.name", "r.aligned")

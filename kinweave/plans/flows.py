@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..operators import alignments, architecture, edges, export, families, intervals, redundancy, rollup, stats, tracks
+from ..operators import alignments, architecture, edges, export, families, growth, intervals, redundancy, rollup, stats, tracks, words
 from ..operators.kernels import Kernels
 from ..sources import sinks
 from ..sources import text as sources
@@ -65,36 +65,21 @@ class Families:
     ids: DataFrame
 
 
-def profile_hits(models: DataFrame, reps: DataFrame, config: Config, kernels: Kernels) -> DataFrame:
-    """Hits of family models on the representatives they share k-mers with
+def profile_hits(seeds: DataFrame, reps: DataFrame, config: Config, kernels: Kernels) -> DataFrame:
+    """Hits of the models of seed alignments (family, aligned) on representatives
     (query, target, qlen, env_from, env_to)."""
-    seeds = models.select("family", F.explode("seed").alias("r")).select("family", F.regexp_replace("r.aligned", r"[.\-~]", "").alias("seq"))
-    own = families.kmers(seeds.select(F.col("family").alias("id"), "seq"), 6).select(F.col("id").alias("family"), "h").distinct()
-    met = own.join(families.kmers(reps.select("id", "seq"), 6).select("id", "h"), "h").groupBy("family", "id").agg(F.count("*").alias("c")).filter("c >= 2")
-    joined = met.join(models.select("family", "seed"), "family").join(reps.select("id", "seq"), "id").crossJoin(F.broadcast(reps.agg(F.count("*").alias("n"))))  # one row
-
-    def run(frames):
-        import pandas as pd
-
-        built, model = None, None
-        for df in frames:
-            out = []
-            for r in df.itertuples():
-                if r.family != built:
-                    built, model = r.family, kernels.profile([(x["name"], x["aligned"]) for x in r.seed], config.gap_occupancy)
-                hit = kernels.search(model, r.seq, int(r.n))
-                if hit and hit.e_value <= config.search_e_value:
-                    out.append((r.family, r.id, model.length, hit.env_from, hit.env_to))
-            yield pd.DataFrame(out, columns=["query", "target", "qlen", "env_from", "env_to"])
-
-    # rows of a family follow one another, so its profile is built once a task
-    return joined.select("family", "id", "seed", "seq", "n").sortWithinPartitions("family").mapInPandas(run,"query string, target string, qlen int, env_from int, env_to int")
+    found = growth.written(growth.models(seeds, config.gap_occupancy, kernels))
+    reps = reps.select("id", "seq")
+    pairs = words.candidates(growth.columns_of(found), reps)
+    hits = growth.search(found, pairs, reps, reps.count(), kernels, config.search_e_value, 0.0)
+    return hits.join(found.select("family", "length"), "family").select(F.col("family").alias("query"), F.col("id").alias("target"), F.col("length").alias("qlen"), "env_from", "env_to")
 
 
 def nonredundant_families(setup: Clusters, workdir: str, config: Config = Config(), kernels: Kernels | None = None) -> Families:
     """Grow, compare, drop the redundant and renumber."""
     kernels = kernels or Kernels()
-    results = barrier(families.families(setup.clusters, setup.sequences, config, kernels), workdir, "grown")
+    got = growth.grown(setup.clusters, setup.sequences, config, kernels)
+    results = barrier(got.results, workdir, "grown")
     numbered = redundancy.running_numbers(
         setup.representatives.select("chunk", F.col("representative").alias("position")).join(
             results.select(F.col("representative").alias("position"), (F.col("status") == "ok").alias("success")), "position"
@@ -102,12 +87,13 @@ def nonredundant_families(setup: Clusters, workdir: str, config: Config = Config
     )
     names = numbered.filter("success").select(F.col("position").alias("representative"), F.concat_ws("_", "chunk", "iteration").alias("family"))
     grown = results.filter("status = 'ok'").join(names, "representative")
-    raw = grown.select("family", F.posexplode("rows").alias("n", "r")).select("family", "n", "r.name", "r.aligned")
+    named = lambda rows: rows.join(names, "representative").select("family", "n", "name", "aligned")
+    raw, seeds = named(got.rows), named(got.seeds)
     rows = barrier(alignments.renumbered(raw, setup.sequences, config.quirks.cut_renamed), workdir, "rows")
     members, meta, reps = alignments.family_tables(rows)
     size = grown.select("family", "size") if config.quirks.size_before_dedupe else rows.groupBy("family").agg(F.count("*").cast("int").alias("size"))
     meta = meta.join(size, "family").join(grown.select("family", "consensus", "converged"), "family")
-    hits = profile_hits(grown.select("family", "seed"), reps, config, kernels)
+    hits = barrier(profile_hits(seeds, reps, config, kernels), workdir, "hits")
     redundant, similar = redundancy.identify(hits, meta, members, config)
     redundant = barrier(redundant, workdir, "redundant")
     ids = barrier(redundancy.survivor_ids(meta, redundant, config.starting_id), workdir, "ids")
@@ -115,8 +101,8 @@ def nonredundant_families(setup: Clusters, workdir: str, config: Config = Config
     tolerant = redundancy.renumbered(redundancy.renumbered(similar, ids, "a", False), ids, "b", False)
     return Families(
         strict(members.withColumn("member", F.rtrim("member"))), strict(meta), redundancy.renumbered(reps, ids, "description"), strict(rows.drop("residues")),
-        strict(grown.select("family", F.posexplode("seed").alias("n", "r")).select("family", "n", "r.name", "r.aligned")),
-        strict(grown.select("family", "consensus", "rf")), families.discarded(results), tolerant, ids,
+        strict(seeds),
+        strict(grown.select("family", "consensus", "rf")), growth.discarded(results), tolerant, ids,
     )
 
 

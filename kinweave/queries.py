@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .config import Config
 from .functions import scalar
-from .operators import alignments, architecture, edges, export, families, intervals, redundancy, rollup, stats, tracks
+from .operators import alignments, architecture, edges, export, families, intervals, kernels, redundancy, rollup, stats, tracks, words
 from .sources import sinks
 from .sources import text as sources
 from .storage import shared_folder
@@ -556,3 +556,37 @@ def stockholm_scan(spark, d):
 def entry(spark: SparkSession) -> DataFrame:
     """Redundant families go, the others get dense ids."""
     return _ids(spark, "/root/testdata/sf0.001", redundant=0.92, similar=0.90)
+
+
+_LETTERS = """
+    letters AS (SELECT family, i - 1 AS pos, substr(seq, i, 1) AS residue FROM (SELECT p_brand AS family, p_name AS seq, unnest(range(1, length(p_name) + 1)) AS i FROM part))"""
+
+
+@query(f"""
+    WITH {_LETTERS}
+    SELECT family, CAST(pos AS INT) AS pos, CAST(CASE WHEN strpos('{kernels.AMINO}', upper(residue)) > 0 THEN strpos('{kernels.AMINO}', upper(residue)) - 1 ELSE 20 END AS INT) AS residue,
+           count(*) AS filled FROM letters WHERE residue NOT IN ('.', '-', '~') GROUP BY 1, 2, 3""")
+def residue_counts(spark, d):
+    return alignments.residue_counts(table(spark, d, "part").select(F.col("p_brand").alias("family"), F.col("p_name").alias("aligned")))
+
+
+@query(f"""
+    WITH {_LETTERS},
+    total AS (SELECT family, pos, count(*) AS n FROM letters GROUP BY 1, 2),
+    score AS (SELECT family, pos, residue, 20 * count(*) // any_value(n) AS s FROM letters JOIN total USING (family, pos) GROUP BY 1, 2, 3),
+    idx AS (SELECT a.family, a.pos AS col, a.residue || b.residue || c.residue AS word FROM score a
+            JOIN score b ON b.family = a.family AND b.pos = a.pos + 1 JOIN score c ON c.family = a.family AND c.pos = a.pos + 2 WHERE a.s + b.s + c.s >= 9),
+    place AS (SELECT id, i AS pos, substr(seq, i, 3) AS word, substr(seq, i + 3, 3) AS next
+              FROM (SELECT p_partkey AS id, p_name AS seq, unnest(range(1, length(p_name) - 1)) AS i FROM part)),
+    hot AS (SELECT word FROM place GROUP BY word HAVING count(*) > 300),
+    two AS (SELECT family, id FROM idx JOIN place USING (word) WHERE word NOT IN (SELECT word FROM hot) GROUP BY family, id, pos - col HAVING count(*) >= 2),
+    both_words AS (SELECT i.family, p.id FROM idx i JOIN idx j ON j.family = i.family AND j.col = i.col + 3 JOIN place p ON p.word = i.word AND p.next = j.word
+             WHERE i.word IN (SELECT word FROM hot))
+    SELECT family, id FROM two UNION SELECT family, id FROM both_words""")
+def profile_word_candidates(spark, d):
+    parts = table(spark, d, "part")
+    letters = parts.select(F.col("p_brand").alias("family"), F.posexplode(F.split("p_name", "")).alias("pos", "residue")).filter("residue <> ''")
+    total = letters.groupBy("family", "pos").agg(F.count("*").alias("n"))
+    columns = letters.groupBy("family", "pos", "residue").agg(F.count("*").alias("c")).join(total, ["family", "pos"])
+    scored = columns.select("family", "pos", "residue", F.expr("20 * c DIV n").cast("int").alias("score"))
+    return words.candidates(scored, parts.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("seq")), 3, 9, hot=300)
