@@ -23,17 +23,18 @@ documents offer the capitalised word of a sentence start as a name too. The word
 in ``OPENERS`` are never names: there the document must have the same word. A name
 that ran together with the capitalised word before it counts as its last part.
 
-**Items of placeholders only**: if a reading has no window of which half are other
-words, the item is also searched by its plain lower-cased tokens, without
-placeholders (names as single words), so exact copies are found and skeletons are
-not. Only benchmarks with such items cost this second search.
+**Copies in other letter case**: what is a name depends on capitals, so every item is also
+searched by its plain lower-cased tokens (reading 2), without placeholders: a copy
+in upper or lower case, or of an item that is all placeholders, is found, and
+skeletons are not. White space of any kind and length is one space throughout.
 
 **Two passes.** The first only hashes windows. A match needs ``ENOUGH`` windows of an
 item (or all), so one of any further number of them is among any choice that leaves out
 fewer than that: the item's rarest windows of that choice are its probes, and only
 documents that meet a probe are candidates for its item. Slots, which cost most, are
-made in the second pass, of candidates alone, and windows that are common to many items
-join nothing but the candidate pairs.
+made in the second pass, of candidates alone; their windows are joined with those of
+the candidate's items only, so a window that is common to many items brings no other
+pairs.
 
 The benchmark's windows, and the candidate pairs, are broadcast if there are no more than
 ``BROADCAST_WINDOWS`` of them, else joined by a shuffle; the rows are the same.
@@ -77,14 +78,29 @@ NAME_AFTER = r"([\p{L}\p{N},;:] )(\p{Lu}\p{L}*+(?: \p{Lu}\p{L}*+)*+)"
 TOKEN = rf"{MARK}[^{MARK}]+{MARK}|\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}++)*+|[{SIGNS}]"
 
 
+#: tokens without names
+PLAIN = rf"\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}++)*+|[{SIGNS}]"
+BLANKS = "\t\n\u000b\f\r"
+
 #: what NAME_AFTER leaves: a capitalised word that follows neither a mark nor a letter (and a space)
 CAPITAL = rf"(?=\p{{Lu}})(?<![\p{{L}}{MARK}])(?<!\p{{L}} )"
 
 
+def spaced(text: Column, signs: str = "") -> Column:
+    """Text whose runs of white space (and of ``signs``) are single spaces."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return F.regexp_replace(F.translate(text, BLANKS + signs, " " * len(BLANKS + signs)), " {2,}", " ")
+
+
+def plain(text: Column) -> Column:
+    """Lower-cased tokens, names as single words."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(PLAIN), F.lit(0))
+
+
 def tokens(text: Column, starts: bool = False) -> Column:
     """Lower-cased tokens; names stand between marks. ``starts``: other capitalised
     words begin with ``START``."""
-    text = F.translate(F.coalesce(text.cast("string"), F.lit("")), MARK + START if starts else MARK, "  ")
+    text = spaced(text, MARK + START if starts else MARK)
     marked = F.regexp_replace(text, NAME_AFTER, f"$1{MARK}$2{MARK}")
     if not starts:
         return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
@@ -104,11 +120,6 @@ def canonical(raw: Column) -> Column:
     return F.transform(raw, one)
 
 
-def plain(raw: Column) -> Column:
-    """The words, numbers and signs of tokens, names taken apart."""
-    return F.flatten(F.transform(raw, lambda t: F.split(F.translate(t, MARK + START, ""), " ")))
-
-
 def _is_slot(t: Column) -> Column:
     return F.startswith(t, F.lit("<"))
 
@@ -183,12 +194,13 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_WINDOWS else df
 
 
-def _hits(own: DataFrame, bench: DataFrame, n_bench: int, short: list[int], starts: bool) -> DataFrame:
+def _hits(own: DataFrame, pairs: DataFrame, n_pairs: int, bench: DataFrame, n_bench: int, short: list[int], starts: bool) -> DataFrame:
+    """Windows of candidates with the equal ones of the items that each is a candidate of."""
     found = _windows(own, WINDOW, starts=starts)
     for n in short:
         found = found.unionByName(_windows(own, n, starts=starts))
-    # one long as the key makes the cheapest hash table; sizes are compared after it
-    return found.join(_bounded(bench.withColumnRenamed("size", "item_size"), n_bench), "h").filter(F.col("size") - F.col("item_size") == 0)
+    found = found.join(_bounded(pairs, n_pairs), "id")
+    return found.join(_bounded(bench.withColumnRenamed("size", "item_size"), n_bench), ["item", "h"]).filter(F.col("size") - F.col("item_size") == 0)
 
 
 def _probes(windows: DataFrame, total: DataFrame) -> DataFrame:
@@ -201,8 +213,8 @@ def _probes(windows: DataFrame, total: DataFrame) -> DataFrame:
     return chosen.select("item", F.explode("hs").alias("h")).distinct()
 
 
-def _candidates(own: DataFrame, probes: DataFrame, n_bench: int, short: list[int], starts: bool) -> DataFrame:
-    """(id, item) of documents that have a probe of an item."""
+def _candidates(own: DataFrame, probes: DataFrame, n_bench: int, short: list[int], short_plain: list[int], starts: bool) -> DataFrame:
+    """(id, item) of documents (id, raw, template, words) that have a probe of an item."""
 
     if starts:
         at = F.transform("raw", lambda t, i: F.when(F.ascii(t) == ord(START), i))
@@ -215,19 +227,24 @@ def _candidates(own: DataFrame, probes: DataFrame, n_bench: int, short: list[int
     for size in (WINDOW, *short):
         own = with_window_hashes(own, size)
         hashes += [F.col(f"h{size}"), named(size)] if starts else [F.col(f"h{size}")]
+    own = own.select("id", F.concat(*hashes).alias("found"), F.col("words").alias("template"))
+    own = own.withColumn("h1", F.transform("template", lambda t: F.xxhash64(t)))
+    for size in (WINDOW, *short_plain):
+        own = with_window_hashes(own, size)
     # an expression, not a column: a filter on the column's size would be pushed down and make all twice
-    found = own.select("id", F.explode(F.concat(*hashes, F.array().cast("array<bigint>"))).alias("h"))
-    return found.join(_bounded(probes, n_bench), "h").select("id", "item").distinct()
+    every = F.concat("found", *[F.col(f"h{size}") for size in (WINDOW, *short_plain)], F.array().cast("array<bigint>"))
+    return own.select("id", F.explode(every).alias("h")).join(_bounded(probes, n_bench), "h").select("id", "item").distinct()
 
 
-def _copies(own: DataFrame, items: DataFrame) -> DataFrame:
-    """(id, item, reading 2, counts) of items in documents of the same tokens."""
-    bench, short = _item_windows(items)
+def _item_copies(benchmark: DataFrame) -> tuple[DataFrame, list[int], DataFrame]:
+    """Windows (item, size, item_pos, h) of plain items, their short sizes, and totals."""
+    bench, short = _item_windows(benchmark)
     bench = _util.saved(bench.select(F.col("id").alias("item"), "size", F.col("pos").alias("item_pos"), "h").distinct())
-    n_bench = bench.count()
-    total = bench.groupBy("item").agg(F.countDistinct("size", "item_pos").alias("item_windows"))
-    hit = _hits(own, bench, n_bench, short, False)
-    # a copy is in one piece: windows of one diagonal
+    return bench, short, _util.saved(bench.groupBy("item").agg(F.countDistinct("size", "item_pos").alias("item_windows")))
+
+
+def _copies(hit: DataFrame, total: DataFrame) -> DataFrame:
+    """(id, item, reading 2, counts) of items whose tokens a document has in one piece: on one diagonal."""
     line = hit.groupBy("id", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(F.countDistinct("size", "item_pos").alias("n"))
     counted = line.groupBy("id", "item").agg(F.max("n").alias("n_windows")).join(total, "item").filter(F.col("n_windows") >= F.least("item_windows", F.lit(ENOUGH)))
     return counted.select("id", "item", F.lit(2).alias("reading"), "n_windows", "item_windows", F.lit(False).alias("re_parameterised"))
@@ -238,7 +255,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     item_windows, re_parameterised)."""
     raw = benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).cast("string").alias("_t")).filter("id IS NOT NULL")
     # reading 0 as the item stands, reading 1 as it is read after a colon, where that differs
-    raw = raw.select("id", tokens(F.col("_t")).alias("raw"), tokens(F.concat(F.lit(": "), F.ltrim("_t"))).alias("raw1"))
+    bare = raw.select("id", plain(F.col("_t")).alias("template"))
+    raw = raw.select("id", tokens(F.col("_t")).alias("raw"), tokens(F.concat(F.lit(": "), F.ltrim(spaced(F.col("_t"))))).alias("raw1"))
     both = raw.select("id", F.size("raw").alias("n0"), F.explode(F.array(
         F.struct(F.lit(0).alias("reading"), F.col("raw").alias("raw")), F.when(F.col("raw") != F.col("raw1"), F.struct(F.lit(1).alias("reading"), F.col("raw1").alias("raw"))),
     )).alias("r")).filter("r IS NOT NULL").select(F.struct("id", "r.reading", (F.col("n0") - F.size("r.raw")).alias("shift")).alias("id"), "r.raw")
@@ -250,19 +268,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     probes = _util.saved(_probes(bench, total))
     # both readings share all windows but those with the first word
     bench = _util.saved(bench.groupBy("item", "size", "item_pos", "h", "item_slots", "lead").agg(F.sort_array(F.collect_set("reading")).alias("readings")))
-    n_bench = bench.count()
+    copies, short_plain, copy_total = _item_copies(_util.saved(bare.withColumn("raw", F.col("template"))))
+    own_probe = _probes(copies.withColumn("reading", F.lit(2)), copy_total.withColumn("reading", F.lit(2)))
+    probes = _util.saved(probes.unionByName(own_probe).distinct())
+    n_bench = max(bench.count(), copies.count(), probes.count())
 
     leads = F.regexp_extract(F.get("item_slots", F.lit(0)), rf"{MARK}(\p{{L}}+)", 1)
     starts = not bench.filter(F.col("lead") & ~leads.isin(OPENERS)).isEmpty()
-    own = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col), starts).alias("raw")).filter("id IS NOT NULL")
-    own = own.select("id", "raw", canonical(F.col("raw")).alias("template"))
-    pairs = _util.saved(_candidates(own, probes, n_bench, short, starts))
+    tokenised = lambda rows: rows.select(F.col(id_col).alias("id"), tokens(F.col(text_col), starts).alias("raw"), plain(F.col(text_col)).alias("words"))
+    templates = lambda rows: rows.select("id", "raw", canonical(F.col("raw")).alias("template"), "words")
+    own = templates(tokenised(docs.filter(F.col(id_col).isNotNull())))
+    pairs = _util.saved(_candidates(own, probes, n_bench, short, short_plain, starts))
     n_pairs = pairs.count()
     some = docs.join(_bounded(pairs.select(F.col("id").alias("_candidate")).distinct(), n_pairs), F.col(id_col) == F.col("_candidate"), "left_semi")
-    some = some.select(F.col(id_col).alias("id"), tokens(F.col(text_col), starts).alias("raw"))
-    some = some.select("id", "raw", canonical(F.col("raw")).alias("template"))
-    hit = _hits(some, bench, n_bench, short, starts).filter(~F.col("named") | F.col("lead"))
-    hit = hit.join(_bounded(pairs, n_pairs), ["id", "item"], "left_semi")
+    some = templates(tokenised(some))
+    hit = _hits(some, pairs, n_pairs, bench, n_bench, short, starts).filter(~F.col("named") | F.col("lead"))
     # the part of a name that is the item's, if it ran together with a word before it
     ends = lambda a, b: (a == b) | F.endswith(a, F.concat(F.lit(" "), F.substring(b, len("<name>") + 2, 1 << 30)))
     first, item_first = F.get("slots", F.lit(0)), F.get("item_slots", F.lit(0))
@@ -287,12 +307,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     enough = counted.join(_bounded(total, n_bench), of_item).filter(F.col("n_windows") >= F.least("item_windows", F.lit(ENOUGH)))
     row = ["n_windows", "item_windows", "re_parameterised"]
     enough = enough.select("id", "item", "reading", *row)
-    bare = items.select("id", "raw").join(total.select(F.struct("item", "reading").alias("_has")), (F.col("id.id") == F.col("_has.item")) & (F.col("id.reading") == F.col("_has.reading")), "left_anti")
-    bare = bare.select(F.col("id.id").alias("id"), plain(F.col("raw")).alias("template")).filter(F.size("template") > 0).distinct()
-    bare = _util.saved(bare.withColumn("raw", F.col("template")))
-    if not bare.isEmpty():
-        words = own.select("id", plain(F.col("raw")).alias("template")).withColumn("raw", F.col("template"))
-        enough = enough.unionByName(_copies(words, bare))
+    words = some.select("id", F.col("words").alias("template"), F.col("words").alias("raw"))
+    enough = enough.unionByName(_copies(_hits(words, pairs, n_pairs, copies, n_bench, short_plain, False), copy_total))
     enough = enough.groupBy("id", "item").agg(F.min(F.struct("reading", *row)).alias("r")).select("id", "item", "r.*")
     return enough.select(F.col("id").alias(id_col), F.col("item").alias(item_col if item_col != id_col else "item"), *row)
 
@@ -308,34 +324,46 @@ def oracle_sql() -> str:
     quoted = lambda words: ", ".join(f"'{w}'" for w in words)
     greedy = lambda pattern: pattern.replace("*+", "*").replace("++", "+").replace(MARK, "\\x01")  # noqa: E731  DuckDB's matcher has no possessive form and needs none
 
-    def windows(name: str, source: str, ident: str) -> str:
+    spaced_ = "regexp_replace(replace(coalesce(text, ''), chr(1), ' '), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')"
+
+    def windows(name: str, source: str, ident: str, whole: str) -> str:
         return f"""
         {name}_raw AS (
-            SELECT {ident} AS id, regexp_extract_all(lower(regexp_replace(replace(coalesce(text, ''), chr(1), ' '), '{greedy(NAME_AFTER)}', '\\1' || chr(1) || '\\2' || chr(1), 'g')),
-                   '{greedy(TOKEN)}') AS raw FROM {source}),
+            SELECT {ident} AS id, regexp_extract_all(lower(regexp_replace({spaced_}, '{greedy(NAME_AFTER)}', '\\1' || chr(1) || '\\2' || chr(1), 'g')),
+                   '{greedy(TOKEN)}') AS raw, regexp_extract_all(lower({spaced_}), '{greedy(PLAIN)}') AS plain FROM {source} WHERE {ident} IS NOT NULL),
         {name}_tok AS (
-            SELECT id, raw, list_transform(raw, lambda t: CASE
+            SELECT id, plain, raw, list_transform(raw, lambda t: CASE
                 WHEN t[1] = chr(1) THEN '<name>' WHEN t[1] BETWEEN '0' AND '9' THEN '<num>'
                 WHEN t IN ({quoted([*UNITS, *SIGNS])}) THEN '<unit>'
                 WHEN t IN ({quoted(NUMBERS)}) THEN '<num>' ELSE t END) AS tpl FROM {name}_raw),
-        {name}_pos AS (SELECT id, raw, tpl, unnest(range(len(tpl) - {WINDOW - 1})) AS pos FROM {name}_tok WHERE len(tpl) >= {WINDOW}),
+        {name}_pos AS (SELECT id, raw, tpl, n, unnest(range(len(tpl) - n + 1)) AS pos FROM {name}_tok JOIN sizes ON len(tpl) >= n {whole.format("tpl")}),
         {name}_win AS (
-            SELECT id, pos, array_to_string(tpl[pos + 1 : pos + {WINDOW}], ' ') AS w,
-                   list_transform(list_filter(range(pos + 1, pos + {WINDOW + 1}), lambda i: tpl[i][1] = '<'), lambda i: tpl[i] || raw[i]) AS slots
-            FROM {name}_pos)"""
+            SELECT id, n, pos, array_to_string(tpl[pos + 1 : pos + n], ' ') AS w,
+                   list_transform(list_filter(range(pos + 1, pos + n + 1), lambda i: tpl[i][1] = '<'), lambda i: tpl[i] || raw[i]) AS slots
+            FROM {name}_pos),
+        {name}_at AS (SELECT id, plain, n, unnest(range(len(plain) - n + 1)) AS pos FROM {name}_tok JOIN sizes ON len(plain) >= n {whole.format("plain")}),
+        {name}_copy AS (SELECT DISTINCT id, n, pos, array_to_string(plain[pos + 1 : pos + n], ' ') AS w FROM {name}_at)"""
 
     return f"""
-    WITH {windows("d", "documents", "doc_id")}, {windows("b", "benchmark", "item_id")},
-    total AS (SELECT id AS item, count(DISTINCT pos) AS item_windows FROM b_win WHERE 2 * len(slots) <= {WINDOW} GROUP BY id),
+    WITH sizes AS (SELECT unnest(range(1, {WINDOW + 1})) AS n),
+    {windows("b", "benchmark", "item_id", f"AND (n = {WINDOW} OR len({{}}) = n)")},
+    {windows("d", "documents", "doc_id", f"AND (n = {WINDOW} OR n IN (SELECT len(raw) FROM b_tok) OR n IN (SELECT len(plain) FROM b_tok))")},
+    total AS (SELECT id AS item, count(DISTINCT (n, pos)) AS item_windows FROM b_win WHERE 2 * len(slots) <= n GROUP BY id),
     hit AS (
-        SELECT d.id, b.id AS item, d.pos - b.pos AS diagonal, b.pos AS item_pos, d.slots, b.slots AS item_slots
-        FROM d_win d JOIN b_win b ON d.w = b.w WHERE 2 * len(b.slots) <= {WINDOW}),
+        SELECT d.id, b.id AS item, d.pos - b.pos AS diagonal, (b.n, b.pos) AS item_pos, d.slots, b.slots AS item_slots
+        FROM d_win d JOIN b_win b ON d.w = b.w AND d.n = b.n WHERE 2 * len(b.slots) <= b.n),
     pair AS (SELECT id, item, diagonal, unnest(item_slots) AS value, unnest(slots) AS other FROM hit WHERE len(item_slots) > 0),
     value_ AS (SELECT id, item, diagonal, value, min(other) AS a, max(other) AS b FROM pair GROUP BY ALL),
     slot AS (SELECT id, item, diagonal, bool_or(a <> b) AS bad, bool_or(a <> value) AS changed FROM value_ GROUP BY ALL),
     counted AS (
         SELECT hit.id, hit.item, count(DISTINCT item_pos) AS n_windows, bool_or(coalesce(changed, false)) AS re_parameterised
         FROM hit LEFT JOIN slot ON hit.id = slot.id AND hit.item = slot.item AND hit.diagonal = slot.diagonal
-        WHERE NOT coalesce(bad, false) GROUP BY hit.id, hit.item)
-    SELECT counted.id AS doc_id, counted.item AS item_id, n_windows, item_windows, re_parameterised
-    FROM counted JOIN total ON counted.item = total.item WHERE n_windows >= least(item_windows, {ENOUGH})"""
+        WHERE NOT coalesce(bad, false) GROUP BY hit.id, hit.item),
+    copy_total AS (SELECT id AS item, count(DISTINCT (n, pos)) AS item_windows FROM b_copy GROUP BY id),
+    line AS (SELECT d.id, b.id AS item, count(DISTINCT (b.n, b.pos)) AS n FROM d_copy d JOIN b_copy b ON d.w = b.w AND d.n = b.n GROUP BY d.id, b.id, d.pos - b.pos),
+    copy AS (SELECT id, item, max(n) AS n_windows FROM line GROUP BY id, item),
+    every AS (
+        SELECT id, item, 0 AS reading, n_windows, item_windows, re_parameterised FROM counted JOIN total USING (item) WHERE n_windows >= least(item_windows, {ENOUGH})
+        UNION ALL SELECT id, item, 2, n_windows, item_windows, false FROM copy JOIN copy_total USING (item) WHERE n_windows >= least(item_windows, {ENOUGH}))
+    SELECT id AS doc_id, item AS item_id, arg_min(n_windows, reading) AS n_windows, arg_min(item_windows, reading) AS item_windows, arg_min(re_parameterised, reading) AS re_parameterised
+    FROM every GROUP BY id, item"""

@@ -1,6 +1,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from kinweave.llm import decontaminate
@@ -112,10 +113,24 @@ def test_runs_of_thousands_of_names_and_numbers(spark):
 
 
 def test_every_item_after_six_contexts(spark, sf):
-    """A verbatim copy of any item is a hit wherever it stands."""
+    """A copy of any item is a hit wherever it stands, whatever its white space and letter case."""
     items = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").collect()]
     before = ["", "Q: ", "Question: ", "We read here that ", "It rained. ", "1) "]
+    forms = [lambda t: t, lambda t: t.replace(" ", "\n"), lambda t: t.replace(" ", " \t "), str.upper, str.lower]
+    before = [(b, f) for b in before for f in forms]
     n = len(items)
-    docs = spark.createDataFrame([(k * n + i, f"{b}{t} And then some.") for k, b in enumerate(before) for i, t in enumerate(items)], "doc_id long, text string")
+    docs = spark.createDataFrame([(k * n + i, f"{b}{f(t)} And then some.") for k, (b, f) in enumerate(before) for i, t in enumerate(items)], "doc_id long, text string")
     rows = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).select("doc_id", "item_id").collect()}
-    assert all((k * n + i, i) in rows for k in range(len(before)) for i in range(n))
+    assert [(before[k][0], k % len(forms), i) for k in range(len(before)) for i in range(n) if (k * n + i, i) not in rows] == []
+
+
+def test_sql_has_short_items_and_copies(spark):
+    items = ["see JOHN SMITH, PARIS, FRANCE, LYON", "What is the capital of France?", "3 5 8 13 21 34 55 89 144 233", ITEM]
+    texts = [f(t) for t in items for f in (str, str.upper, lambda t: t.replace(" ", "  \n"), lambda t: f"so {t} then", lambda t: t[:12])]
+    docs, bench = pd.DataFrame({"doc_id": range(len(texts)), "text": texts}), pd.DataFrame({"item_id": range(len(items)), "text": items})
+    c = duckdb.connect()
+    c.register("documents", docs)
+    c.register("benchmark", bench)
+    want = c.execute(decontaminate.oracle_sql()).df()
+    got = decontaminate.matches(spark.createDataFrame(docs), spark.createDataFrame(bench)).toPandas()
+    assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want[got.columns].values.tolist())) and len(got) == 16
