@@ -40,6 +40,41 @@ def test_map_edits():
     assert sharding.rebalance(first, [0] * 512, 8) == first
 
 
+def test_one_record_that_outweighs_a_shard(spark):
+    docs = spark.createDataFrame([(i, "x" * (200_000 if i == 7 else 9 + i % 100)) for i in range(2000)], "doc_id long, text string")
+    total = defaultdict(int)
+    for r in sharding.assign(docs).collect():
+        total[r.shard] += r.size
+    rest = sorted(total.values())[:-1]
+    assert len(rest) == 15 and rest[-1] - rest[0] <= 20
+
+
+def test_one_id_of_a_third_of_all_rows(spark):
+    rows = [(None if i % 3 else i, f"text {i}") for i in range(6000)]
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    n = defaultdict(int)
+    for r in got:
+        n[r.virtual_slot] += 1
+    assert max(n.values()) < 20 and len({(r.shard, r.slot) for r in got}) == 6000
+
+
+def test_maps_are_edited_by_version(spark, tmp_path):
+    path = f"file://{tmp_path}/maps"
+    docs = lambda n: spark.createDataFrame([(i, "x" * (i * 37 % 91)) for i in range(n)], "doc_id long, text string")
+    of = lambda df: {r.doc_id: (r.virtual_slot, r.shard) for r in df.collect()}
+    first = of(sharding.assign(docs(3000), 8, 512, path=path))
+    assert sharding.latest(spark, path)[0] == 1
+    second = of(sharding.assign(docs(3600), 8, 512, path=path))
+    assert all(first[i][0] == second[i][0] for i in first)  # no record is hashed anew
+    moved = sum(first[i][1] != second[i][1] for i in first)
+    assert 0 < moved < 600 and sharding.latest(spark, path)[0] == 2
+    grown = of(sharding.assign(docs(3600), 9, 512, path=path))
+    assert {s for _, s in grown.values()} == set(range(9))
+    assert sharding.load_map(spark, path).groupBy("version").count().count() == 4
+    with pytest.raises(ValueError):
+        sharding.assign(docs(10), 4, 512, path=path)
+
+
 def test_shards_of_odd_rows(spark):
     docs, rows = odd_docs(spark)
     got = sharding.assign(docs, 3).collect()
