@@ -553,6 +553,48 @@ def stockholm_scan(spark, d):
     return sources.stockholm(spark, _text(spark, _letters(spark, d).select(lines))).select("name", "aligned")
 
 
+@query("""
+    SELECT CAST(r AS VARCHAR) AS alignment, name, a AS aligned FROM (
+        SELECT p_size AS r, 'p' || p_partkey AS name, rpad(translate(p_name, ' ', '-'), 24, '.') AS a FROM part
+        UNION ALL SELECT DISTINCT p_size, '#=GC RF', rpad('', 24, 'x') FROM part)""")
+def stockholm_round_trip(spark, d):
+    path = shared_folder(spark)
+    rows = table(spark, d, "part").select(F.col("p_size").alias("family"), F.col("p_partkey").alias("n"), F.concat(F.lit("p"), "p_partkey").alias("name"), F.rpad(F.translate("p_name", " ", "-"), 24, ".").alias("aligned"))
+    rf = rows.select("family").distinct().select("family", F.lit(0).alias("n"), F.lit("#=GC RF").alias("name"), F.rpad(F.lit(""), 24, "x").alias("aligned"))
+    sinks.by_family(sinks.stockholm_lines(rows.unionByName(rf), 10), path)
+    return sources.stockholm(spark, path).select("alignment", "name", "aligned")
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS family, 'HMMER3/f' || chr(10) || 'NAME  ' || p_name || chr(10) || 'LENG  ' || p_size || chr(10) || '//' AS model FROM part""")
+def model_rename(spark, d):
+    model = F.concat(F.lit("HMMER3/f\nNAME  "), "p_brand", F.lit("_1\nLENG  "), "p_size", F.lit("\n//"))
+    rows = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("family"), "p_name", model.alias("model"))
+    return rows.select("family", redundancy.model_renamed("model", "p_name").alias("model"))
+
+
+_IMPORT = """
+    r AS (SELECT CASE WHEN l_linenumber = 7 THEN 'id' WHEN l_linenumber = 6 THEN '' ELSE CAST(l_orderkey AS VARCHAR) END AS id,
+                 CAST(l_partkey AS VARCHAR) AS full_size, CASE WHEN l_linenumber = 2 THEN '' ELSE l_returnflag END AS protein_rep,
+                 lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || lpad(CAST(l_partkey AS VARCHAR), 12, '0') || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') || l_quantity || '_' || l_extendedprice AS line FROM lineitem),
+    j AS (SELECT *, CASE WHEN id = '' THEN 'no key' WHEN id = 'id' THEN 'not a key' WHEN row_number() OVER (PARTITION BY id ORDER BY line) > 1 THEN 'repeated key'
+                         WHEN TRY_CAST(id AS BIGINT) IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') THEN 'known key' END AS reason FROM r)"""
+
+
+@query(f"""WITH {_IMPORT}
+    SELECT CAST(id AS VARCHAR) AS id, CAST(full_size AS VARCHAR) AS full_size, CASE WHEN reason IS NULL THEN nullif(protein_rep, '') ELSE protein_rep END AS protein_rep,
+           reason FROM j""")
+def keyed_import(spark, d):
+    li = table(spark, d, "lineitem").filter("l_linenumber IS NOT NULL")
+    ident = F.when(F.col("l_linenumber") == 7, "id").when(F.col("l_linenumber") == 6, "").otherwise(F.col("l_orderkey").cast("string"))
+    pad = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
+    line = F.concat(pad("l_linenumber", 2), pad("l_partkey", 12), pad("l_suppkey", 12), "l_quantity", F.lit("_"), "l_extendedprice")
+    rows = li.select(ident.alias("id"), F.col("l_partkey").cast("string").alias("full_size"), F.when(F.col("l_linenumber") == 2, "").otherwise(F.col("l_returnflag")).alias("protein_rep"), line.alias("line"))
+    stored = table(spark, d, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))
+    good, bad = sinks.keyed(rows, "family", "line", stored)
+    good = good.select(F.col("id").cast("string").alias("id"), F.col("full_size").cast("string").alias("full_size"), "protein_rep", F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(bad.drop("line"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Redundant families go, the others get dense ids."""
     return _ids(spark, "/root/testdata/sf0.001", redundant=0.92, similar=0.90)

@@ -12,6 +12,40 @@ def fasta(df: DataFrame, path: str, id_col: str = "id", seq_col: str = "seq") ->
     df.select(F.concat(F.lit(">"), id_col, F.lit("\n"), seq_col)).write.text(path)
 
 
+def by_family(lines: DataFrame, path: str) -> None:
+    """Write text lines (family, n, value) to a folder for each family, in the order of n. The sort is
+    one over all rows, so a large family is cut into several files, whose names sort in order."""
+    ordered = lines.repartitionByRange("family", "n").sortWithinPartitions("family", "n")
+    ordered.select("family", "value").write.mode("overwrite").partitionBy("family").text(path)
+
+
+def stockholm_lines(rows: DataFrame, width: int | None = None) -> DataFrame:
+    """(family, n, value): alignment rows (family, n, name, aligned) as the lines of a Stockholm
+    alignment, `#=GC RF` after the others, in blocks of ``width`` columns if given.
+
+    ``n`` is (block, row), so no alignment is gathered for its layout."""
+    blocks = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("aligned") / width) - 1, F.lit(0)).cast("int")) if width else F.array(F.lit(0))
+    each = rows.select("family", "n", "name", "aligned", F.explode(blocks).alias("block"))
+    part = F.substr("aligned", F.col("block") * width + 1, F.lit(width)) if width else F.col("aligned")
+    last = F.when(F.col("name") == "#=GC RF", 1).otherwise(0)
+    line = F.concat(F.rpad("name", F.greatest(F.length("name"), F.lit(29)), " "), F.lit(" "), part)
+    place = lambda block, kind, n: F.struct(block.cast("int").alias("block"), kind.cast("int").alias("kind"), n.cast("long").alias("n")).alias("n")
+    body = each.select("family", place(F.col("block"), last, F.col("n")), line.alias("value"))
+    families = rows.select("family").distinct()
+    lowest, highest = F.lit(-(1 << 31)), F.lit((1 << 31) - 1)
+    head = families.select("family", place(lowest, F.lit(0), F.lit(0)), F.concat(F.lit("# STOCKHOLM 1.0\n#=GF ID "), F.col("family").cast("string"), F.lit("\n")).alias("value"))
+    return body.unionByName(head).unionByName(families.select("family", place(highest, F.lit(0), F.lit(0)), F.lit("//").alias("value")))
+
+
+def model_text(models: DataFrame) -> DataFrame:
+    """(family, value): models (family, length, scores, consensus, rf) as text, a line for each column.
+    Scores are written in full, so :func:`text.models` reads back what was written."""
+    line = lambda i: F.concat(F.lit(" "), i.cast("string"), F.lit(" "), F.array_join(F.transform(F.slice("scores", (i - 1) * 21 + 1, F.lit(21)), lambda x: x.cast("string")), " "))
+    columns = F.when(F.col("length") > 0, F.transform(F.sequence(F.lit(1), F.greatest("length", F.lit(1))), line)).otherwise(F.array().cast("array<string>"))
+    head = [F.concat(F.lit(f"{key} "), F.col(c).cast("string")) for key, c in (("NAME ", "family"), ("LENG ", "length"), ("CONS ", "consensus"), ("RF   ", "rf"))]
+    return models.select("family", F.array_join(F.concat(F.array(*head, F.lit("ALPH  amino")), columns, F.array(F.lit("//"))), "\n").alias("value"))
+
+
 def report_lines(df: DataFrame, ident: str, section: str, description: str, plot: str = "table", order: list[str] | None = None) -> DataFrame:
     """Text lines (n, value) of a report: a `#` header block, column names, rows."""
     spark = df.sparkSession
@@ -63,6 +97,41 @@ def child_rows(df: DataFrame, table: str, family_col: str = "id") -> DataFrame:
     return typed(edges.numbered(named, order, "id"), table)
 
 
+def keyed(df: DataFrame, table: str, order: str, stored: DataFrame | None = None, blank_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows that may enter a serving table under its integer key, and those that may not with a ``reason``.
+
+    ``not a key``: the key is no integer (a header row among the data); ``no key``: it is null or
+    blank; ``repeated key``: an earlier row, by ``order``, has it; ``known key``: ``stored`` has
+    it. So an import that runs again adds nothing. ``blank_text``: empty fields of text columns
+    stay empty instead of null. The first row of a key is found by a partial aggregation."""
+    key = F.trim(F.col("id").cast("string"))
+    marked = df.withColumn("_key", key.try_cast("bigint")).withColumn(
+        "reason", F.when(F.coalesce(key, F.lit("")) == "", "no key").when(key.try_cast("bigint").isNull(), "not a key")
+    )
+    first = marked.filter("reason IS NULL").groupBy("_key").agg(F.min(order).alias("_first"))
+    judged = marked.join(first, "_key", "left").withColumn("reason", F.coalesce("reason", F.when(F.col(order) > F.col("_first"), "repeated key")))
+    if stored is not None:
+        known = stored.select(F.col("id").alias("_key"), F.lit("known key").alias("_known")).distinct()
+        judged = judged.join(known, "_key", "left").withColumn("reason", F.coalesce("reason", "_known"))
+    good = typed(judged.filter("reason IS NULL"), table)
+    if blank_text:
+        texts = [f.split(" ")[0] for f in schemas.SERVING[table].split(", ") if f.endswith(" string")]
+        kept = judged.filter("reason IS NULL").select("_key", *[F.col(c).alias(f"_{c}") for c in texts if c in df.columns])
+        good = good.join(kept, good["id"] == kept["_key"]).select(*[F.col(f"_{c}").alias(c) if f"_{c}" in kept.columns else F.col(c) for c in good.columns])
+    return good, judged.filter("reason IS NOT NULL").select(*[f"`{c}`" for c in df.columns], "reason")
+
+
+def import_keyed(df: DataFrame, table: str, path: str, order: str, blank_text: bool = False) -> DataFrame:
+    """Append to the table under ``path`` what its key allows; the other rows go to ``<table>_rejected``,
+    which holds those of the last import, and are returned."""
+    spark, where = df.sparkSession, f"{path}/{table}"
+    spark.createDataFrame([], schemas.SERVING[table]).write.mode("ignore").parquet(where)
+    good, bad = keyed(df, table, order, spark.read.schema(schemas.SERVING[table]).parquet(where), blank_text)
+    bad.write.mode("overwrite").parquet(f"{where}_rejected")
+    good.write.mode("append").parquet(where)
+    return spark.read.schema(bad.schema).parquet(f"{where}_rejected")
+
+
 def import_serving(tables: dict[str, DataFrame], path: str) -> None:
     """Write serving tables as Parquet under ``path``."""
     for name, df in tables.items():

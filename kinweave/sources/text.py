@@ -91,10 +91,27 @@ def similarities(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def hhr_hits(spark: SparkSession, path: str) -> DataFrame:
+def records(spark: SparkSession, path: str, separator: str) -> DataFrame:
+    """(file, value): records of text files between ``separator``, which is cut off; blank ones are left out. Files are
+    split at separators, so a file of many records is read by many tasks and only a
+    record must fit in memory."""
+    each = spark.read.option("lineSep", separator).text(path).select(scalar.file_stem(F.col("_metadata.file_path")).alias("file"), "value")
+    return each.filter(F.col("value").rlike(r"\S"))
+
+
+def _reports(spark: SparkSession, path: str, combined: bool) -> DataFrame:
+    """(id, value) of profile-profile reports: one in each file, named by the file, or (``combined``)
+    many in a file, named by their query."""
+    if not combined:
+        return spark.read.text(path, wholetext=True).select(scalar.file_stem(F.col("_metadata.file_path")).alias("id"), "value")
+    each = records(spark, path, "\nQuery ")
+    return each.select(F.regexp_extract("value", r"^(?:Query )?\s*(\S+)", 1).alias("id"), "value")
+
+
+def hhr_hits(spark: SparkSession, path: str, combined: bool = False) -> DataFrame:
     """Summary block of profile-profile reports: fixed-width rows after the ` No Hit`
     line, up to an empty line."""
-    whole = spark.read.text(path, wholetext=True).select(scalar.file_stem(F.col("_metadata.file_path")).alias("id"), "value")
+    whole = _reports(spark, path, combined)
     block = F.regexp_extract("value", r"(?s)(?:^|\n) No Hit[^\n]*\n(.*)", 1)
     block = F.regexp_extract(block, r"(?s)^(.*?)(?:\n[ \t]*(?:\n|$)|$)", 1)
     rows = whole.select("id", F.posexplode(F.split(block, "\n")).alias("n", "l")).filter(F.length(F.trim("l")) > 0)
@@ -106,9 +123,9 @@ def hhr_hits(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def hhr_descriptions(spark: SparkSession, path: str) -> DataFrame:
+def hhr_descriptions(spark: SparkSession, path: str, combined: bool = False) -> DataFrame:
     """(id, pfam, name, description): the `>` lines of the reports, `;` between fields."""
-    whole = spark.read.text(path, wholetext=True).select(scalar.file_stem(F.col("_metadata.file_path")).alias("id"), "value")
+    whole = _reports(spark, path, combined)
     lines = whole.select("id", F.posexplode(F.split("value", "\n")).alias("n", "l")).filter(F.startswith("l", F.lit(">")))
     part = lambda i: F.trim(F.coalesce(F.try_element_at(F.split(F.substring("l", 2, 1 << 30), ";"), F.lit(i)), F.lit("")))
     return lines.select("id", "n", part(1).alias("accession"), part(2).alias("name"), part(3).alias("description"))
@@ -133,16 +150,16 @@ def secondary_structure(spark: SparkSession, path: str) -> DataFrame:
 
 
 def three_line(spark: SparkSession, path: str) -> DataFrame:
-    """(id, seq, labels): records of three lines; other line counts fail. A record
-    whose labels are not as long as its sequence is skipped."""
-    whole = spark.read.text(path, wholetext=True)
+    """(id, seq, labels): records of three lines, the first one after `>`; other line counts fail.
+    A record whose labels are not as long as its sequence is skipped. Files are split at records."""
+    each = records(spark, path, "\n>")
     lines = F.filter(F.transform(F.split("value", "\n"), lambda x: _strip(x)), lambda x: F.length(x) > 0)
-    checked = whole.select(lines.alias("l")).select(
+    checked = each.select(lines.alias("l")).select(
         F.when(F.size("l") % 3 == 0, F.col("l")).otherwise(F.raise_error(F.lit("not three lines per record")).cast("array<string>")).alias("l")
     )
     at = F.sequence(F.lit(0), F.size("l") - 1, F.lit(3))
-    records = F.transform(at, lambda i: F.struct(F.get("l", i).alias("h"), F.get("l", i + 1).alias("seq"), F.get("l", i + 2).alias("labels")))
-    rows = checked.filter(F.size("l") > 0).select(F.explode(records).alias("r"))
+    triples = F.transform(at, lambda i: F.struct(F.get("l", i).alias("h"), F.get("l", i + 1).alias("seq"), F.get("l", i + 2).alias("labels")))
+    rows = checked.filter(F.size("l") > 0).select(F.explode(triples).alias("r"))
     name = F.regexp_replace(F.regexp_extract("r.h", r"^(\S*)", 1), "^>+", "")
     return rows.select(name.alias("id"), "r.seq", "r.labels").filter(F.length("seq") == F.length("labels"))
 
@@ -173,18 +190,32 @@ def retry_set(sequences: DataFrame, failed: DataFrame) -> DataFrame:
 
 def stockholm(spark: SparkSession, path: str) -> DataFrame:
     """(alignment, n, name, aligned): rows of alignments in order; `#=GC RF` is a
-    row named `#=GC RF`. Blocks of a wrapped alignment are joined."""
-    whole = spark.read.text(path, wholetext=True).select(scalar.file_stem(F.col("_metadata.file_path")).alias("alignment"), "value")
-    lines = whole.select("alignment", F.posexplode(F.split("value", "\n")).alias("line", "l"))
+    row named `#=GC RF`. Blocks of a wrapped alignment are joined. A file may hold many
+    alignments, each ended by `//`, and is split there; an alignment is named by its
+    `#=GF ID`, or by its file."""
+    each = records(spark, path, "\n//")
+    ident = F.regexp_extract("value", r"(?m)^#=GF\s+ID\s+(\S+)", 1)
+    each = each.select(F.when(ident != "", ident).otherwise(F.col("file")).alias("alignment"), F.monotonically_increasing_id().alias("record"), "value")
+    lines = each.select("alignment", "record", F.posexplode(F.split("value", "\n")).alias("line", "l"))
     is_rf = F.startswith("l", F.lit("#=GC RF"))
     rows = lines.filter(is_rf | (~F.startswith("l", F.lit("#")) & (F.trim("l") != "") & (F.trim("l") != "//")))
     name = F.when(is_rf, "#=GC RF").otherwise(F.regexp_extract("l", r"^(\S+)", 1))
     text = F.regexp_extract("l", r"(\S+)\s*$", 1)
     w = F.array_sort(F.collect_list(F.struct("line", "text")))
-    joined = rows.select("alignment", "line", name.alias("name"), text.alias("text")).groupBy("alignment", "name").agg(F.min("line").alias("n"), w.alias("parts"))
+    joined = rows.select("alignment", "record", "line", name.alias("name"), text.alias("text")).groupBy("alignment", "record", "name").agg(F.min("line").alias("n"), w.alias("parts"))
     return joined.select("alignment", "n", "name", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("aligned"))
 
 
+def models(spark: SparkSession, path: str) -> DataFrame:
+    """(family, length, scores, consensus, rf): profile texts as :func:`sinks.model_text` writes them,
+    any number in a file, which is split at their ends."""
+    each = records(spark, path, "\n//")
+    head = lambda key: F.regexp_extract("value", rf"(?m)^{key} *(\S*)", 1)
+    columns = F.regexp_extract_all("value", F.lit(r"(?m)^ +\d+ (.*)$"), F.lit(1))
+    scores = F.flatten(F.transform(columns, lambda line: F.transform(F.split(line, " +"), lambda x: x.cast("double"))))
+    return each.select(head("NAME").alias("family"), head("LENG").cast("int").alias("length"), scores.alias("scores"), head("CONS").alias("consensus"), head("RF").alias("rf"))
+
+
 def aligned_fasta(rows: DataFrame, a3m: bool = False) -> DataFrame:
     """Alignment rows as FASTA text (column value). a3m: columns without a residue
     in the reference line are insertions: lower case, gaps dropped."""
