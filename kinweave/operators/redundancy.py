@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scalar
+from ..storage import written
 from . import edges
 
 
@@ -65,14 +66,15 @@ def identify(domtbl: DataFrame, metadata: DataFrame, edge_list: DataFrame, confi
 
 def similarity_rows(similar: DataFrame) -> DataFrame:
     """(row, family1, family2, score): similar pairs numbered from 1, by their names."""
-    named = similar.select(F.col("a").alias("family1"), F.col("b").alias("family2"), "score")
+    # written first: a range sort samples its input, which would make the scores twice
+    named = written(similar.select(F.col("a").alias("family1"), F.col("b").alias("family2"), "score"))
     return edges.numbered(named, ["family1", "family2", "score"], "row").select("row", "family1", "family2", "score")
 
 
 def survivor_ids(names: DataFrame, redundant: DataFrame, starting_id: int = 1) -> DataFrame:
     """(family, id): dense ids of the survivors in the byte order of their file names."""
     kept = names.select("family").distinct().join(redundant.select("family"), "family", "left_anti")
-    ordered = edges.numbered(kept.withColumn("_name", F.concat("family", F.lit(".hmm"))), ["_name"], "_n")
+    ordered = edges.numbered(written(kept.withColumn("_name", F.concat("family", F.lit(".hmm")))), ["_name"], "_n")
     return ordered.select("family", (F.col("_n") - 1 + starting_id).cast("long").alias("id"))
 
 
