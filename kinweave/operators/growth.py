@@ -172,7 +172,8 @@ def star(members: DataFrame) -> DataFrame:
                 out.append((f, 0.0, name, compact(same, seq, len(a))))
             yield _compacts(out)
 
-    return _spread(members.join(centre, "family").mapInPandas(run, _COMPACT))
+    # dealt by row: a small file is one task, whose every row is an alignment
+    return _spread(members.join(centre, "family").repartition("family", "id").mapInPandas(run, _COMPACT))
 
 
 def first_rows(rows: DataFrame) -> DataFrame:
