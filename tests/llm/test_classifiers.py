@@ -113,13 +113,57 @@ def test_toxicity_equals_plain_sums(spark, sf):
         h = ((h ^ h >> 27) * 0x94D049BB133111EB) & mask
         return (h ^ h >> 31) % toxicity.DIM
 
-    for r in docs.orderBy("doc_id").limit(60).collect():
+    for r in docs.collect():
         t = pa.compute.utf8_lower(pa.scalar(r.text or "")).as_py()
         grams = {t[i : i + n] for n in toxicity.ORDERS for i in range(len(t) - n + 1)}
         z = sum(weight.get(b, 0.0) for b in {bucket(g) for g in grams}) + model["bias"]
         assert got[r.doc_id] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
 
 
+def test_grades_equal_plain_sums(spark, sf):
+    """Grades of a whole table against sums over words and their shapes, word by word."""
+    docs, ratings = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.fit(docs, ratings)
+    got = {r.doc_id: r for r in quality.select_by_quality(docs, ratings).collect()}
+    mask = (1 << 64) - 1
+
+    def mix(h):
+        h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & mask
+        h = ((h ^ h >> 27) * 0x94D049BB133111EB) & mask
+        return h ^ h >> 31
+
+    def hashed(symbols, seed):
+        base = mix(seed) | 1 if seed else 0x9E3779B97F4A7C15 | 1
+        total, power = 0, 1
+        for c in symbols:
+            symbol = mix(c + 1)
+            total += (mix((symbol + seed) & mask) if seed else symbol) * power
+            power = power * base & mask
+        return mix((total + len(symbols)) & mask)
+
+    def kind(c):
+        return 0x30 if 0x30 <= c <= 0x39 else 0x61 if 0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A or c >= 0x80 else c
+
+    known = {}
+
+    def weight(word):
+        if word not in known:
+            kinds = [kind(c) for c in word]
+            shape = [c for i, c in enumerate(kinds) if not i or c != kinds[i - 1]]
+            buckets = (hashed(word.lower(), 0), hashed(shape, 1) ^ 0x5851F42D4C957F2D)
+            known[word] = sum(float(model["weight"][mix(b) & quality.DIM - 1]) for b in buckets)
+        return known[word]
+
+    low, high = model["grades"]
+    for r in docs.collect():
+        words = (r.text or "").encode().split()
+        s = quality.SCALE * sum(map(weight, words)) / max(1, len(words))
+        tail = 1 / (1 + np.exp(model["theta"][0] - s))
+        assert got[r.doc_id].tail_probability == pytest.approx(tail, abs=1e-6)
+        assert got[r.doc_id].expected_grade == pytest.approx(low + tail * (high - low), abs=1e-6)
+        assert got[r.doc_id].selected == (got[r.doc_id].tail_probability >= 0.5)
+
+
 def test_backoff_to_shorter_ngrams():
     model = langid.train([("haus maus laus", "de")] * 3 + [("house mouse louse", "en")] * 3)
     s = langid.Scorer(model)
