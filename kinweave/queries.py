@@ -280,9 +280,9 @@ def biome_left_join_counts(spark, d):
     return rollup.named(rollup.biome_counts(pairs), names, strict=False).select("family", "path", "n")
 
 
-def _lookup(spark, d):
+def _lookup(spark, d, domain="p_brand"):
     li = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    hit = F.array("p_brand", F.lit("1e-5"), F.lit("30.5"), F.col("l_linenumber").cast("string"), F.lit("9"))
+    hit = F.array(domain, F.lit("1e-5"), F.lit("30.5"), F.col("l_linenumber").cast("string"), F.lit("9"))
     domains = li.groupBy("l_orderkey").agg(F.to_json(F.collect_list(hit)).alias("domains"))
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("family"))
     return orders.join(domains, "l_orderkey", "left").select("family", F.col("l_orderkey").cast("string").alias("protein_id"), "domains")
@@ -296,8 +296,8 @@ _ARCH = """
     t AS (SELECT *, row_number() OVER (PARTITION BY family ORDER BY "count" DESC, architecture) AS "rank" FROM c)"""
 
 
-def _architectures(spark, d):
-    look = _lookup(spark, d)
+def _architectures(spark, d, domain="p_brand"):
+    look = _lookup(spark, d, domain)
     members = look.select("family", F.concat("protein_id", F.lit("/3_9")).alias("member"))
     return architecture.architectures(members, look)
 
@@ -307,6 +307,24 @@ def architecture_top15(spark, d):
     return architecture.top(_architectures(spark, d), 15)
 
 
+@query(f"""{_ARCH.replace("p_brand AS name", "'PF' || substr(p_brand, 7) AS name")},
+    e AS (SELECT family, "rank", "count", unnest(string_split(architecture, chr(9))) AS id, unnest(range(len(string_split(architecture, chr(9))))) AS pos FROM t WHERE "rank" <= 15),
+    n AS (SELECT *, CASE WHEN id LIKE 'PF%' THEN 'Brand#' || substr(id, 3) ELSE 'Family' || id END AS name,
+                 CASE WHEN id LIKE 'PF%' THEN '{architecture.DOMAIN_LINK}' || id ELSE '/details/FAM' || CASE WHEN length(id) >= 10 THEN id ELSE lpad(id, 10, '0') END END AS link FROM e),
+    h2 AS (SELECT *, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(CASE WHEN id LIKE 'PF%' THEN name ELSE id END, ''), lambda c: CAST(unicode(c) AS BIGINT))),
+                  lambda a, c: (a * 31 + c) % 16777216) AS h FROM n),
+    v AS (SELECT *, h & 255 AS r, (h >> 8) & 255 AS g, (h >> 16) & 255 AS b FROM h2),
+    l AS (SELECT *, list_transform([r, g, b], lambda x: CASE WHEN x / 255.0 <= 0.03928 THEN x / 255.0 / 12.92 ELSE pow((x / 255.0 + 0.055) / 1.055, 2.4) END) AS c FROM v),
+    f AS (SELECT *, {{'id': id, 'color': format('#{{:02x}}{{:02x}}{{:02x}}', r, g, b), 'link': link, 'name': name,
+                 'font_color': CASE WHEN c[1] * 0.2126 + c[2] * 0.7152 + c[3] * 0.0722 > 0.2 THEN 'black' ELSE 'white' END}} AS domain FROM l),
+    a2 AS (SELECT family, "rank", {{'architecture_text': CAST("count" AS VARCHAR), 'domains': list(domain ORDER BY pos)}} AS box FROM f GROUP BY family, "rank", "count")
+    SELECT family, CAST(to_json({{'architecture_containers': list(box ORDER BY "rank")}}) AS VARCHAR) AS json FROM a2 GROUP BY family""")
+def domain_documents(spark, d):
+    code = F.concat(F.lit("PF"), F.substring("p_brand", 7, 9))
+    names = table(spark, d, "part").select(code.alias("id"), F.col("p_brand").alias("name")).distinct()
+    return architecture.documents(architecture.top(_architectures(spark, d, code)), names)
+
+
 _COLOR = """
     h AS (SELECT p_partkey, p_brand, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(p_brand, ''), lambda c: CAST(unicode(c) AS BIGINT))),
           lambda a, c: (a * 31 + c) % 16777216) AS h FROM part),
@@ -600,6 +618,41 @@ def entry(spark: SparkSession) -> DataFrame:
     return _ids(spark, "/root/testdata/sf0.001", redundant=0.92, similar=0.90)
 
 
+def _tracks_sql(pairs, every: bool) -> str:
+    """Feature tracks of label runs as JSON text; ``every``: tracks without a run too."""
+    rows = ", ".join(f"({k}, '{label}', '{name}', '{css}', '{color}')" for k, (label, name, css, color) in enumerate(pairs))
+    return f"""
+    ch AS (SELECT id, i, substr(pred, i, 1) AS c FROM (SELECT id, pred, unnest(range(1, length(pred) + 1)) AS i FROM l)),
+    run AS (SELECT id, c, min(i) AS x, max(i) AS y FROM (SELECT *, i - row_number() OVER (PARTITION BY id, c ORDER BY i) AS g FROM ch) GROUP BY id, c, g),
+    tr(k, label, name, css, color) AS (VALUES {rows}),
+    rect AS (SELECT id, c, list({{'x': x, 'y': y}} ORDER BY x) AS data FROM run GROUP BY id, c),
+    t AS (SELECT l.id, k, {{'data': coalesce(data, []), 'name': name, 'className': css, 'color': color, 'type': 'rect'}} AS track
+          FROM l CROSS JOIN tr LEFT JOIN rect ON rect.id = l.id AND rect.c = label {"" if every else "WHERE data IS NOT NULL"})"""
+
+
+_EVENT_LABELS = """
+    WITH s AS (SELECT user_id AS id, string_agg(upper(event_type[1]), '' ORDER BY ts, event_id) AS labels FROM events GROUP BY 1),"""
+
+
+@query(f"""{_EVENT_LABELS}
+    l AS (SELECT id, labels, translate(labels, 'VSECP', 'IMOSP') AS pred FROM s), {_tracks_sql(tracks.TOPOLOGY, False)}
+    SELECT id, CAST(to_json({{'sequence': any_value(labels), 'features': list(track ORDER BY k)}}) AS VARCHAR) AS json FROM t JOIN l USING (id) GROUP BY id""")
+def topology_tracks(spark, d):
+    rows = _labels(spark, d).select("id", F.col("labels").alias("seq"), F.translate("labels", "VSECP", "IMOSP").alias("labels"))
+    return tracks.topology_features(rows)
+
+
+@query(f"""{_EVENT_LABELS}
+    l AS (SELECT id, labels, translate(labels, 'VSECP', 'HECHE') AS pred, translate(labels, 'VSECP', '98765') AS conf FROM s), {_tracks_sql(tracks.STRUCTURE, True)},
+    line AS (SELECT id, {{'data': list_transform(range(1, length(conf) + 1), lambda i: {{'x': i, 'y': CAST(substr(conf, i, 1) AS INT)}}), 'name': 'Confidence Score',
+                    'className': 'conf-score', 'color': '#0F8292', 'type': 'line'}} AS track FROM l),
+    every AS (SELECT id, k, CAST(to_json(track) AS VARCHAR) AS j FROM t UNION ALL SELECT id, 99, CAST(to_json(track) AS VARCHAR) FROM line)
+    SELECT id, '{{"sequence":"' || any_value(labels) || '","features":[' || string_agg(j, ',' ORDER BY k) || ']}}' AS json FROM every JOIN l USING (id) GROUP BY id""")
+def structure_tracks(spark, d):
+    rows = _labels(spark, d).select("id", F.translate("labels", "VSECP", "98765").alias("conf"), F.translate("labels", "VSECP", "HECHE").alias("pred"), F.col("labels").alias("aa"))
+    return tracks.structure_features(rows)
+
+
 _LETTERS = """
     letters AS (SELECT family, i - 1 AS pos, substr(seq, i, 1) AS residue FROM (SELECT p_brand AS family, p_name AS seq, unnest(range(1, length(p_name) + 1)) AS i FROM part))"""
 
