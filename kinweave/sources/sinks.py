@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..storage import written
 
 
 def fasta(df: DataFrame, path: str, id_col: str = "id", seq_col: str = "seq") -> None:
@@ -19,6 +20,21 @@ def by_family(lines: DataFrame, path: str) -> None:
     ordered.select("family", "value").write.mode("overwrite").partitionBy("family").text(path)
 
 
+def concatenated(spark: SparkSession, files: str, path: str, header: bool = False) -> None:
+    """Write text files one after another, in the order of their paths: the files under ``path``, in
+    the order of their names, hold the same lines as the plain concatenation. ``header``: files begin with
+    the same line, which is kept once. Files are read in splits and written by a range sort,
+    so neither a file nor the whole passes through one task."""
+    lines = spark.read.text(files).select(F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line")).alias("at"), "value")
+    lines = written(lines)
+    if header:
+        first = lines.groupBy("at.file").agg(F.min("at").alias("at"))
+        top = F.broadcast(first.agg(F.min("at").alias("_top")))  # one row
+        others = first.crossJoin(top).filter("at <> _top").select("at")
+        lines = lines.join(others, "at", "left_anti")
+    lines.orderBy("at").select("value").write.mode("overwrite").text(path)
+
+
 def stockholm_lines(rows: DataFrame, width: int | None = None) -> DataFrame:
     """(family, n, value): alignment rows (family, n, name, aligned) as the lines of a Stockholm
     alignment, `#=GC RF` after the others, in blocks of ``width`` columns if given.

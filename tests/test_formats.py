@@ -15,7 +15,7 @@ from kinweave.sources import text as sources
 @pytest.fixture
 def cut(spark):
     """Files are cut into many tasks."""
-    names = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1"}
+    names = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {k: spark.conf.get(k) for k in names}
     for k, v in names.items():
         spark.conf.set(k, v)
@@ -95,3 +95,16 @@ def test_keyed_import_runs_again_without_effect(spark, tmp_path):
     assert sorted((r.id, r.protein_rep) for r in good.collect()) == [(3, ""), (4, "d"), (5, None)] and good.columns == spark.read.parquet(f"{tmp_path}/family").columns
     good, bad = sinks.keyed(df.limit(0), "family", "line")
     assert good.count() == bad.count() == 0
+
+
+@pytest.mark.parametrize("header", [False, True])
+def test_concatenation_in_order(spark, tmp_path, cut, header):
+    rng = random.Random(4)
+    os.makedirs(tmp_path / "in")
+    texts = [f"id,seq\n{''.join(f'{k}_{i},{seq(rng, 50)}' + chr(10) for i in range(rng.choice([0, 3, 200])))}" for k in range(12)]
+    for k in rng.sample(range(12), 12):
+        (tmp_path / "in" / f"{k:02}.csv").write_text(texts[k])
+    sinks.concatenated(spark, f"{tmp_path}/in", f"{tmp_path}/out", header)
+    got = "".join((tmp_path / "out" / f).read_text() for f in sorted(os.listdir(tmp_path / "out")) if f.startswith("part"))
+    assert got == texts[0] + "".join(t.split("\n", 1)[1] if header else t for t in texts[1:])
+    assert sum(f.startswith("part") for f in os.listdir(tmp_path / "out")) > 1
