@@ -24,7 +24,6 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import _train, _util
 
