@@ -54,7 +54,3 @@ def reported(hits: DataFrame, probability: float = 80.0, e_value: float = 0.001,
 
 def truncated(sequences: DataFrame, residues: int = 1022) -> DataFrame:
     return sequences.withColumn("seq", F.substring("seq", 1, residues))
-
-
-def report_columns(stats: DataFrame, columns: list[str]) -> DataFrame:
-    return stats.select(*columns)

@@ -97,7 +97,3 @@ def running_numbers(clusters: DataFrame) -> DataFrame:
 def model_renamed(model: str, name: str):
     """Model text with its NAME line rewritten."""
     return F.regexp_replace(F.col(model), r"(?m)^NAME .*$", F.concat(F.lit("NAME  "), F.col(name)))
-
-
-def metadata_key(family: str = "family"):
-    return scalar.base_name(F.col(family))

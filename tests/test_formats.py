@@ -6,10 +6,11 @@ import random
 import pytest
 
 from kinweave import schemas
-from kinweave.operators import growth
+from kinweave.operators import edges, growth, stats
 from kinweave.operators.kernels import AMINO, Kernels
 from kinweave.sources import sinks
 from kinweave.sources import text as sources
+from kinweave.streaming import incremental
 
 
 @pytest.fixture
@@ -108,3 +109,37 @@ def test_concatenation_in_order(spark, tmp_path, cut, header):
     got = "".join((tmp_path / "out" / f).read_text() for f in sorted(os.listdir(tmp_path / "out")) if f.startswith("part"))
     assert got == texts[0] + "".join(t.split("\n", 1)[1] if header else t for t in texts[1:])
     assert sum(f.startswith("part") for f in os.listdir(tmp_path / "out")) > 1
+
+
+def test_scans_of_family_tables(spark, tmp_path):
+    put = lambda name, text: [os.makedirs((tmp_path / name).parent, exist_ok=True), (tmp_path / name).write_text(text), f"{tmp_path}/{name}"][-1]
+    assert [tuple(r) for r in sources.family_members(spark, put("m.tsv", "1\tp1/2-9\n1\tp2\n")).collect()] == [("1", "p1/2-9"), ("1", "p2")]
+    assert [tuple(r) for r in sources.refined_families(spark, put("r/chunk3.tsv", "1\tp1/2-9   \n2\tp2\n")).collect()] == [("chunk3", 1, "p1/2-9"), ("chunk3", 2, "p2")]
+    meta = sources.family_metadata(spark, put("f/c1.csv", '1,2,"p1",2-9,8,ACDEFGHI,acd,True\n2,1,"p2"\n')).collect()
+    assert [(r.family, r.size, r.rep, r.region, r.rep_length, r.converged) for r in meta] == [("c1_1", 2, "p1", "2-9", 8, True)]
+    assert [tuple(r) for r in sources.discarded(spark, put("d.csv", "p1,few seed sequences remained,0.5\n")).collect()] == [("p1", "few seed sequences remained", 0.5)]
+    assert sources.secrets(put("s.ini", "[db]\nuser = me\n"), "db") == {"user": "me"}
+    seqs = spark.createDataFrame([("a", "AC"), ("b", "ACD"), ("c", "AC")], schemas.SEQUENCE)
+    assert sorted(tuple(r) for r in stats.sequence_lengths(seqs).collect()) == [(2, 2), (3, 1)]
+    members = spark.createDataFrame([("r", "a"), ("r", "none")], schemas.CLUSTER)
+    assert [tuple(r) for r in edges.with_sequences(members, seqs).collect()] == [("a", "r", "AC")]
+
+
+def test_databases(spark):
+    url = "jdbc:derby:memory:kinweave;create=true"
+    sinks.write_jdbc(spark.createDataFrame([(i, f"p{i}") for i in range(40)], "id int, name string"), url, "proteins", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    got = sources.jdbc_table(spark, url, 'SELECT "id", "name" FROM proteins WHERE "id" >= 10', "id", 0, 40, 4, driver="org.apache.derby.jdbc.EmbeddedDriver")
+    assert got.rdd.getNumPartitions() == 4 and sorted(r[0] for r in got.collect()) == list(range(10, 40))
+
+
+def test_late_events_are_left_out(spark, tmp_path):
+    rows = [[("2026-01-01 00:10:00", "a", 1.0), ("2026-01-01 00:50:00", "a", 2.0)], [("2026-01-01 09:10:00", "b", 4.0)], [("2026-01-01 09:20:00", "b", 4.0)], [("2026-01-01 00:20:00", "a", 8.0), ("2026-01-01 12:30:00", "a", 1.0)]]
+    os.makedirs(tmp_path / "in")
+    for i, part in enumerate(rows):
+        (tmp_path / "in" / f"{i}.csv").write_text("".join(f"{t},{k},{v}\n" for t, k, v in part))
+        os.utime(tmp_path / "in" / f"{i}.csv", (1e9 + i, 1e9 + i))
+    events = spark.readStream.schema("ts timestamp, event_type string, value double").option("maxFilesPerTrigger", 1).csv(f"{tmp_path}/in")
+    counts = incremental.event_counts(events).select("window.start", "event_type", "n", "total")
+    counts.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
+    got = sorted((r.start.hour, r.event_type, r.n, r.total) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [(0, "a", 2, 3.0), (9, "b", 2, 8.0)]
