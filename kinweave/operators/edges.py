@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar
 from ..storage import written
 
-ROW_BOUND = 20_000
+HOT = 1_000
 
 
 def representatives(clusters: DataFrame, minimum_members: int = 25) -> DataFrame:
@@ -70,33 +70,79 @@ def base_proteins(edges: DataFrame) -> DataFrame:
     return edges.select("family", scalar.base_name(F.col("member")).alias("protein")).distinct()
 
 
-def pair_jaccard(pairs: DataFrame, family_protein: DataFrame, row_bound: int = ROW_BOUND, at_least: float = 0.0) -> DataFrame:
+def shared_counts(members: DataFrame, hot: int = HOT, pairs: DataFrame | None = None) -> DataFrame:
+    """(i, j, shared), i < j: how many proteins two families have in common, where any.
+    ``members``: distinct (id, protein); with a column ``block``, families of one block only are compared.
+
+    Families meet at their proteins. One that more than ``hot`` families have would
+    give the square of that number; with ``pairs`` (i, j) given, such a protein is looked up
+    for these pairs alone instead, so no protein gives more than ``hot`` rows a member."""
+    keys = [c for c in members.columns if c != "id"]
+    side = lambda df, name: df.withColumnRenamed("id", name)
+    if pairs is None:
+        return side(members, "i").join(side(members, "j"), keys).filter("i < j").groupBy("i", "j").agg(F.count("*").alias("shared"))
+    common = written(members.groupBy(*keys).count().filter(F.col("count") > hot).select(*keys))
+    if common.isEmpty():
+        return shared_counts(members)
+    rare, many = members.join(common, keys, "left_anti"), members.join(common, keys, "left_semi")
+    looked = pairs.distinct().join(side(many, "i"), "i").join(side(many, "j"), ["j", *keys]).groupBy("i", "j").agg(F.count("*").alias("shared"))
+    return shared_counts(rare).unionByName(looked).groupBy("i", "j").agg(F.sum("shared").alias("shared"))
+
+
+def _numbered_sets(family_protein: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(family, n, id) and (id, protein, block if any), written: rows that meet carry numbers, not names."""
+    sizes = written(family_protein.groupBy("family").agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()))
+    return sizes, written(family_protein.join(sizes.select("family", "id"), "family").drop("family"))
+
+
+def _jaccard(n_a, n_b, shared):
+    return F.coalesce(F.try_divide(shared, F.coalesce(n_a, F.lit(0)) + F.coalesce(n_b, F.lit(0)) - shared), F.lit(0.0))
+
+
+def near_sets(family_protein: DataFrame, at_least: float, hot: int = HOT) -> DataFrame:
+    """(a, b, score), in both directions: all families whose sets have a Jaccard score of ``at_least``
+    (over 0), written. No pair without a common protein is made. A column ``block`` as in :func:`shared_counts`.
+
+    Proteins of more than ``hot`` families bring together only families of which they are a share of
+    ``at_least`` or more: any other pair this similar has a rarer protein in common too."""
+    sizes, members = _numbered_sets(family_protein)
+    side = lambda i, k: sizes.select(F.col("id").alias(i), F.col("family").alias(k), F.col("n").alias(f"n_{k}"))
+    keys = [c for c in members.columns if c != "id"]
+    common = written(members.groupBy(*keys).count().filter(F.col("count") > hot).select(*keys))
+    if common.isEmpty():
+        counts = shared_counts(members)
+    else:
+        many = members.join(common, keys, "left_semi")
+        mostly = many.groupBy("id").count().join(sizes.select("id", "n"), "id").filter(F.col("count") >= at_least * F.col("n")).select("id")
+        found = [shared_counts(m).select("i", "j") for m in (members.join(common, keys, "left_anti"), many.join(mostly, "id", "left_semi"))]
+        counts = shared_counts(members, hot, found[0].unionByName(found[1]))
+    met = counts.join(side("i", "a"), "i").join(side("j", "b"), "j")
+    near = written(met.select("a", "b", _jaccard(F.col("n_a"), F.col("n_b"), F.col("shared")).alias("score")).filter(F.col("score") >= at_least))
+    return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
+
+
+def pair_jaccard(pairs: DataFrame, family_protein: DataFrame, hot: int = HOT, at_least: float = 0.0) -> DataFrame:
     """``pairs`` (a, b) with the Jaccard score of their protein sets, 0 if both
-    are empty. Only the given pairs are compared. Pairs whose sizes alone keep the score
-    under ``at_least`` are left out before any set is read; others under it may be returned.
-
-    Sets of at most ``row_bound`` proteins travel as one array per family and meet
-    within a row; a pair with a larger set meets by joins on (pair, protein),
-    which hold no set in one place."""
-    sizes = family_protein.groupBy("family").agg(F.count("*").alias("n"))
-    size = lambda k: sizes.select(F.col("family").alias(k), F.col("n").alias(f"n_{k}"))
+    are empty. Only the given pairs get a score; with a column ``block`` in ``family_protein`` these must be of
+    one block. Pairs whose score can't reach ``at_least`` may be left out.
+
+    No set travels with a pair: the numbers of common proteins are counted where families meet
+    (:func:`shared_counts`), and a pair takes its number by one join on two integers."""
+    sizes, members = _numbered_sets(family_protein)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    sized = pairs.select("a", "b").distinct().join(size("a"), "a", "left").join(size("b"), "b", "left")
+    for k in ("a", "b"):
+        own = sizes.select(F.col("family").alias(f"_{k}"), F.col("n").alias(f"_n{k}"), F.col("id").alias(f"_i{k}"))
+        pairs = pairs.join(own, pairs[k] == own[f"_{k}"], "left").drop(f"_{k}")
     if at_least > 0:
-        sized = sized.filter(F.try_divide(F.least(zero("n_a"), zero("n_b")), F.greatest(zero("n_a"), zero("n_b"))) >= at_least)
-    sized = sized.withColumn("large", (zero("n_a") > row_bound) | (zero("n_b") > row_bound))
-    sets = family_protein.join(sizes.filter(F.col("n") <= row_bound).select("family"), "family", "left_semi").groupBy("family").agg(F.collect_list("protein").alias("s"))
-    own = lambda k: sets.select(F.col("family").alias(k), F.col("s").alias(f"s_{k}"))
-    in_row = sized.filter("NOT large").join(own("a"), "a", "left").join(own("b"), "b", "left")
-    in_row = in_row.select("a", "b", "n_a", "n_b", zero(F.size(F.array_intersect("s_a", "s_b"))).alias("shared"))
-    rest = sized.filter("large")
-    met = rest.select("a", "b").join(family_protein.withColumnRenamed("family", "a"), "a").join(family_protein.withColumnRenamed("family", "b"), ["b", "protein"])
-    spread = rest.join(met.groupBy("a", "b").agg(F.count("*").alias("shared")), ["a", "b"], "left").select("a", "b", "n_a", "n_b", zero("shared").alias("shared"))
-    both = in_row.unionByName(spread)
-    shared = F.greatest("shared", F.lit(0))
-    union = zero("n_a") + zero("n_b") - shared
-    scores = both.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.when(union > 0, shared / union).otherwise(F.lit(0.0)).alias("score"))
-    return pairs.join(scores, pairs["a"].eqNullSafe(scores["_a"]) & pairs["b"].eqNullSafe(scores["_b"])).drop("_a", "_b")
+        low, high = F.least(zero(F.col("_na")), zero(F.col("_nb"))), F.greatest(zero(F.col("_na")), zero(F.col("_nb")))
+        pairs = written(pairs.filter(F.try_divide(low, high) >= at_least))
+        members = members.join(pairs.select(F.explode(F.array("_ia", "_ib")).alias("id")).distinct(), "id", "left_semi")
+    low, high = F.least("_ia", "_ib"), F.greatest("_ia", "_ib")
+    asked = pairs.select(low.alias("i"), high.alias("j")).filter("_ia <> _ib")
+    counts = shared_counts(members, hot, asked).withColumnRenamed("i", "_i").withColumnRenamed("j", "_j")
+    met = pairs.join(counts, (low == F.col("_i")) & (high == F.col("_j")), "left")
+    shared = F.when(F.col("_ia") == F.col("_ib"), F.col("_na")).otherwise(zero(F.col("shared")))
+    return met.withColumn("score", _jaccard(F.col("_na"), F.col("_nb"), shared)).drop("_na", "_nb", "_ia", "_ib", "_i", "_j", "shared")
 
 
 def difference(recruited: DataFrame, checked: DataFrame) -> DataFrame:

@@ -31,14 +31,15 @@ def rep_winners(families: DataFrame) -> DataFrame:
 def hits(domtbl: DataFrame, families: DataFrame, length_threshold: float) -> DataFrame:
     """Hits (a: query, b: target family) worth comparing: queries that lost no
     collision, no self hits, envelope over enough of the query. A hit on an
-    unknown representative keeps a null target, as it equals nothing."""
-    won = rep_winners(families)
+    unknown representative keeps a null target, as it equals nothing. What is known of
+    the families is written, so that its size is known and a small one is not joined by shuffling all hits."""
+    won = written(rep_winners(families))
     lost = won.filter(~F.col("winner")).select(F.col("family").alias("query"))
     targets = won.filter("winner").select(F.col("key").alias("target"), F.col("family").alias("b"))
     found = domtbl.join(lost, "query", "left_anti").join(targets, "target", "left")
     found = found.filter(~F.col("query").eqNullSafe(F.col("b")))
     found = found.filter((F.col("env_to") - F.col("env_from") + 1) / F.col("qlen") >= length_threshold)
-    size = lambda k, n: families.select(F.col("family").alias(k), F.col("size").alias(n))
+    size = lambda k, n: won.select(F.col("family").alias(k), F.col("size").alias(n))
     return found.select(F.col("query").alias("a"), "b").join(size("a", "size_a"), "a", "left").join(size("b", "size_b"), "b", "left")
 
 

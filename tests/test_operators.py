@@ -345,3 +345,18 @@ def test_batches_and_cut_sequences(spark):
     count = lambda df: sorted(r["count"] for r in df.groupBy("chunk").count().collect())
     assert count(flows.structure_batches(reps, config)) == [1, 3, 3] and count(flows.structure_batches(reps, config, retry=True)) == [1, 2, 2, 2]
     assert max(len(r.seq) for r in flows.topology_input(reps, config).collect()) == 25
+
+
+def test_jaccard_counts_where_sets_meet(spark):
+    """No set travels with a pair, and a protein of many families gives no pair that wasn't asked for."""
+    sets = {f"f{i:02}": [*range(i, i + 6), "all"] for i in range(12)} | {"hot": ["all"], "hot2": ["all"]}
+    fp = spark.createDataFrame([(f, str(p)) for f, ps in sets.items() for p in ps], "family string, protein string")
+    want = {(a, b): len(set(x) & set(y)) / len(set(x) | set(y)) for a, x in sets.items() for b, y in sets.items() if a != b}
+    pairs = spark.createDataFrame(list(want), "a string, b string")
+    for bound in (edges.HOT, 3):
+        scored = edges.pair_jaccard(pairs, fp, bound)
+        assert {(r.a, r.b): r.score for r in scored.collect()} == want
+        plan = scored._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list" not in plan and "array_intersect" not in plan
+        near = [((r.a, r.b), r.score) for r in edges.near_sets(fp, 0.3, bound).collect()]
+        assert len(near) == len(dict(near)) and dict(near) == {p: s for p, s in want.items() if s >= 0.3}
