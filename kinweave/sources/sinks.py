@@ -124,8 +124,10 @@ def keyed(df: DataFrame, table: str, order: str, stored: DataFrame | None = None
     marked = df.withColumn("_key", key.try_cast("bigint")).withColumn(
         "reason", F.when(F.coalesce(key, F.lit("")) == "", "no key").when(key.try_cast("bigint").isNull(), "not a key")
     )
-    first = marked.filter("reason IS NULL").groupBy("_key").agg(F.min(order).alias("_first"))
-    judged = marked.join(first, "_key", "left").withColumn("reason", F.coalesce("reason", F.when(F.col(order) > F.col("_first"), "repeated key")))
+    # rows without a key join nothing: as nulls they would all go to one task
+    none, own = marked.filter("reason IS NOT NULL"), marked.filter("reason IS NULL")
+    first = own.groupBy("_key").agg(F.min(order).alias("_first"))
+    judged = own.join(first, "_key", "left").withColumn("reason", F.when(F.col(order) > F.col("_first"), "repeated key"))
     if stored is not None:
         known = stored.select(F.col("id").alias("_key"), F.lit("known key").alias("_known")).distinct()
         judged = judged.join(known, "_key", "left").withColumn("reason", F.coalesce("reason", "_known"))
@@ -134,7 +136,8 @@ def keyed(df: DataFrame, table: str, order: str, stored: DataFrame | None = None
         texts = [f.split(" ")[0] for f in schemas.SERVING[table].split(", ") if f.endswith(" string")]
         kept = judged.filter("reason IS NULL").select("_key", *[F.col(c).alias(f"_{c}") for c in texts if c in df.columns])
         good = good.join(kept, good["id"] == kept["_key"]).select(*[F.col(f"_{c}").alias(c) if f"_{c}" in kept.columns else F.col(c) for c in good.columns])
-    return good, judged.filter("reason IS NOT NULL").select(*[f"`{c}`" for c in df.columns], "reason")
+    bad = [part.select(*[f"`{c}`" for c in df.columns], "reason") for part in (none, judged.filter("reason IS NOT NULL"))]
+    return good, bad[0].unionByName(bad[1])
 
 
 def import_keyed(df: DataFrame, table: str, path: str, order: str, blank_text: bool = False) -> DataFrame:

@@ -143,3 +143,12 @@ def test_late_events_are_left_out(spark, tmp_path):
     counts.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
     got = sorted((r.start.hour, r.event_type, r.n, r.total) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [(0, "a", 2, 3.0), (9, "b", 2, 8.0)]
+
+
+def test_rows_without_a_key_join_nothing(spark):
+    df = spark.createDataFrame([("", "a", f"{i:03}") for i in range(200)] + [("id", "b", "900"), ("7", "c", "901"), ("7", "d", "902")], "id string, protein_rep string, line string")
+    good, bad = sinks.keyed(df, "family", "line", spark.createDataFrame([(8,)], "id long"))
+    assert [r.id for r in good.collect()] == [7]
+    assert bad.groupBy("reason").count().rdd.map(tuple).collectAsMap() == {"no key": 200, "not a key": 1, "repeated key": 1}
+    # the rows without a key pass by no join
+    assert "Join" not in bad._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
