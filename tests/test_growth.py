@@ -206,3 +206,11 @@ def test_residue_counts(spark):
     rows = spark.createDataFrame([("f", "AC-x"), ("f", "A~.B"), ("g", ""), ("g", "C"), (None, "A"), ("f", None), ("f", "A")], "family string, aligned string")
     got = {(r.family, r.pos, r.residue): r.filled for r in alignments.residue_counts(rows).collect()}
     assert got == {("f", 0, 0): 3, ("f", 1, 1): 1, ("f", 3, 20): 2, ("g", 0, 1): 1}
+
+
+def test_places_of_words_are_never_broadcast(spark):
+    """Exploded places are far larger than their files, which is all that the planner knows."""
+    columns = spark.createDataFrame([("f", i, c, 9) for i, c in enumerate("ACDEFGHIKL")], "family string, pos int, residue string, score int")
+    found = words.candidates(columns, spark.createDataFrame([(1, "ACDEFGHIKL"), (2, "WWWWWWWWWW")], "id int, seq string"), 3, 9, hot=0)
+    assert [tuple(r) for r in found.collect()] == [("f", 1)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") == 2
