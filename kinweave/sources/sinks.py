@@ -14,9 +14,10 @@ def fasta(df: DataFrame, path: str, id_col: str = "id", seq_col: str = "seq") ->
 
 
 def by_family(lines: DataFrame, path: str) -> None:
-    """Write text lines (family, n, value) to a folder for each family, in the order of n. The sort is
-    one over all rows, so a large family is cut into several files, whose names sort in order."""
-    ordered = lines.repartitionByRange("family", "n").sortWithinPartitions("family", "n")
+    """Write text lines (family, n, value) to a folder for each family, in the order of n. Families are dealt by
+    ranges, each to one task that sorts it (spilling) and writes one file: readers take a file's record as
+    one value, so a family cut into several files would come back in pieces."""
+    ordered = lines.repartitionByRange("family").sortWithinPartitions("family", "n")
     ordered.select("family", "value").write.mode("overwrite").partitionBy("family").text(path)
 
 

@@ -152,3 +152,11 @@ def test_rows_without_a_key_join_nothing(spark):
     assert bad.groupBy("reason").count().rdd.map(tuple).collectAsMap() == {"no key": 200, "not a key": 1, "repeated key": 1}
     # the rows without a key pass by no join
     assert "Join" not in bad._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+
+
+def test_large_alignment_comes_back_whole(spark, tmp_path, cut):
+    rows = [(1, n, f"m{n}", f"{n:024}") for n in range(2000)] + [(2, 0, "one", "AC")]
+    df = spark.createDataFrame(rows, "family int, n long, name string, aligned string").repartition(4)
+    sinks.by_family(sinks.stockholm_lines(df, 10), f"{tmp_path}/sto")
+    back = sources.stockholm(spark, f"{tmp_path}/sto")
+    assert sorted((r.alignment, r.name, r.aligned) for r in back.collect()) == sorted((str(f), name, a) for f, _, name, a in rows)
