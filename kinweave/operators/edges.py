@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar
 from ..storage import written
 
-HOT = 1_000
+HOT, MEETINGS = 1_000, 1_000_000
 
 
 def representatives(clusters: DataFrame, minimum_members: int = 25) -> DataFrame:
@@ -80,17 +80,42 @@ def shared_counts(members: DataFrame, hot: int = HOT, pairs: DataFrame | None =
     keys = [c for c in members.columns if c != "id"]
     side = lambda df, name: df.withColumnRenamed("id", name)
     if pairs is None:
-        return side(members, "i").join(side(members, "j"), keys).filter("i < j").groupBy("i", "j").agg(F.count("*").alias("shared"))
+        return _met(members)
     common = written(members.groupBy(*keys).count().filter(F.col("count") > hot).select(*keys))
     if common.isEmpty():
-        return shared_counts(members)
+        return _met(members)
     rare, many = members.join(common, keys, "left_anti"), members.join(common, keys, "left_semi")
     looked = pairs.distinct().join(side(many, "i"), "i").join(side(many, "j"), ["j", *keys]).groupBy("i", "j").agg(F.count("*").alias("shared"))
     return shared_counts(rare).unionByName(looked).groupBy("i", "j").agg(F.sum("shared").alias("shared"))
 
 
+def _met(members: DataFrame) -> DataFrame:
+    """:func:`shared_counts` of all pairs that meet. Meetings are counted where they are made: the families of a
+    protein go as one list to each tile that has one of them, and a tile counts all pairs of its own families. So
+    lists are shuffled, not pairs, and there are so many tiles that a task counts about ``MEETINGS`` different pairs at most."""
+    blocks = [c for c in members.columns if c == "block"]
+    members = members.dropna()  # a null meets nothing
+    keys = [c for c in members.columns if c != "id"]
+    # dealt first: single ids are shuffled, not lists of one
+    lists = written(members.repartition(*keys).groupBy(*keys).agg(F.collect_list("id").alias("ids")).select(*blocks, "ids").filter("size(ids) > 1"))
+    n = F.size("ids").cast("double")
+    each = lists.groupBy(*blocks).agg(F.sum(n * n / 2).alias("rows"))
+    families = members.groupBy(*blocks).agg((F.count_distinct("id").cast("double") ** 2 / 2).alias("pairs"))
+    sizes = each.join(families, blocks) if blocks else each.crossJoin(families)
+    # two numbers: the most different pairs of a block, and of all
+    most, total = sizes.agg(F.max(F.least("rows", "pairs")), F.sum(F.least("rows", "pairs"))).first()
+    tiles, tasks = (int((x or 0) // MEETINGS) + 1 for x in (2 * (most or 0), total))
+    tile = lambda i: F.pmod(F.xxhash64(i), F.lit(tiles)).cast("int")
+    dealt = lists.select(*blocks, "ids", F.explode(F.array_distinct(F.transform("ids", tile))).alias("tile"))
+    dealt = dealt.repartition(max(tasks, members.sparkSession.sparkContext.defaultParallelism), *blocks, "tile")
+    own = dealt.select(*blocks, "tile", "ids", F.explode(F.filter("ids", lambda i: tile(i) == F.col("tile"))).alias("i"))
+    met = own.select(*blocks, "tile", "i", F.explode("ids").alias("j")).filter("i < j")
+    return met.groupBy(*blocks, "tile", "i", "j").agg(F.count("*").alias("shared")).select("i", "j", "shared")
+
+
 def _numbered_sets(family_protein: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(family, n, id) and (id, protein, block if any), written: rows that meet carry numbers, not names."""
+    family_protein = written(family_protein)
     sizes = written(family_protein.groupBy("family").agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()))
     return sizes, written(family_protein.join(sizes.select("family", "id"), "family").drop("family"))
 

@@ -360,3 +360,18 @@ def test_jaccard_counts_where_sets_meet(spark):
         assert "collect_list" not in plan and "array_intersect" not in plan
         near = [((r.a, r.b), r.score) for r in edges.near_sets(fp, 0.3, bound).collect()]
         assert len(near) == len(dict(near)) and dict(near) == {p: s for p, s in want.items() if s >= 0.3}
+
+
+def test_pairs_of_families_are_counted_in_the_task_that_makes_them(spark, monkeypatch):
+    """What is shuffled are lists of families, however many pairs they give; nulls meet nothing."""
+    sets = {i: {0, i % 7, 10 + i % 3, 20 + i} for i in range(40)}
+    rows = [(i, str(p), i % 2) for i, ps in sets.items() for p in ps] + [(1, None, 1), (3, None, 1), (2, "9", None), (4, "9", None)]
+    members = spark.createDataFrame(rows, "id long, protein string, block int")
+    alike = lambda i, j, blocks: i < j and sets[i] & sets[j] and (not blocks or i % 2 == j % 2)
+    for most in (edges.MEETINGS, 20):
+        monkeypatch.setattr(edges, "MEETINGS", most)
+        for blocks, df in ((True, members), (False, members.filter("block IS NOT NULL").drop("block"))):
+            got = edges.shared_counts(df)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert {(r.i, r.j): r.shared for r in got.collect()} == {(i, j): len(sets[i] & sets[j]) for i in sets for j in sets if alike(i, j, blocks)}
+            assert plan.count("Exchange ") == 1 and "Join" not in plan
