@@ -35,7 +35,8 @@ size first give one near neighbour of each node, which joins the groups of copie
 then every pair that is still in two groups is compared again, by fingerprints of
 ``SKETCH_WORDS`` words which only the nodes at such anchors get. These tell similarities
 to 0.01 or so; a pair four standard errors off goes no further, so texts that share much of
-a template but are less similar than the limit don't leave the task as pairs.
+a template but are less similar than the limit are not brought together. The others leave
+the task as chains, and the nodes of a chain are compared by their sets (:func:`alike`).
 
 Nulls and texts without words have fingerprint zero, linked like any other in
 :func:`clusters`; :func:`dedupe` keeps each of those that differ. Rows with a
@@ -56,7 +57,7 @@ from pyspark.sql import functions as F
 from . import _util, graph
 
 SEED, TRIPLES, BANDS, BAND_BITS, WIDE_WORDS, SKETCH_WORDS = 42, 9, 60, 16, 4, 32
-DIRECT, PAIRS_A_NODE = 192, 8
+DIRECT, PAIRS_A_NODE, BLOCK, BLOCK_HASHES = 192, 2, 512, 1 << 21
 
 
 def shingle_hashes(text: str | None, k: int) -> list[int]:
@@ -238,8 +239,8 @@ def _candidates(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray,
         yield node[a[~many[run]]], node[b[~many[run]]]
         near = many[run]
         near[near] = np.bitwise_count(f[a[near]] ^ f[b[near]]).sum(1, dtype=np.int32) <= tight
-        one, at = np.unique(b[near], return_index=True)
-        yield node[a[near][at]], node[one]
+        # stars around the smallest nodes: at many anchors the same ones, so few different pairs
+        yield graph.forest(node[a[near]], node[b[near]]) if near.any() else (node[:0], node[:0])
         for x, y in zip(s[many], e[many], strict=True):
             yield node[x:y], node[x:y]
     for x, y in zip(starts[~small], ends[~small], strict=True):
@@ -272,6 +273,16 @@ def _across(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bit
                 yield node[order[u[close]]], node[order[v[close]]]
 
 
+def _joined(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int, sketch_bits: int):
+    """A forest of the pairs of :func:`_across` for each run: no more edges than nodes leave the task."""
+    for x, y in zip(starts, ends, strict=True):
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for u, v in _across(columns, np.array([x]), np.array([y]), bits, sketch_bits):
+            if len(u):
+                held = graph.forest(np.concatenate([held[0], u]), np.concatenate([held[1], v]))
+        yield held
+
+
 def _meet(keyed: DataFrame, names: list[str], bits: int, search=_forests, *limits: int) -> DataFrame:
     """Edges (u, v) of ``node`` from rows (anchor, node, fingerprint words):
     rows of an anchor are brought together and sorted, then each run is searched."""
@@ -301,7 +312,7 @@ def _meet(keyed: DataFrame, names: list[str], bits: int, search=_forests, *limit
             if batch is None:
                 return
 
-    dealt = keyed.select("anchor", "node", *names).repartition("anchor").sortWithinPartitions("anchor")
+    dealt = keyed.select("anchor", "node", *names).repartition("anchor").sortWithinPartitions("anchor", "node")
     return dealt.mapInArrow(_util.lean(run), "u long, v long")
 
 
@@ -332,7 +343,7 @@ def similar_bits(similarity: float, width: int = WIDE_WORDS, errors: float = 4.0
 def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width: int = WIDE_WORDS) -> DataFrame:
     """Candidate pairs (u, v) of ``node``: wide fingerprints that may be similar enough. Pairs
     of a node with itself name those that need a second search, of ``classes`` with
-    columns ``sketch`` and ``group``, which gives all pairs of two groups."""
+    columns ``sketch`` and ``group``, which joins all pairs of two groups by chains."""
     size = max(BAND_BITS, math.ceil(math.log2(max(2, n_classes))) - 2)
     bands = max(BANDS, math.ceil(4.3 * (1 - 0.1515) ** -size))
     rng = np.random.default_rng(SEED)
@@ -357,7 +368,7 @@ def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width:
     keyed = own.mapInArrow(_util.lean(spread), _util.extended(own.sparkSession.createDataFrame([], "anchor long"), node="long", **kinds))
     bits = similar_bits(similarity, width)
     if again:
-        met = _meet(keyed, names, bits, _across, similar_bits(similarity, SKETCH_WORDS))
+        met = _meet(keyed, names, bits, _joined, similar_bits(similarity, SKETCH_WORDS))
     else:
         met = _meet(keyed, names, bits, _candidates, similar_bits(similarity, width, 1.25))
     return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
@@ -405,6 +416,41 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.filter(F.col("n") / (F.col("of") - F.col("n")) >= similarity).select("u", "v")
 
 
+def alike(chains: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Edges (u, v) that join all pairs of a Jaccard similarity of ``similarity`` or more among the
+    nodes that ``chains`` (u, v) join. The nodes of a group meet in blocks of about
+    ``BLOCK`` nodes and ``BLOCK_HASHES`` hashes, two blocks in a task; a task compares its sets
+    and gives a forest, so pairs are rows nowhere."""
+    each = _util.saved(graph.components(chains).join(sets, "node").select("component", "node", "set"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("set")) / BLOCK_HASHES)).cast("int")
+    placed = each.join(each.groupBy("component").agg(blocks.alias("n")), "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+    # with one other block, itself if there is one block only
+    other = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda x: (x != F.col("own")) | (F.col("n") == 1))
+    dealt = placed.select("component", "own", "node", "set", F.explode(other).alias("other"))
+    dealt = dealt.select("component", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "set")
+
+    def run(table: pa.Table) -> pa.Table:
+        node = table.column("node").to_numpy()
+        lists = table.column("set").combine_chunks()
+        flat, length = np.asarray(lists.flatten()), np.asarray(lists.value_lengths()).astype(np.int64)
+        starts = np.cumsum(length) - length
+        values, flat = np.unique(flat, return_inverse=True)
+        has, u, v = np.zeros(len(values), bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for i in range(len(node) - 1):
+            own = flat[starts[i] : starts[i] + length[i]]
+            has[own] = True
+            n = np.add.reduceat(has[flat[starts[i + 1] :]], starts[i + 1 :] - starts[i + 1], dtype=np.int64)
+            has[own] = False
+            near = i + 1 + np.flatnonzero(n / (length[i] + length[i + 1 :] - n) >= similarity)
+            u, v = np.append(u, np.full(len(near), node[i])), np.append(v, node[near])
+            if len(u) > 1 << 18:
+                u, v = graph.forest(u, v)
+        u, v = graph.forest(u, v) if len(u) else (u, v)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return dealt.groupBy("component", "x", "y").applyInArrow(run, "u long, v long")
+
+
 def clusters(docs: DataFrame, k: int = 3, bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The digest: id, fingerprint (16 hex digits), component_id (smallest id
     reachable by links of ``bits`` or fewer)."""
@@ -443,8 +489,8 @@ def dedupe(docs: DataFrame, k: int = 5, similarity: float = 0.8, id_col: str = "
         rest = classes.join(unsettled, "node").join(found.withColumnRenamed("component", "group"), "node", "left")
         sets = shingle_sets(unsettled, classes, docs, k, id_col, text_col)
         rest = rest.join(sketched(sets), "node").select("node", *names, "sketch", F.coalesce("group", "node").alias("group"))
-        more = _util.saved(similar(rest, classes.count(), similarity, width).join(pairs, ["u", "v"], "left_anti"))
-        found = _util.saved(graph.components(edges.union(verified(more, sets, similarity))))
+        chains = similar(rest, classes.count(), similarity, width)
+        found = _util.saved(graph.components(edges.union(alike(chains, sets, similarity))))
     # what goes: all but the first of a group
     labelled = classes.join(found, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("label"))
     tops = labelled.join(labelled.groupBy("label").agg(F.min("first_id").alias("_top")), "label").select("node", "_top")

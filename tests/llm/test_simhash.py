@@ -153,3 +153,36 @@ def test_template_texts_below_the_limit_make_few_pairs():
     loose = sum(n / (292 - n) >= 0.55 for n in same.values())
     assert len(similar) >= 25 and similar <= got
     assert loose > 10_000 and len(got) < loose / 10
+
+
+def test_a_group_below_the_limit_makes_no_pairs(spark, monkeypatch):
+    """Texts at 0.8 and little below: candidates that leave tasks grow with the texts, not with
+    their square; sets are compared in blocks, and what is joined is what brute force says."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(1, 1 << 62, 100)
+    sets = []
+    for i in range(120):
+        own = base.copy()
+        if i % 3 == 0 and i:
+            own = sets[-1].copy()
+        own[rng.choice(100, 12, replace=False)] = rng.integers(1, 1 << 62, 12)
+        sets.append(own)
+    same = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    pairs = [(a, b) for a in range(120) for b in range(a) if same(a, b) / (200 - same(a, b)) >= 0.7]
+    label = groups(120, [(a, b) for a, b in pairs if same(a, b) / (200 - same(a, b)) >= 0.75])
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(sets)], "node long, set array<long>")
+    chains = spark.createDataFrame([(i, i + 1) for i in range(119)], "u long, v long")
+    for block in (simhash.BLOCK, 25):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        edges = simhash.alike(chains, rows, 0.75)
+        found = {r.node: r.component for r in graph.components(edges).collect()}
+        assert [found.get(i, i) for i in range(120)] == label and 0 < len({i for i in label}) < 120
+    node = np.arange(120)
+    wide = simhash.fold_bits(np.concatenate(sets).view(np.uint64), np.arange(121) * 100, simhash.SKETCH_WORDS)
+    columns = [node, *[wide[:, j].view(np.int64) for j in range(4)], np.array([w.tobytes() for w in wide], object), node]
+    limits = simhash.similar_bits(0.75), simhash.similar_bits(0.75, simhash.SKETCH_WORDS)
+    joined = [p for u, v in simhash._joined(columns, np.array([0]), np.array([120]), *limits) for p in zip(u.tolist(), v.tolist(), strict=True)]
+    every = [p for u, v in simhash._across(columns, np.array([0]), np.array([120]), *limits) for p in zip(u.tolist(), v.tolist(), strict=True)]
+    assert len(joined) < 120 and groups(120, joined) == groups(120, every)
+    first = [p for u, v in simhash._candidates(columns[:5], np.array([0]), np.array([120]), *(simhash.similar_bits(0.75, 4, e) for e in (4.0, 1.25))) for p in zip(u.tolist(), v.tolist(), strict=True)]
+    assert len(first) <= 240
