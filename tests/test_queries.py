@@ -50,3 +50,8 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     plan = q.set_difference(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(value), GreaterThan(value,50.0)" in plan
     assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in plan
+
+
+def test_hits_of_a_region_are_dealt_over_tasks(spark, sf):
+    plan = q.self_hit_length_filter(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [n_regionkey" in plan and "_part" in plan
