@@ -42,9 +42,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     a, b = edges.columns
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL")
-    now = _util.saved(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    nodes = now.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    now = now.filter("u <> v")
+    first = _util.saved(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = first.filter("u <> v")
     before, state = None, None
     for _ in range(rounds):
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -66,6 +65,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         state = found
     else:
         raise RuntimeError("the components did not settle")
-    return nodes.join(now.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component")
-    )
+    # stars name every node of an edge, so nodes are taken from them, not from the edges they came from
+    own = now.select("v").distinct().union(first.filter("u = v").select("u"))
+    rows = now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(own.select("v", "v"))
+    return rows.groupBy("node").agg(F.min("component").alias("component"))

@@ -31,8 +31,8 @@ at an anchor is compared over all 256 bits. Sub-fingerprints get a bit longer ea
 time the input doubles, so that chance meetings stay few, and their number grows by
 1/0.85 with each bit, so that the share of similar pairs that meet stays: about 0.97
 at a Jaccard similarity of 0.8, 0.99 at 0.87. Anchors with many candidates for their
-size first give one near neighbour of each node, which joins the groups of copies;
-then every pair that is still in two groups is compared again, by fingerprints of
+size first give each node's nearest smaller one, of all its anchors together one, which joins the
+groups of copies; then every pair that is still in two groups is compared again, by fingerprints of
 ``SKETCH_WORDS`` words which only the nodes at such anchors get. These tell similarities
 to 0.01 or so; a pair four standard errors off goes no further, so texts that share much of
 a template but are less similar than the limit are not brought together. The others leave
@@ -226,29 +226,46 @@ def _forests(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bi
     yield graph.forest(node[a], node[b]) if len(a) else (a, b)
 
 
-def _candidates(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int, tight: int):
-    """All pairs within ``bits`` of runs with few of them. Of other runs one near
-    neighbour of each node, and each node as an edge to itself: they are open."""
+def _nearest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Of pairs (a, b) that differ in d bits, those that hold the nearest ``a`` of each ``b``."""
+    order = np.lexsort((a, d, b))
+    return order[np.concatenate([[True], b[order][1:] != b[order][:-1]])[: len(order)]]
+
+
+def _graded(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int, tight: int):
+    """All pairs within ``bits`` of runs with few of them. Of other runs each node with its nearest
+    smaller one within ``tight`` and their distance, and as an edge to itself: they are open."""
     node, f = columns[0], np.stack([c.view(np.uint64) for c in columns[1:]], 1)
     small = ends - starts <= DIRECT
+
+    def one_each(a: np.ndarray, b: np.ndarray):
+        a, b = np.minimum(a, b), np.maximum(a, b)  # a run ascends by node
+        d = np.bitwise_count(f[a] ^ f[b]).sum(1, dtype=np.int32)
+        kept = np.flatnonzero(d <= tight)
+        kept = kept[_nearest(a[kept], b[kept], d[kept])]
+        return node[a[kept]], node[b[kept]], d[kept]
+
     for lo in range(0, int(small.sum()), 4096):
         s, e = starts[small][lo : lo + 4096], ends[small][lo : lo + 4096]
         a, b = _near(f, s, e, bits)
         run = np.searchsorted(s, a, "right") - 1
         many = np.bincount(run, minlength=len(s)) > PAIRS_A_NODE * (e - s)
         yield node[a[~many[run]]], node[b[~many[run]]]
-        near = many[run]
-        near[near] = np.bitwise_count(f[a[near]] ^ f[b[near]]).sum(1, dtype=np.int32) <= tight
-        # stars around the smallest nodes: at many anchors the same ones, so few different pairs
-        yield graph.forest(node[a[near]], node[b[near]]) if near.any() else (node[:0], node[:0])
+        yield one_each(a[many[run]], b[many[run]])
         for x, y in zip(s[many], e[many], strict=True):
             yield node[x:y], node[x:y]
     for x, y in zip(starts[~small], ends[~small], strict=True):
         a, b = _blocks(f[x:y], tight)
-        yield node[x:y][a], node[x:y][b]
+        yield one_each(x + a, x + b)
         yield node[x:y], node[x:y]
 
 
+def _candidates(*args):
+    """The pairs of :func:`_graded` alone."""
+    for u, v, *_ in _graded(*args):
+        yield u, v
+
+
 def _across(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bits: int, sketch_bits: int):
     """All pairs of two groups (the last column) within ``bits``, and within ``sketch_bits``
     of their sketches (the last but one), a block of rows at a time."""
@@ -284,8 +301,9 @@ def _joined(columns: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, bit
 
 
 def _meet(keyed: DataFrame, names: list[str], bits: int, search=_forests, *limits: int) -> DataFrame:
-    """Edges (u, v) of ``node`` from rows (anchor, node, fingerprint words):
-    rows of an anchor are brought together and sorted, then each run is searched."""
+    """Edges (u, v, d) of ``node`` from rows (anchor, node, fingerprint words): rows of an
+    anchor are brought together and sorted, then each run is searched. ``d`` is null, or the
+    bits of an edge of which one of each node will do."""
 
     def run(batches):
         held = None
@@ -306,14 +324,14 @@ def _meet(keyed: DataFrame, names: list[str], bits: int, search=_forests, *limit
                 bounds = np.concatenate([[0], edge[edge <= cut], [cut]] if batch is None else [[0], edge])
                 starts, ends = bounds[:-1], bounds[1:]
                 many = ends - starts > 1
-                for u, v in search([c[:cut] for c in held[1:]], starts[many], ends[many], bits, *limits):
-                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+                for u, v, *d in search([c[:cut] for c in held[1:]], starts[many], ends[many], bits, *limits):
+                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(d[0] if d else [None] * len(u), pa.int32())], names=["u", "v", "d"])
                 held = [c[cut:] for c in held]
             if batch is None:
                 return
 
     dealt = keyed.select("anchor", "node", *names).repartition("anchor").sortWithinPartitions("anchor", "node")
-    return dealt.mapInArrow(_util.lean(run), "u long, v long")
+    return dealt.mapInArrow(_util.lean(run), "u long, v long, d int")
 
 
 def links(classes: DataFrame, bits: int = 2, triples: int = TRIPLES) -> DataFrame:
@@ -330,7 +348,7 @@ def links(classes: DataFrame, bits: int = 2, triples: int = TRIPLES) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(own), pa.array(own)], names=["anchor", "node", "f0"])
 
     keyed = classes.select("f0").mapInArrow(_util.lean(spread), "anchor long, node long, f0 long")
-    return _meet(keyed, ["f0"], bits)
+    return _meet(keyed, ["f0"], bits).select("u", "v")
 
 
 def similar_bits(similarity: float, width: int = WIDE_WORDS, errors: float = 4.0) -> int:
@@ -370,8 +388,14 @@ def similar(classes: DataFrame, n_classes: int, similarity: float = 0.8, width:
     if again:
         met = _meet(keyed, names, bits, _joined, similar_bits(similarity, SKETCH_WORDS))
     else:
-        met = _meet(keyed, names, bits, _candidates, similar_bits(similarity, width, 1.25))
-    return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        met = _meet(keyed, names, bits, _graded, similar_bits(similarity, width, 1.25))
+    pair = met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "d")
+    if again:
+        return pair.select("u", "v").distinct()
+    # all plain pairs; of a node's near ones at all anchors the nearest
+    other = F.when(F.col("d").isNull(), F.col("u"))
+    best = pair.groupBy("v", other.alias("_u")).agg(F.min(F.struct("d", "u")).alias("b"))
+    return best.select("b.u", "v").distinct()
 
 
 def shingle_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:

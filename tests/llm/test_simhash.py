@@ -186,3 +186,26 @@ def test_a_group_below_the_limit_makes_no_pairs(spark, monkeypatch):
     assert len(joined) < 120 and groups(120, joined) == groups(120, every)
     first = [p for u, v in simhash._candidates(columns[:5], np.array([0]), np.array([120]), *(simhash.similar_bits(0.75, 4, e) for e in (4.0, 1.25))) for p in zip(u.tolist(), v.tolist(), strict=True)]
     assert len(first) <= 240
+
+
+def test_a_node_of_crowded_anchors_has_one_near_edge(spark):
+    """Anchors hold different parts of a group of copies: over all of them a node gives one edge, to
+    a smaller node, and the group is still joined. Pairs of anchors with few stay as they are."""
+    wide = np.tile(np.random.default_rng(9).integers(0, 1 << 63, 4, dtype=np.uint64), (150, 1))
+    for i in range(150):
+        wide[i, i // 64] ^= np.uint64(1) << np.uint64(i % 64)
+    rows = [(i, *x) for i, x in enumerate(wide.view(np.int64).tolist())]
+    classes = spark.createDataFrame(rows, "node long, f0 long, f1 long, f2 long, f3 long")
+    found = [(r.u, r.v) for r in simhash.similar(classes, 150).collect()]
+    loops, edges = {u for u, v in found if u == v}, [(u, v) for u, v in found if u != v]
+    assert loops == set(range(150)) and all(u < v for u, v in edges)
+    assert len(edges) == 149 and set(groups(150, edges)) == {0}
+    assert simhash.similar(classes.filter("node < 3"), 3).filter("u <> v").count() == 3
+
+
+def test_nodes_of_components_come_from_stars(spark):
+    """No row for each end of each edge is made to name the nodes; lone nodes stay."""
+    edges = spark.createDataFrame([(i, j) for i in range(30) for j in range(i)] + [(90, 90), (5, 5)], "a long, b long")
+    found = graph.components(edges)
+    assert {r.node: r.component for r in found.collect()} == {i: 0 for i in range(30)} | {90: 90}
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
