@@ -11,7 +11,8 @@ by release and length class with its quality statistics:
 A release's folders are replaced as a whole, so a rerun gives the same files' content, and other
 releases stay as they are. Regions are reduced to the furthest end of each start before they are
 gathered, so a protein never has more of them than residues, however often a region
-is reported; copies are counted by partial sums before their texts are shuffled.
+is reported, and where a release has at most ``FEW`` proteins, regions of others go before any shuffle;
+copies are counted by partial sums before their texts are shuffled.
 Proteins without id or sequence, and regions without an end, are left out; ids may repeat.
 
     python -m jobs.slice_catalogue --proteins P --regions R --out O --config jobs/slice_catalogue.json
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from jobs import common
 from kinweave.operators import intervals, stats
 
+FEW = 500_000
 SLICES = "id string, seq string, digest string, length int, copies long, release string, length_class int"
 
 
@@ -37,6 +39,12 @@ def slices(proteins: DataFrame, regions: DataFrame, min_length: int) -> DataFram
     return intervals.slices_of(typed, min_length)
 
 
+def regions_of(regions: DataFrame, proteins: DataFrame) -> DataFrame:
+    """Regions of these proteins, where the proteins are few; else all, which slices match anyway."""
+    known = proteins.filter("protein_id IS NOT NULL AND sequence IS NOT NULL").select("protein_id")
+    return regions if known.count() > FEW else regions.join(F.broadcast(known.distinct()), "protein_id", "left_semi")
+
+
 def catalogue(found: DataFrame, classes: list[int]) -> DataFrame:
     """One row for each distinct slice: its first id, how many have it, and its length class."""
     each = found.withColumn("digest", F.sha2(F.col("seq").cast("binary"), 256))
@@ -52,8 +60,10 @@ def run(spark: SparkSession, proteins: str, regions: str, out: str, config: dict
     """Make a release's catalogue; returns the counts that are logged."""
     names = lambda table: [F.expr(sql).alias(name) for name, sql in config[table].items()]
     read, wrote = Observation(), Observation()
-    rows = spark.read.parquet(proteins).select(*names("proteins")).observe(read, F.count("*").alias("proteins"))
-    found = catalogue(slices(rows, spark.read.parquet(regions).select(*names("regions")), config["min_length"]), sorted(config["length_classes"]))
+    rows = spark.read.parquet(proteins).select(*names("proteins"))
+    cut = regions_of(spark.read.parquet(regions).select(*names("regions")), rows)
+    rows = rows.observe(read, F.count("*").alias("proteins"))
+    found = catalogue(slices(rows, cut, config["min_length"]), sorted(config["length_classes"]))
     found = found.observe(wrote, F.count("*").alias("slices"), F.coalesce(F.sum("copies"), F.lit(0)).alias("copies"), F.coalesce(F.sum("length"), F.lit(0)).alias("residues"))
     place = lambda table: f"{out.rstrip('/')}/{table}/release={config['release']}"
     # even files: large classes are cut into several, small ones share a task

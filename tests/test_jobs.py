@@ -176,3 +176,16 @@ def test_command_lines(spark, grown, tmp_path, sf):
 def test_configuration_files_are_the_packaged_ones(spark):
     for job in ("slice_catalogue", "release_update"):
         assert common.configured(spark, os.path.join(os.path.dirname(common.__file__), f"{job}.json")) == common.packaged(job)
+
+
+def test_regions_of_other_proteins_go_before_the_shuffle(spark, monkeypatch):
+    from jobs import slice_catalogue
+
+    proteins = spark.createDataFrame([("a", "x" * 50), ("b", None), (None, "y")], "protein_id string, sequence string")
+    regions = spark.createDataFrame([("a", 1, 5), ("b", 1, 5), ("c", 1, 5), (None, 1, 5)], "protein_id string, start int, stop int")
+    few = slice_catalogue.regions_of(regions, proteins)
+    assert [tuple(r) for r in few.collect()] == [("a", 1, 5)]
+    slices = [tuple(r) for r in slice_catalogue.slices(proteins, few, 20).collect()]
+    monkeypatch.setattr(slice_catalogue, "FEW", 0)
+    every = slice_catalogue.regions_of(regions, proteins)
+    assert every.count() == 4 and slices == [tuple(r) for r in slice_catalogue.slices(proteins, every, 20).collect()] == [("a_6_50", "x" * 45)]
