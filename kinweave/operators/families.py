@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..storage import written
 from .kernels import Kernels
 
@@ -31,10 +32,20 @@ def centre_pairs(sequences: DataFrame, coverage: float = 0.9, k: int = 8, lowest
     lowest k-mers (of equal lengths the last id), where the lengths allow the coverage.
 
     A k-mer that very many sequences share still gives one pair for each of them:
-    the longest is found by a partial aggregation and joined by the k-mer."""
+    the longest is found by a partial aggregation and joined by the k-mer, the rows of a k-mer of
+    more than ``storage.ROWS`` in several tasks. Sequences are dealt before they are cut, so that no
+    task sorts the k-mers of a whole file."""
+    sequences = storage.dealt(sequences, "id", rows=storage.ROWS // (lowest or 100) + 1)
     each = kmers(sequences, k, lowest, hashed)
-    centre = each.groupBy("h").agg(F.max(F.struct("n", "id")).alias("c")).select("h", F.col("c.id").alias("centre"), F.col("c.n").alias("n_centre"))
-    return each.join(centre, "h").filter("id <> centre AND n >= n_centre * " + str(float(coverage))).select("centre", "id").distinct()
+    found = each.groupBy("h").agg(F.max(F.struct("n", "id")).alias("c"), F.count("*").alias("rows"))
+    centre = written(found.select("h", F.col("c.id").alias("centre"), F.col("c.n").alias("n_centre"), F.expr(f"CAST(rows DIV {storage.ROWS} + 1 AS int)").alias("parts"), "rows"))
+    number = max((centre.agg(F.sum("rows")).first()[0] or 0) // storage.ROWS + 1, each.sparkSession.sparkContext.defaultParallelism)
+    split = F.broadcast(centre.filter("parts > 1").select("h", "parts"))  # no more rows than tasks
+    salted = each.join(split, "h", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    centre = centre.select("h", "centre", "n_centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    joined = salted.repartition(number, "h", "part").join(centre.repartition(number, "h", "part"), ["h", "part"])
+    near = joined.filter("id <> centre AND n >= n_centre * " + str(float(coverage))).select("centre", "id")
+    return near.repartition(number, "centre", "id").distinct()
 
 
 def linear_clusters(sequences: DataFrame, identity: float = 0.5, coverage: float = 0.9, k: int = 8, lowest: int = 20, kernels: Kernels | None = None) -> DataFrame:

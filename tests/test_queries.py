@@ -1,6 +1,7 @@
 """Every query with SQL against DuckDB on the small tables, and plan checks."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -55,3 +56,20 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
 def test_hits_of_a_region_are_dealt_over_tasks(spark, sf):
     plan = q.self_hit_length_filter(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin [n_regionkey" in plan and "_part" in plan
+
+
+@pytest.mark.parametrize("name", ["residue_mean", "kmer_candidates", "seed_membership"])
+def test_tasks_grow_with_the_input(spark, sf, duck, monkeypatch, name):
+    """A task has a bounded number of rows whatever spark.sql.shuffle.partitions says, frequent k-mers
+    are split, and the result stays that of the SQL."""
+    from kinweave import storage
+
+    monkeypatch.setattr(storage, "ROWS", 100)
+    df = q.QUERIES[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    tasks = [int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert tasks and min(tasks) > 8
+    if name == "residue_mean":
+        assert plan.count("Exchange hashpartitioning") == 1
+    got, want = df.toPandas(), duck.execute(q.SQL[name]).df()
+    assert rows(got, sorted(got.columns)) == rows(want, sorted(got.columns))
