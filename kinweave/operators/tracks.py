@@ -78,7 +78,8 @@ def topology_features(records: DataFrame) -> DataFrame:
 
 
 def residue_means(atoms: DataFrame) -> DataFrame:
-    """(id, line, asym, comp, seq, mean): mean B factor of consecutive atoms of a residue."""
+    """(id, line, asym, comp, seq, mean): mean B factor of consecutive atoms of a residue.
+    Atoms that come dealt by id stay where they are."""
     w = Window.partitionBy("id").orderBy("line")
     key = F.struct("asym", "comp", "seq")
     new = atoms.withColumn("_new", F.coalesce((~key.eqNullSafe(F.lag(key).over(w))).cast("int"), F.lit(1)))
