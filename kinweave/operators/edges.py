@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..storage import written
+from ..storage import tasks, written
 
 HOT, MEETINGS = 1_000, 1_000_000
 
@@ -184,9 +184,14 @@ def pooled(*parts: DataFrame) -> DataFrame:
 
 
 def membership(original: DataFrame, kept: DataFrame) -> DataFrame:
-    """Per family, distinct common proteins over the length of the original list."""
-    names = kept.select("family", scalar.base_name(F.col("member")).alias("p")).distinct()
-    common = original.select("family", scalar.base_name(F.col("member")).alias("p")).distinct().join(names, ["family", "p"], "left_semi")
-    n = common.groupBy("family").agg(F.count("*").alias("common"))
-    size = original.groupBy("family").agg(F.count("*").alias("listed"))
-    return size.join(n, "family", "left").select("family", (F.coalesce("common", F.lit(0)) / F.col("listed")).alias("membership"))
+    """Per family, distinct common proteins over the length of the original list.
+
+    Both lists are summed by protein, then by family, in tasks whose number grows with them."""
+    side = lambda df, n: df.select("family", scalar.base_name(F.col("member")).alias("p"), F.lit(n).alias("listed"), F.lit(1 - n).alias("kept"))
+    both = side(original, 1).unionByName(side(kept, 0))
+    number = tasks(both)
+    each = both.repartition(number, "family", "p").groupBy("family", "p").agg(F.sum("listed").alias("listed"), F.max("kept").alias("kept"))
+    # a null is in common with nothing
+    common = ((F.col("listed") > 0) & (F.col("kept") > 0) & F.col("family").isNotNull() & F.col("p").isNotNull()).cast("int")
+    sums = each.select("family", "listed", common.alias("common")).repartition(number, "family").groupBy("family").agg(F.sum("listed").alias("listed"), F.sum("common").alias("common"))
+    return sums.filter("listed > 0").select("family", (F.col("common") / F.col("listed")).alias("membership"))
