@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar
 from ..storage import tasks, written
 
-HOT, MEETINGS = 1_000, 1_000_000
+HOT, MEETINGS, BAND = 1_000, 1_000_000, 1_000
 
 
 def representatives(clusters: DataFrame, minimum_members: int = 25) -> DataFrame:
@@ -50,6 +50,26 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return joined.select(*[f"`{c}`" for c in df.columns], (F.col("_before") + within + 1).cast("long").alias(name))
 
 
+def block_pairs(left: DataFrame, right: DataFrame, block: str, order: list[str]) -> DataFrame:
+    """All pairs of a row of ``left`` and one of ``right`` with the same ``block``, made where they are used: see :func:`_banded`.
+    ``order``: columns of ``left`` that number its rows."""
+    left, right = _banded(numbered(left, order, "_i"), right, block, BAND)
+    return left.hint("shuffle_hash").join(right, [block, "_part"]).drop("_i", "_part")
+
+
+def _banded(left: DataFrame, right: DataFrame, block: str, rows: int) -> tuple[DataFrame, DataFrame]:
+    """``left`` in tasks ``_part`` of ``rows`` numbers ``_i`` each, and ``right`` once for each task that has rows of its block. So a task
+    holds ``rows`` rows, the others pass by, and rows are shuffled, one for each ``rows`` pairs, not pairs.
+    Tasks are addressed by number, as two keys of a hash may fall on one task."""
+    part = F.expr(f"CAST((_i - 1) DIV {rows} AS int)")
+    left = left.withColumn("_part", part)
+    spans = left.groupBy(block).agg(F.min("_part").alias("_first"), F.max("_part").alias("_last"))
+    parts = max((spans.agg(F.max("_last")).first()[0] or 0) + 1, 2)  # one number; a single task would be dealt anew
+    spread = right.repartition(right.sparkSession.sparkContext.defaultParallelism, *right.columns)  # a small file is one task
+    spread = spread.join(spans, block).withColumn("_part", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+    return left.repartitionById(parts, "_part"), spread.repartitionById(parts, "_part")
+
+
 def members_of(clusters: DataFrame, reps: DataFrame) -> DataFrame:
     """Edges of the chosen representatives."""
     return clusters.join(reps.select("representative").distinct(), "representative", "left_semi")

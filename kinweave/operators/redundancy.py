@@ -28,19 +28,29 @@ def rep_winners(families: DataFrame) -> DataFrame:
     return families.join(first, "key").select("key", "family", "size", (F.col("family") == F.col("best")).alias("winner"))
 
 
-def hits(domtbl: DataFrame, families: DataFrame, length_threshold: float) -> DataFrame:
-    """Hits (a: query, b: target family) worth comparing: queries that lost no
-    collision, no self hits, envelope over enough of the query. A hit on an
-    unknown representative keeps a null target, as it equals nothing. What is known of
-    the families is written, so that its size is known and a small one is not joined by shuffling all hits."""
+def sides(families: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is known of a hit's two ends: (query, size_a, lost a collision) and (target, b, size_b) of the targets that won
+    theirs. Written, so that its size is known and a small one is not joined by shuffling all hits."""
     won = written(rep_winners(families))
-    lost = won.filter(~F.col("winner")).select(F.col("family").alias("query"))
-    targets = won.filter("winner").select(F.col("key").alias("target"), F.col("family").alias("b"))
-    found = domtbl.join(lost, "query", "left_anti").join(targets, "target", "left")
-    found = found.filter(~F.col("query").eqNullSafe(F.col("b")))
-    found = found.filter((F.col("env_to") - F.col("env_from") + 1) / F.col("qlen") >= length_threshold)
+    lost = won.filter(~F.col("winner")).select(F.col("family").alias("query"), F.lit(True).alias("lost")).distinct()
     size = lambda k, n: won.select(F.col("family").alias(k), F.col("size").alias(n))
-    return found.select(F.col("query").alias("a"), "b").join(size("a", "size_a"), "a", "left").join(size("b", "size_b"), "b", "left")
+    targets = won.filter("winner").select(F.col("key").alias("target"), F.col("family").alias("b")).join(size("b", "size_b"), "b", "left")
+    return written(size("query", "size_a").join(lost, "query", "left")), written(targets.select("target", "b", "size_b"))
+
+
+def worth(hits: DataFrame, length_threshold: float) -> DataFrame:
+    """Hits between known ends (:func:`sides`) that are worth comparing: queries that lost no collision, no self
+    hits, envelope over enough of the query."""
+    long_enough = (F.col("env_to") - F.col("env_from") + 1) / F.col("qlen") >= length_threshold
+    return hits.filter(~F.coalesce("lost", F.lit(False))).filter(long_enough & ~F.col("query").eqNullSafe(F.col("b")))
+
+
+def hits(domtbl: DataFrame, families: DataFrame, length_threshold: float) -> DataFrame:
+    """Hits (a: query, b: target family) :func:`worth` comparing, with their sizes. A hit on an
+    unknown representative keeps a null target, as it equals nothing. A hit meets what is known of each end once."""
+    queries, targets = sides(families)
+    found = worth(domtbl.join(queries, "query", "left").join(targets, "target", "left"), length_threshold)
+    return found.select(F.col("query").alias("a"), "b", "size_a", "size_b")
 
 
 def judged(scored: DataFrame, redundant_score: float, similarity_score: float) -> tuple[DataFrame, DataFrame]:

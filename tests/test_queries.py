@@ -73,3 +73,34 @@ def test_tasks_grow_with_the_input(spark, sf, duck, monkeypatch, name):
         assert plan.count("Exchange hashpartitioning") == 1
     got, want = df.toPandas(), duck.execute(q.SQL[name]).df()
     assert rows(got, sorted(got.columns)) == rows(want, sorted(got.columns))
+
+
+def test_hits_are_made_from_ends_that_are_known(spark, sf, duck, monkeypatch):
+    """Nothing is joined to a hit after it was made, and a task has a bounded number of queries."""
+    from kinweave.operators import edges
+
+    monkeypatch.setattr(edges, "BAND", 1)
+    df = q.self_hit_length_filter(spark, "/root/testdata/sf0.01")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    root = re.search(r"^(\W*)\w*Join ", plan, re.M)
+    assert plan[root.start() :].split("\n")[0].strip("+-: ").startswith("ShuffledHashJoin [n_regionkey")
+    assert [int(n) for n in re.findall(r"direct_shuffle_partition_id\(_part#\d+\), (\d+)\)", plan)] == [100, 100]
+    small = q.self_hit_length_filter(spark, sf).toPandas()
+    want = duck.execute(q.SQL["self_hit_length_filter"]).df()
+    assert rows(small, sorted(small.columns)) == rows(want, sorted(small.columns))
+
+
+def test_pairs_of_blocks(spark):
+    from kinweave.operators import edges
+
+    left = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2), ("d", None), ("e", 4)], "x string, block int")
+    right = spark.createDataFrame([("p", 1), ("q", 2), ("q", 2), ("r", None), ("s", 3)], "y string, block int")
+    want = left.join(right, "block").select("x", "y")
+    for band in (1, 2, 100):
+        edges.BAND, kept = band, edges.BAND
+        try:
+            got = edges.block_pairs(left, right, "block", ["block", "x"]).select("x", "y")
+            assert sorted(got.collect()) == sorted(want.collect())
+            assert edges.block_pairs(left.limit(0), right, "block", ["x"]).count() == 0
+        finally:
+            edges.BAND = kept
