@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar
 from ..storage import tasks, written
 
-HOT, MEETINGS, BAND = 1_000, 1_000_000, 1_000
+HOT, MEETINGS, BAND, NARROW = 1_000, 1_000_000, 1_000, 200
 
 
 def representatives(clusters: DataFrame, minimum_members: int = 25) -> DataFrame:
@@ -53,21 +53,32 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
 def block_pairs(left: DataFrame, right: DataFrame, block: str, order: list[str]) -> DataFrame:
     """All pairs of a row of ``left`` and one of ``right`` with the same ``block``, made where they are used: see :func:`_banded`.
     ``order``: columns of ``left`` that number its rows."""
-    left, right = _banded(numbered(left, order, "_i"), right, block, BAND)
+    left, right, _ = _banded(numbered(left, order, "_i"), right, block, BAND)
     return left.hint("shuffle_hash").join(right, [block, "_part"]).drop("_i", "_part")
 
 
-def _banded(left: DataFrame, right: DataFrame, block: str, rows: int) -> tuple[DataFrame, DataFrame]:
-    """``left`` in tasks ``_part`` of ``rows`` numbers ``_i`` each, and ``right`` once for each task that has rows of its block. So a task
-    holds ``rows`` rows, the others pass by, and rows are shuffled, one for each ``rows`` pairs, not pairs.
-    Tasks are addressed by number, as two keys of a hash may fall on one task."""
-    part = F.expr(f"CAST((_i - 1) DIV {rows} AS int)")
-    left = left.withColumn("_part", part)
-    spans = left.groupBy(block).agg(F.min("_part").alias("_first"), F.max("_part").alias("_last"))
-    parts = max((spans.agg(F.max("_last")).first()[0] or 0) + 1, 2)  # one number; a single task would be dealt anew
+def _band(i, rows: int):
+    return F.call_function("div", i - 1, F.lit(rows)).cast("int")
+
+
+def _banded(left: DataFrame, right: DataFrame, block: str, rows: int, columns: int = 1) -> tuple[DataFrame, DataFrame, int]:
+    """``left`` in bands of ``rows`` numbers ``_i`` each, and ``right`` once for each band that has rows of its block. So a task
+    holds ``rows`` rows, the others pass by, and rows are shuffled, one for each ``rows`` pairs, not pairs. With ``columns``, a band has so many
+    tasks, each for those of ``right`` whose number ``_j`` gives that rest. Tasks ``_part`` are addressed by number, as two
+    keys of a hash may fall on one task; how many there are is the third result."""
+    left = left.withColumn("_band", F.coalesce(_band(F.col("_i"), rows), F.lit(0)))
+    spans = left.groupBy(block).agg(F.min("_band").alias("_first"), F.max("_band").alias("_last"))
+    parts = max(((spans.agg(F.max("_last")).first()[0] or 0) + 1) * columns, 2)  # one number; a single task would be dealt anew
     spread = right.repartition(right.sparkSession.sparkContext.defaultParallelism, *right.columns)  # a small file is one task
-    spread = spread.join(spans, block).withColumn("_part", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
-    return left.repartitionById(parts, "_part"), spread.repartitionById(parts, "_part")
+    spread = spread.join(spans, block).withColumn("_band", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+    each, rest = F.lit(0), F.lit(0)
+    if columns > 1:
+        each, rest = F.explode(F.sequence(F.lit(0), F.lit(columns - 1))), F.coalesce(F.pmod("_j", F.lit(columns)), F.lit(0))
+    addressed = [
+        df.withColumn("_column", c).withColumn("_part", F.col("_band") * columns + F.col("_column")).drop("_band", "_column").repartitionById(parts, "_part")
+        for df, c in ((left, each), (spread, rest))
+    ]
+    return *addressed, parts
 
 
 def members_of(clusters: DataFrame, reps: DataFrame) -> DataFrame:
@@ -190,6 +201,47 @@ def pair_jaccard(pairs: DataFrame, family_protein: DataFrame, hot: int = HOT, at
     return met.withColumn("score", _jaccard(F.col("_na"), F.col("_nb"), shared)).drop("_na", "_nb", "_ia", "_ib", "_i", "_j", "shared")
 
 
+def block_jaccard(left: DataFrame, right: DataFrame, block: str, sets: DataFrame) -> DataFrame:
+    """All pairs of ``left`` (a) and ``right`` (b) with the same ``block``, with the Jaccard score of their protein sets, 0 if both
+    are empty. ``sets``: (family, protein); repeated rows count once. :func:`pair_jaccard` takes any pairs, but shuffles them;
+    these are the square of the families, so they are made, and get their score, in one task each (:func:`_banded`).
+
+    The families of a protein go as one list to each task that has one of them, and a task counts its own pairs. Bands and
+    columns are such that a task counts about ``MEETINGS`` different pairs at most, and a band has ``NARROW`` rows at least."""
+    side = lambda df, name: df.select(F.col(name).alias("family"), block)
+    names = side(left, "a").unionByName(side(right, "b")).dropna().distinct()
+    # by hash, so that families of many proteins are spread over bands
+    ids = numbered(names.withColumn("_hash", F.xxhash64("family")), [block, "_hash", "family"], "id")
+    ids = written(ids.select("family", block, F.col("id").cast("int").alias("id")))
+    own = sets.join(ids, "family").select("protein", block, "id")
+    lists = own.repartition(tasks(sets), "protein", block).groupBy("protein", block).agg(F.collect_set("id").alias("ids"))
+    lists = written(lists.select(block, "ids", F.col("protein").isNotNull().alias("meets")))  # a null meets nothing
+    sizes = lists.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    known = written(ids.join(sizes, "id", "left"))
+
+    lists = lists.filter(F.col("meets") & (F.size("ids") > 1))
+    n, of = F.size("ids").cast("double"), F.col("families")
+    weight = lists.groupBy(block).agg(F.sum(n * n).alias("rows")).join(ids.groupBy(block).agg(F.count("*").cast("double").alias("families")), block)
+    each = int(weight.agg(F.max(F.least("rows", of * of) / of)).first()[0] or 0) + 1  # one number: families that a family meets
+    rows = min(BAND, max(MEETINGS // each, NARROW))
+    columns = rows * each // MEETINGS + 1
+
+    number = lambda df, k, i: df.join(known.select(F.col("family").alias(k), block, F.col("id").alias(i), F.col("n").alias(f"_n{k}")), [k, block], "left")
+    left, right, parts = _banded(number(left, "a", "_i"), number(right, "b", "_j"), block, rows, columns)
+    column = lambda j: F.pmod(j, F.lit(columns)).cast("int")
+    sent = lists.select("ids", F.explode(F.array_distinct(F.transform("ids", lambda i: _band(i, rows)))).alias("_band"))
+    sent = sent.select("*", F.explode(F.array_distinct(F.transform("ids", column))).alias("_column")) if columns > 1 else sent.withColumn("_column", F.lit(0))
+    theirs = F.filter("ids", lambda j: column(j) == F.col("_column")) if columns > 1 else F.col("ids")
+    sent = sent.select((F.col("_band") * columns + F.col("_column")).alias("_part"), F.filter("ids", lambda i: _band(i, rows) == F.col("_band")).alias("own"), theirs.alias("theirs"))
+    met = sent.repartitionById(parts, "_part").select("_part", F.explode_outer("own").alias("_i"), "theirs").select("_part", "_i", F.explode("theirs").alias("_j"))
+    pair = (F.shiftleft(F.col("_i").cast("long"), 32) + F.col("_j")).alias("_pair")
+    counts = met.filter("_i <> _j").select("_part", pair).groupBy("_part", "_pair").agg(F.count("*").alias("_shared"))
+
+    pairs = left.hint("shuffle_hash").join(right, [block, "_part"]).select("*", pair).join(counts.hint("shuffle_hash"), ["_part", "_pair"], "left")
+    shared = F.when(F.col("_i") == F.col("_j"), F.col("_na")).otherwise(F.coalesce("_shared", F.lit(0)))
+    return pairs.withColumn("score", _jaccard(F.col("_na"), F.col("_nb"), shared)).drop("_part", "_i", "_j", "_pair", "_na", "_nb", "_shared")
+
+
 def difference(recruited: DataFrame, checked: DataFrame) -> DataFrame:
     """Newly recruited names."""
     return recruited.join(checked, recruited.columns, "left_anti").distinct()

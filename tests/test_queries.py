@@ -104,3 +104,36 @@ def test_pairs_of_blocks(spark):
             assert edges.block_pairs(left.limit(0), right, "block", ["x"]).count() == 0
         finally:
             edges.BAND = kept
+
+
+def test_pairs_of_families_are_not_shuffled(spark, sf, duck):
+    """Pairs get their score in the task that makes them: no exchange above the join that makes them."""
+    df = q.family_jaccard(spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    made = next(i for i, line in enumerate(plan) if "Join [n_regionkey" in line)
+    assert made < 8 and not any("Exchange" in line for line in plan[:made])
+
+
+@pytest.mark.parametrize("meetings,band,narrow", [(1, 1, 1), (4, 3, 2), (1_000_000, 2, 1), (1_000_000, 1_000, 200)])
+def test_scores_of_blocks(spark, monkeypatch, meetings, band, narrow):
+    """Equal to plain sets for any bands and columns: repeated rows, a family without proteins, one of another block, nulls."""
+    from kinweave.operators import edges
+
+    for name, value in (("MEETINGS", meetings), ("BAND", band), ("NARROW", narrow)):
+        monkeypatch.setattr(edges, name, value)
+    sets = {f"f{i}": {p for p in range(12) if (i * 7 + p * 5) % (2 + i % 3) == 0} for i in range(7)} | {"g": {0, 1, 2}}
+    block = {f: 2 if f == "g" else 1 for f in sets} | {"empty": 1}
+    rows_ = [(f, str(p)) for f, s in sets.items() for p in s] * 2 + [("f0", None), ("f1", None), ("other", "1"), (None, "2")]
+    size = lambda f: len(sets.get(f, ())) + (f in ("f0", "f1"))  # noqa: E731  # a null counts, but meets nothing
+    fp = spark.createDataFrame(rows_, "family string, protein string")
+    left = spark.createDataFrame([(f, b) for f, b in block.items()], "a string, block int")
+    right = spark.createDataFrame([(f, b) for f, b in block.items()] + [(None, 1), ("g", 3)], "b string, block int")
+    got = edges.block_jaccard(left, right, "block", fp).select("a", "b", "score").collect()
+    want = []
+    for a in block:
+        for b in [b for b in block if block[a] == block[b]] + [None] * (block[a] == 1):
+            common = size(a) if a == b else len(sets.get(a, set()) & sets.get(b, set()))
+            union = size(a) + size(b) - common
+            want.append((a, b, common / union if union else 0.0))
+    key = lambda x: (x[0], x[1] or "")
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
