@@ -214,7 +214,8 @@ def block_jaccard(left: DataFrame, right: DataFrame, block: str, sets: DataFrame
     ids = numbered(names.withColumn("_hash", F.xxhash64("family")), [block, "_hash", "family"], "id")
     ids = written(ids.select("family", block, F.col("id").cast("int").alias("id")))
     own = sets.join(ids, "family").select("protein", block, "id")
-    lists = own.repartition(tasks(sets), "protein", block).groupBy("protein", block).agg(F.collect_set("id").alias("ids"))
+    number_of_tasks = tasks(sets)
+    lists = own.repartition(number_of_tasks, "protein", block).groupBy("protein", block).agg(F.collect_set("id").alias("ids"))
     lists = written(lists.select(block, "ids", F.col("protein").isNotNull().alias("meets")))  # a null meets nothing
     sizes = lists.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
     known = written(ids.join(sizes, "id", "left"))
@@ -229,11 +230,18 @@ def block_jaccard(left: DataFrame, right: DataFrame, block: str, sets: DataFrame
     number = lambda df, k, i: df.join(known.select(F.col("family").alias(k), block, F.col("id").alias(i), F.col("n").alias(f"_n{k}")), [k, block], "left")
     left, right, parts = _banded(number(left, "a", "_i"), number(right, "b", "_j"), block, rows, columns)
     column = lambda j: F.pmod(j, F.lit(columns)).cast("int")
-    sent = lists.select("ids", F.explode(F.array_distinct(F.transform("ids", lambda i: _band(i, rows)))).alias("_band"))
-    sent = sent.select("*", F.explode(F.array_distinct(F.transform("ids", column))).alias("_column")) if columns > 1 else sent.withColumn("_column", F.lit(0))
-    theirs = F.filter("ids", lambda j: column(j) == F.col("_column")) if columns > 1 else F.col("ids")
-    sent = sent.select((F.col("_band") * columns + F.col("_column")).alias("_part"), F.filter("ids", lambda i: _band(i, rows) == F.col("_band")).alias("own"), theirs.alias("theirs"))
-    met = sent.repartitionById(parts, "_part").select("_part", F.explode_outer("own").alias("_i"), "theirs").select("_part", "_i", F.explode("theirs").alias("_j"))
+    of_band = lambda ids, band: F.filter(ids, lambda i: _band(i, rows) == F.col(band))
+    # dealt first: few files are few tasks, and each list becomes several rows
+    sent = lists.repartition(number_of_tasks).select("ids", F.explode(F.array_distinct(F.transform("ids", lambda i: _band(i, rows)))).alias("_band"))
+    if columns > 1:
+        sent = sent.select("*", F.explode(F.array_distinct(F.transform("ids", column))).alias("_column"))
+        theirs = F.filter("ids", lambda j: column(j) == F.col("_column"))
+        sent = sent.select((F.col("_band") * columns + F.col("_column")).alias("_part"), of_band("ids", "_band").alias("own"), theirs.alias("theirs"))
+    else:
+        sent = sent.select(F.col("_band").alias("_part"), F.col("ids").alias("theirs"))
+    sent = sent.repartitionById(parts, "_part")
+    own = F.col("own") if columns > 1 else of_band("theirs", "_part")
+    met = sent.select("_part", F.explode_outer(own).alias("_i"), "theirs").select("_part", "_i", F.explode("theirs").alias("_j"))
     pair = (F.shiftleft(F.col("_i").cast("long"), 32) + F.col("_j")).alias("_pair")
     counts = met.filter("_i <> _j").select("_part", pair).groupBy("_part", "_pair").agg(F.count("*").alias("_shared"))
 
